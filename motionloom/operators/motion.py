@@ -64,10 +64,11 @@ def norm_stats(table: DataFrame, quantities: list[str], key: tuple[str, ...] = K
 
 
 def still(motion: DataFrame, rate: DataFrame | float, *, window_s: float = STILL_WINDOW_S,
-          threshold: float = STILL_THRESHOLD, name: str = "still") -> DataFrame:
+          threshold: float = STILL_THRESHOLD, name: str = "still",
+          key: tuple[str, ...] = KEY) -> DataFrame:
     """Flag samples whose centred window of angular speed stays below the threshold.
 
-    ``rate`` is one rate or a table (recording_id, rate_hz); recordings without one use 100 Hz.  The
+    ``rate`` is one rate or a table (key, rate_hz); recordings without one use 100 Hz.  The
     window holds ``round(window_s * rate)`` rows, so it differs by recording.  Instead of a frame,
     the nearest fast sample on either side is located: the window is still if both lie outside it.
     Samples without a norm are skipped, and a window holding none at all is not still.
@@ -75,13 +76,13 @@ def still(motion: DataFrame, rate: DataFrame | float, *, window_s: float = STILL
     if not isinstance(rate, DataFrame):
         rows = motion.withColumn("_rate", F.lit(float(rate)))
     else:
-        rows = attach(motion, rate.select("recording_id", F.col("rate_hz").alias("_rate")), ["recording_id"])
+        rows = attach(motion, rate.select(*key, F.col("rate_hz").alias("_rate")), list(key))
     window = F.greatest(F.rint(F.lit(window_s) * F.coalesce(F.col("_rate"), F.lit(DEFAULT_STILL_RATE_HZ)))
                         .cast("bigint"), F.lit(1))
     back = F.floor(window / 2)
     ahead = F.floor((window - 1) / 2)
     speed = norm(columns_of("gyro"))
-    layout = numbered(ordered(rows), "_row")
+    layout = numbered(ordered(rows, key), "_row")
     layout = layout.having(layout.rows.withColumn("_speed", speed))
     known = F.when(F.col("_speed").isNotNull(), F.col("_row"))
     fast = F.when(F.col("_speed") >= threshold, F.col("_row"))
