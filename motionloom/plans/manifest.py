@@ -112,13 +112,12 @@ def withdrawn_with_table(withdrawn: DataFrame, span: DataFrame) -> DataFrame:
 
 
 def table_rates(tables: dict[str, DataFrame]) -> DataFrame:
-    """(recording_id, modality, sample_rate_hz): median rates, and the dot rate for pens."""
+    """(recording_id, modality, sample_rate_hz), unrounded: median rates, and the dot rate for pens."""
     timed = [tables[m].select("recording_id", F.lit(m).alias("modality"), "t_ns", "seq")
              for m in (*MOTION_MODALITIES, "markers") if m in tables]
     found = []
     if timed:
-        rate = median_rate_hz(union_all(timed), "sample_rate_hz", ("recording_id", "modality"))
-        found.append(rate.withColumn("sample_rate_hz", F.bround("sample_rate_hz", 3)))
+        found.append(median_rate_hz(union_all(timed), "sample_rate_hz", ("recording_id", "modality")))
     if "pen" in tables:
         found.append(dot_rate(tables["pen"]).select(
             "recording_id", F.lit("pen").alias("modality"),
@@ -126,6 +125,11 @@ def table_rates(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all(found)
 
 
+def rounded_rates(rates: DataFrame) -> DataFrame:
+    """Rates as published, with three decimals."""
+    return rates.withColumn("sample_rate_hz", F.bround("sample_rate_hz", 3))
+
+
 def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = None,
                    rates: DataFrame | None = None) -> DataFrame:
     """Every manifest value the tables alone determine, one row per recording."""
@@ -144,7 +148,7 @@ def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = N
     measured = rates if rates is not None else (table_rates(motion_tables) if motion_tables else None)
     parts = []
     if measured is not None:
-        parts.append(measured.groupBy("recording_id").agg(
+        parts.append(rounded_rates(measured).groupBy("recording_id").agg(
             *[F.max(F.when(F.col("modality") == m, F.col("sample_rate_hz"))).alias(name)
               for m, name in (("watch", "watch_hz_measured"), ("headimu", "head_hz_measured"))]))
     if "pen" in tables:
@@ -328,7 +332,7 @@ def build_channels(tables: dict[str, DataFrame], clocks: DataFrame,
     """One descriptor row per stored column; declared clocks and factors override the defaults."""
     columns = stored_columns(tables)
     refuse(tables_without_clock(columns, clocks), "no clock declared for the table")
-    return channel_rows(columns, table_rates(tables), clocks, factors)
+    return channel_rows(columns, rounded_rates(table_rates(tables)), clocks, factors)
 
 
 def channel_rows(columns: DataFrame, rates: DataFrame, clocks: DataFrame,

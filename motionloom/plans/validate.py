@@ -22,8 +22,8 @@ from ..vocabulary import (ACCEL_BANDS, ACCEL_MIX_BAND, ACCEL_SEMANTICS, ACCEL_SI
                           MIN_PHYSICS_ROWS, MODALITY_FLAGS, MOTION_MODALITIES,
                           QUAT_GRAVITY_ANGLE_MAX_DEG, QUAT_NORM_BAND, QUAT_STILL_ANGLE_MAX_DEG,
                           RATE_TOLERANCE, SCHEMA_VERSION, SPILL_GUARD_S, TIME_ALIGNMENTS, VECTORS)
-from .manifest import (channel_rows, derived_values, dropouts, refuse, spans, stored_columns,
-                       table_rates)
+from .manifest import (channel_rows, derived_values, dropouts, refuse, rounded_rates, spans,
+                       stored_columns, table_rates)
 
 STREAM = ["recording_id", "modality"]
 FINDING = ("check", "recording_id", "modality", "column", "observed", "observed_num", "expected", "passed")
@@ -70,12 +70,13 @@ def time_monotonic(motion: DataFrame) -> DataFrame:
                    number=steps, expected="no backward steps", passed=steps == 0)
 
 
-def sample_rate(motion: DataFrame, nominal: DataFrame) -> DataFrame:
+def sample_rate(motion: DataFrame, nominal: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     """Measured against declared rate; a stream without a declared rate passes as measured only.
 
     ``nominal``: recording_id, watch_hz_nominal, head_hz_nominal.
     """
-    rate = median_rate_hz(motion, "rate", tuple(STREAM))
+    rate = (rates.withColumnRenamed("sample_rate_hz", "rate") if rates is not None
+            else median_rate_hz(motion, "rate", tuple(STREAM)))
     rows = attach(motion.select(*STREAM).distinct().join(rate, STREAM, "left"), nominal, ["recording_id"])
     declared = F.when(F.col("modality") == "headimu", F.col("head_hz_nominal")).otherwise(
         F.col("watch_hz_nominal"))
@@ -317,7 +318,7 @@ def time_alignment_vocabulary(meta: DataFrame, span: DataFrame) -> DataFrame:
                    passed=F.col("a").isin(*TIME_ALIGNMENTS))
 
 
-def check_tables(tables: dict[str, DataFrame], meta: DataFrame) -> DataFrame:
+def check_tables(tables: dict[str, DataFrame], meta: DataFrame, rates: DataFrame | None = None) -> DataFrame:
     """Findings of every check that applies to the tables and declared facts."""
     span = durable(spans(tables))
     dropped = dropouts(span)
@@ -326,7 +327,7 @@ def check_tables(tables: dict[str, DataFrame], meta: DataFrame) -> DataFrame:
         motion = all_motion(tables)
         nominal = meta.select("recording_id", _declared(meta, "watch_hz_nominal").cast("double").alias("watch_hz_nominal"),
                               _declared(meta, "head_hz_nominal").cast("double").alias("head_hz_nominal"))
-        found += [time_monotonic(motion), sample_rate(motion, nominal), physics_findings(durable(physics(motion)))]
+        found += [time_monotonic(motion), sample_rate(motion, nominal, rates), physics_findings(durable(physics(motion)))]
     if "pen" in tables:
         found.append(dot_type_vocabulary(tables["pen"]))
     if "attention" in tables:
@@ -441,13 +442,14 @@ def differing_values(stored: DataFrame, computed: DataFrame, on: list[str], colu
 
 
 def manifest_drift(manifest: DataFrame, tables: dict[str, DataFrame],
-                   withdrawn: DataFrame | None = None) -> DataFrame:
+                   withdrawn: DataFrame | None = None, rates: DataFrame | None = None) -> DataFrame:
     """Stored manifest values that differ from what the tables say now."""
-    return differing_values(manifest, derived_values(tables, withdrawn), ["recording_id"],
+    return differing_values(manifest, derived_values(tables, withdrawn, rates), ["recording_id"],
                             list(DERIVED_MANIFEST_COLUMNS))
 
 
-def descriptor_problems(channels: DataFrame, tables: dict[str, DataFrame], manifest: DataFrame) -> DataFrame:
+def descriptor_problems(channels: DataFrame, tables: dict[str, DataFrame], manifest: DataFrame,
+                        rates: DataFrame | None = None) -> DataFrame:
     """(recording_id, modality, column, problem) of channel rows that do not describe the tables."""
     by = [*STREAM, "column"]
     columns = stored_columns(tables)
@@ -457,9 +459,7 @@ def descriptor_problems(channels: DataFrame, tables: dict[str, DataFrame], manif
     extra = channels.join(columns, by, "left_anti").select(*by, F.lit("describes no stored column").alias("problem"))
     # Clocks are declared facts, so the stored ones stand in for them here.
     clocks = channels.select(*by, "time_domain")
-    expected = channel_rows(columns, table_rates(tables), union_all([
-        clocks, clocks.select(*STREAM, F.lit(None).cast("string").alias("column"), "time_domain").distinct()
-        .dropDuplicates(STREAM)]))
+    expected = channel_rows(columns, rounded_rates(rates if rates is not None else table_rates(tables)), clocks)
     wrong = differing_values(channels, expected, by, ["quantity", "unit", "semantics", "frame", "sample_rate_hz"])
     wrong = wrong.select(*by, F.concat(F.lit("wrong "), "field").alias("problem"))
     factor = F.col("unit_conversion_factor")
@@ -512,8 +512,9 @@ def validate_archive(manifest: DataFrame, channels: DataFrame, tables: dict[str,
     refuse(undeclared_channels(channels, declared), "channels for undeclared tables")
     refuse(stamp_problems(tables, manifest), "stamped id or schema version differs")
     stampless = {m: t.drop("stamped_id", "schema_version") for m, t in tables.items()}
-    refuse(manifest_drift(manifest, stampless, withdrawn), "manifest differs from the stored tables")
-    refuse(descriptor_problems(channels, stampless, manifest), "channels do not describe the stored tables")
+    rates = durable(table_rates(stampless))
+    refuse(manifest_drift(manifest, stampless, withdrawn, rates), "manifest differs from the stored tables")
+    refuse(descriptor_problems(channels, stampless, manifest, rates), "channels do not describe the stored tables")
     policy = manifest.select("redaction_policy").first()
     if policy and policy[0] != "none" and "pen" in tables:
         markers = stampless.get("markers")
@@ -522,7 +523,7 @@ def validate_archive(manifest: DataFrame, channels: DataFrame, tables: dict[str,
                 "recording_id", "t_ns", *[F.lit(None).cast("string").alias(c) for c in ("event", "task_id")],
                 F.lit(None).cast("double").alias("task_index"))
         refuse(redaction_violations(stampless["pen"], markers, policy[0]), "stored coordinates violate the policy")
-    findings = check_tables(stampless, manifest)
+    findings = durable(check_tables(stampless, manifest, rates))
     parts = [manifest_consistency(declared, held), findings,
              coverage_findings(coverage_gaps(manifest, findings, dropouts(held)))]
     if checksums is not None:
