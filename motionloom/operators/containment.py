@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .layout import (Ordered, along, attach, following, last_seen, ordered, previous, running_max,
+from .layout import (Ordered, along, attach, durable, following, last_seen, ordered, previous, running_max,
                      union_all)
 
 LEVELS = 62
@@ -54,9 +54,9 @@ def disjoint_spans(spans: DataFrame, values: list[str], rank: str,
             F.when((low < high) & odd(low), F.struct(size.alias("_level"), low.alias("_block"))),
             F.when((low < high) & odd(high), F.struct(size.alias("_level"), (high - 1).alias("_block"))))
 
-    best = (spans.select(*key, winner, F.explode(F.flatten(F.transform(level, blocks))).alias("b"))
-            .where(F.col("b").isNotNull())
-            .groupBy(*key, "b._level", "b._block").agg(F.max("_winner").alias("_winner")))
+    best = durable(spans.select(*key, winner, F.explode(F.flatten(F.transform(level, blocks))).alias("b"))
+                   .where(F.col("b").isNotNull())
+                   .groupBy(*key, "b._level", "b._block").agg(F.max("_winner").alias("_winner")))
     sizes = [r[0] for r in best.select("_level").distinct().collect()]  # at most LEVELS + 1 numbers
     cuts = union_all([spans.select(*key, F.col(c).alias("t_start_ns"))
                       for c in ("t_start_ns", "t_end_ns")]).distinct()
