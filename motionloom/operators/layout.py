@@ -204,14 +204,22 @@ def numbered(layout: Ordered, name: str = "row_number") -> Ordered:
 
 # --- joins with a smaller table ------------------------------------------------------------------
 
-def attach(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+def fits(df: DataFrame, *key: str) -> bool:
+    """Does every group stay within what one task may hold?"""
+    return largest_group(df, *key) <= rows_per_task(df.sparkSession)
+
+
+def attach(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", *,
+           costly: bool = False) -> DataFrame:
     """Join ``rows`` with a table of one row per key.
 
     The lookup is sent to every executor only if counting it stays below the limit.  A larger one
     is repeated once per salt and joined on key and salt, so that a key holding a large part of
-    ``rows`` is still spread over many tasks.
+    ``rows`` is still spread over many tasks.  A ``costly`` lookup is written out before it is
+    counted, so that it is computed once.
     """
     limit = broadcast_rows(rows.sparkSession)
+    lookup = durable(lookup) if costly else lookup
     if lookup.limit(limit + 1).count() <= limit:
         return rows.join(F.broadcast(lookup), on, how)
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")

@@ -12,7 +12,7 @@ from ..functions.vectors import columns_of, gravity_from_quaternion, norm
 from ..vocabulary import (DEFAULT_STILL_RATE_HZ, GRAVITY_NORM_BAND, GRAVITY_NORM_MAX_IQR,
                           GRAVITY_SI_NORM_THRESHOLD, MIN_PHYSICS_ROWS, STANDARD_GRAVITY,
                           STILL_THRESHOLD, STILL_WINDOW_S, VECTORS)
-from .layout import along, attach, last_seen, next_seen, numbered, ordered, previous
+from .layout import along, attach, fits, last_seen, next_seen, numbered, ordered, previous
 from .quantile import quantiles
 
 KEY = ("recording_id",)
@@ -20,10 +20,9 @@ KEY = ("recording_id",)
 
 def median_rate_hz(motion: DataFrame, name: str = "rate_hz", key: tuple[str, ...] = KEY) -> DataFrame:
     """1e9 over the median positive time step; recordings without one are left out."""
-    steps = along(ordered(motion.select(*key, "t_ns", "seq"), key),
-                  step_ns=previous(F.col("t_ns"))).frame.select(
-        *key, (F.col("t_ns") - F.col("step_ns")).alias("step_ns")).where("step_ns > 0")
-    return quantiles(steps, list(key), "step_ns", median=0.5).select(
+    layout = along(ordered(motion.select(*key, "t_ns", "seq"), key), _prev=previous(F.col("t_ns")))
+    steps = layout.frame.select(*key, (F.col("t_ns") - F.col("_prev")).alias("step_ns")).where("step_ns > 0")
+    return quantiles(steps, list(key), "step_ns", bounded=not layout.split, median=0.5).select(
         *key, (F.lit(1e9) / F.col("median")).alias(name))
 
 
@@ -58,7 +57,7 @@ def norm_stats(table: DataFrame, quantities: list[str], key: tuple[str, ...] = K
     by = [*key, "quantity"]
     plain = long.groupBy(*by).agg(F.avg("norm").alias("mean"), F.stddev_pop("norm").alias("std"),
                                   F.count("norm").alias("n"))
-    ranked = quantiles(long, by, "norm", median=0.5, p05=0.05, p95=0.95, q25=0.25, q75=0.75)
+    ranked = quantiles(long, by, "norm", bounded=fits(table, *key), median=0.5, p05=0.05, p95=0.95, q25=0.25, q75=0.75)
     return plain.join(ranked, by, "left").select(
         *by, "median", "p05", "p95", (F.col("q75") - F.col("q25")).alias("iqr"), "mean", "std", "n")
 
@@ -76,7 +75,7 @@ def still(motion: DataFrame, rate: DataFrame | float, *, window_s: float = STILL
     if not isinstance(rate, DataFrame):
         rows = motion.withColumn("_rate", F.lit(float(rate)))
     else:
-        rows = attach(motion, rate.select(*key, F.col("rate_hz").alias("_rate")), list(key))
+        rows = attach(motion, rate.select(*key, F.col("rate_hz").alias("_rate")), list(key), costly=True)
     window = F.greatest(F.rint(F.lit(window_s) * F.coalesce(F.col("_rate"), F.lit(DEFAULT_STILL_RATE_HZ)))
                         .cast("bigint"), F.lit(1))
     back = F.floor(window / 2)
@@ -116,7 +115,7 @@ def gravity_lookalikes(stats: DataFrame) -> DataFrame:
 def gravity_factor(motion: DataFrame) -> DataFrame:
     """Per recording: 1/g if the median gravity norm shows m/s2, else 1."""
     long = norms(motion, ["gravity"])
-    median = quantiles(long, ["recording_id"], "norm", median=0.5)
+    median = quantiles(long, ["recording_id"], "norm", bounded=fits(motion, "recording_id"), median=0.5)
     return median.select("recording_id", "median", F.when(
         F.col("median") > GRAVITY_SI_NORM_THRESHOLD, F.lit(1.0 / STANDARD_GRAVITY))
         .otherwise(F.lit(1.0)).alias("gravity_factor"))
@@ -124,7 +123,7 @@ def gravity_factor(motion: DataFrame) -> DataFrame:
 
 def harmonise_gravity(motion: DataFrame) -> DataFrame:
     """Gravity columns in g, whichever unit each recording used, plus the factor applied."""
-    rows = attach(motion, gravity_factor(motion).select("recording_id", "gravity_factor"), ["recording_id"])
+    rows = attach(motion, gravity_factor(motion).select("recording_id", "gravity_factor"), ["recording_id"], costly=True)
     si = F.col("gravity_factor") != 1.0
     return rows.withColumns({c: F.when(si, F.col(c) / F.lit(STANDARD_GRAVITY)).otherwise(F.col(c))
                              for c in VECTORS["gravity"]})

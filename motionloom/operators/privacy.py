@@ -50,7 +50,7 @@ def task_structure(markers: DataFrame) -> DataFrame:
 def _exposed(pen: DataFrame, markers: DataFrame) -> DataFrame:
     """Pen rows flagged where the free-writing policy demands blank coordinates."""
     flagged = inside_any(pen, free_writing_spans(markers), "_in_span")
-    rows = attach(flagged, task_structure(markers), ["recording_id"])
+    rows = attach(flagged, task_structure(markers), ["recording_id"], costly=True)
     # Without task names free writing cannot be told apart, so everything is blanked.
     blank = F.col("_in_span") | ~F.coalesce(F.col("has_tasks"), F.lit(False))
     return rows.withColumn("_blank", blank).drop("_in_span", "has_tasks")
@@ -119,7 +119,7 @@ def rebase_table(table: DataFrame, origins: DataFrame) -> DataFrame:
     ``origins``: recording_id, origin_ns.  Whole milliseconds stay whole by flooring the origin.
     """
     rows = attach(table, origins.select("recording_id", F.col("origin_ns").alias("_origin")),
-                  ["recording_id"])
+                  ["recording_id"], costly=True)
     origin = F.coalesce(F.col("_origin"), F.lit(0).cast("bigint"))
     types = dict(table.dtypes)
     moved = {c: F.col(c) - origin for c in NS_COLUMNS if c in types}

@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .layout import along, attach, largest_group, ordered, rows_per_task, running_sum
+from .layout import along, attach, fits, ordered, running_sum
 
 
-def quantiles(df: DataFrame, key: list[str], value: str, **probabilities: float) -> DataFrame:
+def quantiles(df: DataFrame, key: list[str], value: str, bounded: bool | None = None,
+              **probabilities: float) -> DataFrame:
     """One row per key with a column per named probability; NULL values are ignored.
 
     Equal values are counted before the shuffle.  If the largest group has few enough values, the
@@ -20,7 +21,7 @@ def quantiles(df: DataFrame, key: list[str], value: str, **probabilities: float)
     counts = (df.where(F.col(value).isNotNull()).groupBy(*key, value)
               .agg(F.count("*").alias("_n")))
     names = list(probabilities)
-    if largest_group(df, *key) <= rows_per_task(df.sparkSession):
+    if fits(df, *key) if bounded is None else bounded:
         found = counts.groupBy(*key).agg(F.expr(
             f"percentile(`{value}`, array({', '.join(repr(float(p)) + 'D' for p in probabilities.values())}), _n)"
         ).alias("_q"))
@@ -28,7 +29,7 @@ def quantiles(df: DataFrame, key: list[str], value: str, **probabilities: float)
 
     layout = along(ordered(counts, tuple(key), (value,), split=True), _upto=running_sum(F.col("_n")))
     totals = counts.groupBy(*key).agg(F.sum("_n").alias("_total"))
-    rows = attach(layout.frame, totals, key, "inner")
+    rows = attach(layout.frame, totals, key, "inner", costly=True)
     picks = []
     for i, p in enumerate(probabilities.values()):
         rank = F.lit(float(p)) * (F.col("_total") - 1)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import ceil_div
 from ..vocabulary import DECIMATION_RATIO_TOLERANCE, FILTERED_VECTORS, VECTORS
-from .layout import attach, numbered, ordered
+from .layout import attach, durable, numbered, ordered
 
 ORDER, RIPPLE_DB = 8, 0.05        # Chebyshev type I, cut off at 0.8 of the new Nyquist rate
 EDGE = 3 * (ORDER + 1)            # samples mirrored around each end of a recording
@@ -128,13 +128,16 @@ def downsample(motion: DataFrame, factors: DataFrame, *, block_rows: int = BLOCK
     used = [r[0] for r in factors.where("factor > 1").select("factor").distinct().collect()]
     if not used:
         return unchanged
+    if not columns:  # nothing to filter, so no row needs to leave the JVM
+        kept = numbered(ordered(thinned), "_row").frame.where(F.pmod(F.col("_row"), F.col("_factor")) == 0)
+        return unchanged.unionByName(kept.select(*motion.columns))
     gaps = missing_in_filtered(thinned).take(5)
     if gaps:
         raise ValueError("cannot filter columns with missing values: "
                          + ", ".join(f"{r['recording_id']}.{r['column']}" for r in gaps))
-    sizes = thinned.groupBy("recording_id").agg(F.count("*").alias("_total"))
+    sizes = durable(thinned.groupBy("recording_id").agg(F.count("*").alias("_total")))
     short = sizes.where(F.col("_total") <= EDGE).take(5)
-    if short and columns:
+    if short:
         raise ValueError(f"recordings need more than {EDGE} samples to be filtered: "
                          + ", ".join(r["recording_id"] for r in short))
     halo = max(len(impulse_response(f)) for f in used) + EDGE
