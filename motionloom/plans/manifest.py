@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import lookup
-from ..operators.layout import union_all
+from ..operators.layout import durable, union_all
 from ..operators.motion import column_presence, median_rate_hz, partial_vectors, table_span
 from ..operators.pen import dot_rate
 from ..vocabulary import (CAPABILITY_FLAGS, CHANNEL_COLUMNS, COLUMN_DESCRIPTIONS,
@@ -133,7 +133,7 @@ def rounded_rates(rates: DataFrame) -> DataFrame:
 def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = None,
                    rates: DataFrame | None = None) -> DataFrame:
     """Every manifest value the tables alone determine, one row per recording."""
-    span = spans(tables)
+    span = durable(spans(tables))
 
     def of(modality, column):
         return F.max(F.when(F.col("modality") == modality, F.col(column)))

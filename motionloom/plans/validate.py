@@ -139,42 +139,46 @@ def _measure_stats(long: DataFrame, bounded: bool) -> DataFrame:
 
 
 def physics_findings(stats: DataFrame) -> DataFrame:
-    """Acceleration band, gravity norm and sign, angular rate and quaternion checks."""
-    median, p95, iqr, n = (F.col(c) for c in ("median", "p95", "iqr", "n"))
+    """Acceleration band, gravity norm and sign, angular rate and quaternion checks.
 
-    def of(*names):
-        return stats.where(F.col("measure").isin(*names))
-
-    found = []
-    for quantity, band in ACCEL_BANDS.items():
-        hint = (F.when(median.between(*ACCEL_MIX_BAND), "; observed value suggests a user/total mix")
-                .when(median.between(*ACCEL_SI_BAND), "; observed value suggests m/s2 instead of g")
-                .otherwise(""))
-        found.append(measured(of(quantity), "accel_semantic_band", column=quantity, value=median, digits=5,
-                              expected=F.concat(F.lit(f"median in {band}"), hint), passed=median.between(*band)))
-    found.append(measured(of("gravity"), "gravity_norm", column="gravity", value=median, digits=5,
-                          expected=f"median in {GRAVITY_NORM_BAND}, IQR < {GRAVITY_NORM_MAX_IQR}",
-                          passed=median.between(*GRAVITY_NORM_BAND) & (iqr < GRAVITY_NORM_MAX_IQR)))
-    found.append(measured(of("flat_gz").where("n > 10"), "gravity_sign", column="gravity", value=median,
-                          digits=4, expected="gz near -1 when the device lies flat", passed=median < 0))
-    found.append(measured(of("gyro"), "gyro_range", column="gyro", value=median, digits=5,
-                          expected=f"median in {GYRO_MEDIAN_BAND}, p95 < {GYRO_P95_MAX}",
-                          passed=median.between(*GYRO_MEDIAN_BAND) & (p95 < GYRO_P95_MAX)))
-    found.append(measured(of("quat"), "quat_norm", column="quat", value=median, digits=6,
-                          expected=f"median in {QUAT_NORM_BAND}", passed=median.between(*QUAT_NORM_BAND)))
-    found.append(measured(of("quat_gravity_angle").where(n >= MIN_PHYSICS_ROWS), "quat_gravity_agreement",
-                          column="quat", value=median, digits=4,
-                          expected=f"median angle < {QUAT_GRAVITY_ANGLE_MAX_DEG} deg",
-                          passed=median < QUAT_GRAVITY_ANGLE_MAX_DEG))
+    Every row of ``stats`` answers at most one check, so one pass over them is enough.
+    """
+    median, p95, iqr, n, measure = (F.col(c) for c in ("median", "p95", "iqr", "n", "measure"))
     enough = n >= MIN_PHYSICS_ROWS
-    shown = F.when(enough, F.bround(median, 4))
-    found.append(finding(
-        of("still_angle"), "quat_still_agreement", column="quat", number=shown,
-        observed=F.coalesce(shown.cast("string"), F.concat(n.cast("string"), F.lit(" still samples"))),
-        expected=F.when(enough, f"median angle < {QUAT_STILL_ANGLE_MAX_DEG} deg over still windows").otherwise(
-            "at least 100 still samples for the fallback check"),
-        passed=enough & (median < QUAT_STILL_ANGLE_MAX_DEG)))
-    return union_all(found)
+    hint = (F.when(median.between(*ACCEL_MIX_BAND), "; observed value suggests a user/total mix")
+            .when(median.between(*ACCEL_SI_BAND), "; observed value suggests m/s2 instead of g").otherwise(""))
+    rules = [(q, F.lit(True), "accel_semantic_band", q, 5, F.concat(F.lit(f"median in {band}"), hint),
+              median.between(*band)) for q, band in ACCEL_BANDS.items()]
+    rules += [
+        ("gravity", F.lit(True), "gravity_norm", "gravity", 5,
+         F.lit(f"median in {GRAVITY_NORM_BAND}, IQR < {GRAVITY_NORM_MAX_IQR}"),
+         median.between(*GRAVITY_NORM_BAND) & (iqr < GRAVITY_NORM_MAX_IQR)),
+        ("flat_gz", n > 10, "gravity_sign", "gravity", 4, F.lit("gz near -1 when the device lies flat"), median < 0),
+        ("gyro", F.lit(True), "gyro_range", "gyro", 5, F.lit(f"median in {GYRO_MEDIAN_BAND}, p95 < {GYRO_P95_MAX}"),
+         median.between(*GYRO_MEDIAN_BAND) & (p95 < GYRO_P95_MAX)),
+        ("quat", F.lit(True), "quat_norm", "quat", 6, F.lit(f"median in {QUAT_NORM_BAND}"),
+         median.between(*QUAT_NORM_BAND)),
+        ("quat_gravity_angle", enough, "quat_gravity_agreement", "quat", 4,
+         F.lit(f"median angle < {QUAT_GRAVITY_ANGLE_MAX_DEG} deg"), median < QUAT_GRAVITY_ANGLE_MAX_DEG),
+        ("still_angle", enough, "quat_still_agreement", "quat", 4,
+         F.lit(f"median angle < {QUAT_STILL_ANGLE_MAX_DEG} deg over still windows"), median < QUAT_STILL_ANGLE_MAX_DEG),
+    ]
+    found = None
+    for name, applies, check, column, digits, expected, passed in rules:
+        shown = F.bround(median, digits)
+        entry = F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), shown.cast("string").alias("observed"),
+                         shown.alias("observed_num"), expected.alias("expected"),
+                         F.coalesce(passed, F.lit(False)).alias("passed"))
+        match = (measure == name) & applies
+        found = F.when(match, entry) if found is None else found.when(match, entry)
+    short = F.struct(F.lit("quat_still_agreement").alias("check"), F.lit("quat").alias("column"),
+                     F.concat(n.cast("string"), F.lit(" still samples")).alias("observed"),
+                     F.lit(None).cast("double").alias("observed_num"),
+                     F.lit("at least 100 still samples for the fallback check").alias("expected"),
+                     F.lit(False).alias("passed"))
+    found = found.when((measure == "still_angle") & ~enough, short)
+    return stats.select(*STREAM, found.alias("f")).where("f IS NOT NULL").select(
+        "f.check", *STREAM, "f.column", "f.observed", "f.observed_num", "f.expected", "f.passed").select(*FINDING)
 
 
 # --- event and interval tables ----------------------------------------------------------------------
@@ -328,7 +332,7 @@ def check_tables(tables: dict[str, DataFrame], meta: DataFrame, rates: DataFrame
         motion = all_motion(tables)
         nominal = meta.select("recording_id", _declared(meta, "watch_hz_nominal").cast("double").alias("watch_hz_nominal"),
                               _declared(meta, "head_hz_nominal").cast("double").alias("head_hz_nominal"))
-        found += [time_monotonic(motion), sample_rate(motion, nominal, rates), physics_findings(durable(physics(motion)))]
+        found += [time_monotonic(motion), sample_rate(motion, nominal, rates), physics_findings(physics(motion))]
     if "pen" in tables:
         found.append(dot_type_vocabulary(tables["pen"]))
     if "attention" in tables:

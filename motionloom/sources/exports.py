@@ -294,26 +294,34 @@ SESSION_JSON = ("events array<struct<t_ms: bigint, t_session_ms: double, event:
                 "pen_events array<string>")
 
 
-def session_events(spark: SparkSession, path: str) -> DataFrame:
-    """Events of session JSON files in one shape: path, seq, generation, t_ms, t_session_ms, event, payload.
+def session_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, events, pen_events) of session JSON files; payloads stay text."""
+    return spark.read.schema(SESSION_JSON).option("multiLine", True).json(path).select(
+        F.col("_metadata.file_path").alias("path"), "events", "pen_events")
+
+
+def session_events(files: DataFrame) -> DataFrame:
+    """Events of session files in one shape: path, seq, generation, t_ms, t_session_ms, event, payload, flat.
 
     One generation of the export keeps pen events in a flat list of their own, the other among the
     session events.  A flat entry without time or type is refused.
     """
-    files = spark.read.schema(SESSION_JSON).option("multiLine", True).json(path).withColumn(
-        "path", F.col("_metadata.file_path"))
     generation = F.when(F.col("pen_events").isNotNull(), "flat").otherwise("nested").alias("generation")
     session = files.select("path", generation, F.posexplode("events").alias("seq", "e")).select(
-        "path", "seq", "generation", "e.*", F.lit(False).alias("flat"))
+        "path", F.col("seq").cast("bigint").alias("seq"), "generation", "e.*", F.lit(False).alias("flat"))
     flat = files.select("path", generation, F.posexplode("pen_events").alias("seq", "j"))
-    flat = flat.select("path", (F.col("seq") + F.lit(1 << 30)).alias("seq"), "generation",
+    flat = flat.select("path", (F.col("seq") + F.lit(1 << 40)).alias("seq"), "generation",
                        F.get_json_object("j", "$.t_ms").cast("bigint").alias("t_ms"),
                        F.get_json_object("j", "$.t_session_ms").cast("double").alias("t_session_ms"),
                        F.get_json_object("j", "$.type").alias("event"), F.col("j").alias("payload"),
                        F.lit(True).alias("flat"))
-    refuse(flat.where("t_ms IS NULL OR event IS NULL").select("path", "payload"),
-           "pen_events entry without t_ms or type")
-    return union_all([session, flat]).withColumn("seq", F.col("seq").cast("bigint"))
+    refuse(incomplete_events(flat), "pen_events entry without t_ms or type")
+    return session.unionByName(flat)
+
+
+def incomplete_events(events: DataFrame) -> DataFrame:
+    """Violations: entries lacking their time or type."""
+    return events.where("t_ms IS NULL OR event IS NULL").select("path", "seq", "payload")
 
 
 def phone_logger_export(spark: SparkSession, root: str, cohort: str, codes: DataFrame, *, prefix: str | None = None,
@@ -331,7 +339,7 @@ def phone_logger_export(spark: SparkSession, root: str, cohort: str, codes: Data
                                                             "standardisation"]))
     info = info.groupBy("recording_id").agg(*[F.min_by(c, "seq").alias(c) for c in info.columns
                                               if c not in ("recording_id", "path", "seq")])
-    events = named(session_events(spark, f"{root}/*/*.json"))
+    events = named(session_events(session_files(spark, f"{root}/*/*.json")))
     starts = events.where("event = 'session_start' AND NOT flat")
     token = starts.groupBy("recording_id").agg(F.get_json_object(
         F.min_by("payload", "seq"), "$.participant_id").alias("session_code"))
