@@ -188,8 +188,8 @@ def server_export(spark: SparkSession, root: str, cohort: str, pipeline: str = "
                    {**{c: F.col(c) for c in ("x", "y", "pressure", "tilt_x", "tilt_y")},
                     "src_timestamp": F.col("timestamp")})
     raw = of("markers", ["timestamp_ms", "event", "task_id", "task_name", "task_index", "task_category", "protocol_id"])
-    refuse(untranslated(raw, "task_id", TASK_NAMES), "task id without a published name")
     ids, titles = ({k: v[i] for k, v in TASK_NAMES.items()} for i in (0, 1))
+    refuse(untranslated(raw, "task_id", ids), "task id without a published name")
     markers = raw.select(
         "recording_id", "seq", to_unix_ns(F.col("timestamp_ms"), "ms", whole=True).alias("t_ns"), "event",
         lookup(F.col("task_id"), ids).alias("task_id"),

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.layout import attach
 
-MAX_CSV_COLUMNS = 64
 _ROW_BITS = (1 << 33) - 1
 
 
@@ -59,17 +61,23 @@ def csv_rows(spark: SparkSession, path: str, columns: list[str], required: tuple
         if bad:
             raise ValueError("missing required column(s) "
                              + "; ".join(f"{r['path']}: {sorted(set(required) - set(r['_names']))}" for r in bad))
-    width = ", ".join(f"c{i} string" for i in range(MAX_CSV_COLUMNS))
-    parsed = F.from_csv(F.regexp_replace("line", "\r$", ""), F.lit(width), {"escape": '"', "mode": "PERMISSIVE"})
+    line = F.regexp_replace("line", "\r$", "")
     body = (attach(rows, heads, ["path"], "inner").where((F.col("seq") > F.col("_first")) & (F.trim("line") != ""))
-            .select("path", "seq", "_names", parsed.alias("_v")))
-    values = F.array(*[F.col(f"_v.c{i}") for i in range(MAX_CSV_COLUMNS)])
-    picked = body.select("path", "seq", "_names", values.alias("_values"))
+            .select("path", "seq", "_names", F.coalesce(
+                _quoted_fields(F.when(F.contains(line, F.lit('"')), line)), F.split(line, ",")).alias("_values")))
 
     def value(name):
         position = F.array_position("_names", name).cast("int")
         return F.when(position > 0, F.nullif(F.trim(F.try_element_at("_values", position)), F.lit("")))
-    return picked.select("path", "seq", *[value(c).alias(c) for c in columns])
+    return body.select("path", "seq", *[value(c).alias(c) for c in columns])
+
+
+def _quoted_fields(line: Column) -> Column:
+    """Fields of a line with quotes; lines without any arrive as NULL and are split by Spark."""
+    @F.pandas_udf("array<string>")
+    def batch(values: pd.Series) -> pd.Series:
+        return values.map(lambda text: None if text is None else next(csv.reader([text])))
+    return batch(line)
 
 
 def file_names(spark: SparkSession, path: str) -> DataFrame:
