@@ -18,17 +18,18 @@ from .quantile import quantiles
 KEY = ("recording_id",)
 
 
-def median_rate_hz(motion: DataFrame, name: str = "rate_hz", key: tuple[str, ...] = KEY) -> DataFrame:
+def median_rate_hz(motion: DataFrame, name: str = "rate_hz", key: tuple[str, ...] = KEY,
+                   split: bool | None = None) -> DataFrame:
     """1e9 over the median positive time step; recordings without one are left out."""
-    layout = along(ordered(motion.select(*key, "t_ns", "seq"), key), _prev=previous(F.col("t_ns")))
+    layout = along(ordered(motion.select(*key, "t_ns", "seq"), key, split=split), _prev=previous(F.col("t_ns")))
     steps = layout.frame.select(*key, (F.col("t_ns") - F.col("_prev")).alias("step_ns")).where("step_ns > 0")
     return quantiles(steps, list(key), "step_ns", bounded=not layout.split, median=0.5).select(
         *key, (F.lit(1e9) / F.col("median")).alias(name))
 
 
-def backward_steps(motion: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
+def backward_steps(motion: DataFrame, key: tuple[str, ...] = KEY, split: bool | None = None) -> DataFrame:
     """Number of samples whose time lies before the sample that arrived just before them."""
-    arrived = along(ordered(motion.select(*key, "t_ns", "seq"), key, ("seq",)),
+    arrived = along(ordered(motion.select(*key, "t_ns", "seq"), key, ("seq",), split),
                     _prev=previous(F.col("t_ns"))).frame
     return arrived.groupBy(*key).agg(F.count_if(F.col("t_ns") < F.col("_prev")).alias("backward_steps"))
 
@@ -58,13 +59,13 @@ def norm_stats(table: DataFrame, quantities: list[str], key: tuple[str, ...] = K
     plain = long.groupBy(*by).agg(F.avg("norm").alias("mean"), F.stddev_pop("norm").alias("std"),
                                   F.count("norm").alias("n"))
     ranked = quantiles(long, by, "norm", bounded=fits(table, *key), median=0.5, p05=0.05, p95=0.95, q25=0.25, q75=0.75)
-    return plain.join(ranked, by, "left").select(
+    return plain.join(ranked.drop("n"), by, "left").select(
         *by, "median", "p05", "p95", (F.col("q75") - F.col("q25")).alias("iqr"), "mean", "std", "n")
 
 
 def still(motion: DataFrame, rate: DataFrame | float, *, window_s: float = STILL_WINDOW_S,
           threshold: float = STILL_THRESHOLD, name: str = "still",
-          key: tuple[str, ...] = KEY) -> DataFrame:
+          key: tuple[str, ...] = KEY, split: bool | None = None) -> DataFrame:
     """Flag samples whose centred window of angular speed stays below the threshold.
 
     ``rate`` is one rate or a table (key, rate_hz); recordings without one use 100 Hz.  The
@@ -81,7 +82,7 @@ def still(motion: DataFrame, rate: DataFrame | float, *, window_s: float = STILL
     back = F.floor(window / 2)
     ahead = F.floor((window - 1) / 2)
     speed = norm(columns_of("gyro"))
-    layout = numbered(ordered(rows, key), "_row")
+    layout = numbered(ordered(rows, key, split=split), "_row")
     layout = layout.having(layout.rows.withColumn("_speed", speed))
     known = F.when(F.col("_speed").isNotNull(), F.col("_row"))
     fast = F.when(F.col("_speed") >= threshold, F.col("_row"))

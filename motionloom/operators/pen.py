@@ -20,13 +20,13 @@ def strokes(pen: DataFrame) -> DataFrame:
     return along(ordered(pen), stroke=running_sum(_down().cast("bigint"))).frame
 
 
-def _segmented(pen: DataFrame) -> DataFrame:
+def _segmented(pen: DataFrame, split: bool | None = None) -> DataFrame:
     """Stroke numbers on both clocks and the gap inside a stroke, in one pass.
 
     The pen clock numbers only rows that carry it: a pen-down event without it starts no stroke.
     """
     logged = F.col(PEN_CLOCK).isNotNull()
-    seen = along(ordered(pen.select("recording_id", "t_ns", "seq", "dot_type", PEN_CLOCK)),
+    seen = along(ordered(pen.select("recording_id", "t_ns", "seq", "dot_type", PEN_CLOCK), split=split),
                  stroke=running_sum(_down().cast("bigint")),
                  logged_stroke=running_sum((_down() & logged).cast("bigint")),
                  _prev=previous(F.col("t_ns"))).frame
@@ -52,13 +52,13 @@ def batched_share(pen: DataFrame) -> DataFrame:
         F.avg((F.col("gap_ns") == 0).cast("double")).alias("batched_share"))
 
 
-def dot_rate(pen: DataFrame) -> DataFrame:
+def dot_rate(pen: DataFrame, split: bool | None = None) -> DataFrame:
     """Per recording: in-stroke dot rate and the clock it was measured on.
 
     The pen's own clock decides wherever any dot carries it.  Otherwise ``t_ns`` is used only if few
     in-stroke steps are zero; dots stamped in batches on arrival would overstate the rate.
     """
-    dots = _segmented(pen)
+    dots = _segmented(pen, split)
     facts = dots.groupBy("recording_id").agg(
         F.count(PEN_CLOCK).alias("logged"),
         F.avg((F.col("gap_ns") == 0).cast("double")).alias("batched"))

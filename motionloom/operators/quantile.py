@@ -11,7 +11,7 @@ from .layout import along, attach, fits, ordered, running_sum
 
 def quantiles(df: DataFrame, key: list[str], value: str, bounded: bool | None = None,
               **probabilities: float) -> DataFrame:
-    """One row per key with a column per named probability; NULL values are ignored.
+    """One row per key with ``n`` and a column per named probability; NULL values are ignored.
 
     Equal values are counted before the shuffle.  If the largest group has few enough values, the
     built-in ``percentile`` finishes the work; otherwise values are laid out in global order and
@@ -24,8 +24,8 @@ def quantiles(df: DataFrame, key: list[str], value: str, bounded: bool | None =
     if fits(df, *key) if bounded is None else bounded:
         found = counts.groupBy(*key).agg(F.expr(
             f"percentile(`{value}`, array({', '.join(repr(float(p)) + 'D' for p in probabilities.values())}), _n)"
-        ).alias("_q"))
-        return found.select(*key, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+        ).alias("_q"), F.sum("_n").alias("n"))
+        return found.select(*key, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
 
     layout = along(ordered(counts, tuple(key), (value,), split=True), _upto=running_sum(F.col("_n")))
     totals = counts.groupBy(*key).agg(F.sum("_n").alias("_total"))
@@ -37,8 +37,8 @@ def quantiles(df: DataFrame, key: list[str], value: str, bounded: bool | None =
             held = (F.col("_upto") - F.col("_n") <= wanted) & (wanted < F.col("_upto"))
             picks.append(F.max(F.when(held, F.col(value))).alias(f"_{side}{i}"))
         picks.append(F.max(rank - F.floor(rank)).alias(f"_f{i}"))
-    picked = rows.groupBy(*key).agg(*picks)
-    return picked.select(*key, *[
+    picked = rows.groupBy(*key).agg(F.max("_total").alias("n"), *picks)
+    return picked.select(*key, "n", *[
         (F.col(f"_lo{i}") * (1 - F.col(f"_f{i}")) + F.col(f"_hi{i}") * F.col(f"_f{i}")).alias(n)
         for i, n in enumerate(names)])
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import lookup
-from ..operators.layout import durable, union_all
+from ..operators.layout import durable, rows_per_task, union_all
 from ..operators.motion import column_presence, median_rate_hz, partial_vectors, table_span
 from ..operators.pen import dot_rate
 from ..vocabulary import (CAPABILITY_FLAGS, CHANNEL_COLUMNS, COLUMN_DESCRIPTIONS,
@@ -111,15 +111,20 @@ def withdrawn_with_table(withdrawn: DataFrame, span: DataFrame) -> DataFrame:
     return withdrawn.join(span.select("recording_id", "modality"), ["recording_id", "modality"], "left_semi")
 
 
-def table_rates(tables: dict[str, DataFrame]) -> DataFrame:
+def oversized(span: DataFrame) -> bool:
+    """Does any stored table hold more rows of one recording than one task may?"""
+    return (span.agg(F.max("n_samples")).first()[0] or 0) > rows_per_task(span.sparkSession)
+
+
+def table_rates(tables: dict[str, DataFrame], split: bool | None = None) -> DataFrame:
     """(recording_id, modality, sample_rate_hz), unrounded: median rates, and the dot rate for pens."""
     timed = [tables[m].select("recording_id", F.lit(m).alias("modality"), "t_ns", "seq")
              for m in (*MOTION_MODALITIES, "markers") if m in tables]
     found = []
     if timed:
-        found.append(median_rate_hz(union_all(timed), "sample_rate_hz", ("recording_id", "modality")))
+        found.append(median_rate_hz(union_all(timed), "sample_rate_hz", ("recording_id", "modality"), split))
     if "pen" in tables:
-        found.append(dot_rate(tables["pen"]).select(
+        found.append(dot_rate(tables["pen"], split).select(
             "recording_id", F.lit("pen").alias("modality"),
             F.col("pen_hz_measured").alias("sample_rate_hz")))
     return union_all(found)
@@ -134,6 +139,7 @@ def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = N
                    rates: DataFrame | None = None) -> DataFrame:
     """Every manifest value the tables alone determine, one row per recording."""
     span = durable(spans(tables))
+    split = oversized(span)
 
     def of(modality, column):
         return F.max(F.when(F.col("modality") == modality, F.col(column)))
@@ -145,14 +151,14 @@ def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = N
     ).withColumn("duration_s", F.bround((F.col("t_end_ns") - F.col("t_start_ns")) / F.lit(1e9), 3))
 
     motion_tables = {m: t for m, t in tables.items() if m in MOTION_MODALITIES}
-    measured = rates if rates is not None else (table_rates(motion_tables) if motion_tables else None)
+    measured = rates if rates is not None else (table_rates(motion_tables, split) if motion_tables else None)
     parts = []
     if measured is not None:
         parts.append(rounded_rates(measured).groupBy("recording_id").agg(
             *[F.max(F.when(F.col("modality") == m, F.col("sample_rate_hz"))).alias(name)
               for m, name in (("watch", "watch_hz_measured"), ("headimu", "head_hz_measured"))]))
     if "pen" in tables:
-        parts.append(dot_rate(tables["pen"]))
+        parts.append(dot_rate(tables["pen"], split))
     if "markers" in tables:
         parts.append(task_counts(tables["markers"]))
     if "watch" in tables or "headimu" in tables:

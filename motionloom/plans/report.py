@@ -29,7 +29,7 @@ def pen_rate_summary(manifest: DataFrame) -> DataFrame:
     plain = pens.groupBy(*by).agg(F.count("*").alias("recordings"),
                                   F.min("pen_hz_measured").alias("lowest_hz"),
                                   F.max("pen_hz_measured").alias("highest_hz"))
-    return plain.join(quantiles(pens, by, "pen_hz_measured", median_hz=0.5), by, "left")
+    return plain.join(quantiles(pens, by, "pen_hz_measured", median_hz=0.5).drop("n"), by, "left")
 
 
 def channel_summary(channels: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from ..vocabulary import (ACCEL_BANDS, ACCEL_MIX_BAND, ACCEL_SEMANTICS, ACCEL_SI
                           MIN_PHYSICS_ROWS, MODALITY_FLAGS, MOTION_MODALITIES,
                           QUAT_GRAVITY_ANGLE_MAX_DEG, QUAT_NORM_BAND, QUAT_STILL_ANGLE_MAX_DEG,
                           RATE_TOLERANCE, SCHEMA_VERSION, SPILL_GUARD_S, TIME_ALIGNMENTS, VECTORS)
-from .manifest import (channel_rows, derived_values, dropouts, refuse, rounded_rates, spans,
+from .manifest import (channel_rows, derived_values, dropouts, oversized, refuse, rounded_rates, spans,
                        stored_columns, table_rates)
 
 STREAM = ["recording_id", "modality"]
@@ -64,20 +64,23 @@ def all_motion(tables: dict[str, DataFrame]) -> DataFrame:
 
 # --- motion streams -------------------------------------------------------------------------------
 
-def time_monotonic(motion: DataFrame) -> DataFrame:
+def time_monotonic(motion: DataFrame, split: bool | None = None) -> DataFrame:
     steps = F.col("backward_steps")
-    return finding(backward_steps(motion, tuple(STREAM)), "time_monotonic", column="t_ns", observed=steps,
+    return finding(backward_steps(motion, tuple(STREAM), split), "time_monotonic", column="t_ns", observed=steps,
                    number=steps, expected="no backward steps", passed=steps == 0)
 
 
-def sample_rate(motion: DataFrame, nominal: DataFrame, rates: DataFrame | None = None) -> DataFrame:
+def sample_rate(motion: DataFrame, nominal: DataFrame, rates: DataFrame | None = None,
+                span: DataFrame | None = None, split: bool | None = None) -> DataFrame:
     """Measured against declared rate; a stream without a declared rate passes as measured only.
 
     ``nominal``: recording_id, watch_hz_nominal, head_hz_nominal.
     """
     rate = (rates.withColumnRenamed("sample_rate_hz", "rate") if rates is not None
-            else median_rate_hz(motion, "rate", tuple(STREAM)))
-    rows = attach(motion.select(*STREAM).distinct().join(rate, STREAM, "left"), nominal, ["recording_id"])
+            else median_rate_hz(motion, "rate", tuple(STREAM), split))
+    streams = (motion.select(*STREAM).distinct() if span is None
+               else span.where(F.col("modality").isin(*MOTION_MODALITIES)).select(*STREAM))
+    rows = streams.join(rate, STREAM, "left").join(nominal, "recording_id", "left")
     declared = F.when(F.col("modality") == "headimu", F.col("head_hz_nominal")).otherwise(
         F.col("watch_hz_nominal"))
     off = F.abs(F.col("rate") - declared) / declared
@@ -93,7 +96,7 @@ def _presence(motion: DataFrame) -> DataFrame:
         F.count_if(all_finite(columns_of(q))).alias(f"n_{q}") for q in VECTORS])
 
 
-def physics(motion: DataFrame) -> DataFrame:
+def physics(motion: DataFrame, split: bool | None = None) -> DataFrame:
     """Quantiles of every measure the physical checks need: (stream, measure, n, median, ...).
 
     Measures: the five vector norms, the vertical gravity component lying flat, the angle between
@@ -118,23 +121,22 @@ def physics(motion: DataFrame) -> DataFrame:
 
     fallback = held.where(enough & ~F.col("_has_gravity") & F.col("_has_total") & F.col("_has_gyro")
                           & all_finite(quat)).select(*motion.columns)
-    bounded = fits(motion, *STREAM)
-    stats = [_measure_stats(long, bounded)]
+    split = not fits(motion, *STREAM) if split is None else split
+    stats = [_measure_stats(long, not split)]
     if not fallback.isEmpty():
-        rate = median_rate_hz(fallback, "rate_hz", tuple(STREAM))
-        calm = still(fallback, rate, key=tuple(STREAM)).where("still").select(
+        rate = median_rate_hz(fallback, "rate_hz", tuple(STREAM), split)
+        calm = still(fallback, rate, key=tuple(STREAM), split=split).where("still").select(
             *STREAM, F.lit("still_angle").alias("measure"),
             angle_deg(columns_of("accel_total"), rebuilt).alias("value"))
         counted = fallback.select(*STREAM).distinct().select(*STREAM, F.lit("still_angle").alias("measure"))
-        stats.append(counted.join(_measure_stats(calm, bounded), [*STREAM, "measure"], "left")
+        stats.append(counted.join(_measure_stats(calm, not split), [*STREAM, "measure"], "left")
                      .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
     return union_all(stats)
 
 
 def _measure_stats(long: DataFrame, bounded: bool) -> DataFrame:
     by = [*STREAM, "measure"]
-    return (long.groupBy(*by).agg(F.count("*").alias("n"))
-            .join(quantiles(long, by, "value", bounded=bounded, median=0.5, p95=0.95, q25=0.25, q75=0.75), by, "left")
+    return (quantiles(long, by, "value", bounded=bounded, median=0.5, p95=0.95, q25=0.25, q75=0.75)
             .select(*by, "n", "median", "p95", (F.col("q75") - F.col("q25")).alias("iqr")))
 
 
@@ -327,12 +329,14 @@ def check_tables(tables: dict[str, DataFrame], meta: DataFrame, rates: DataFrame
     """Findings of every check that applies to the tables and declared facts."""
     span = durable(spans(tables))
     dropped = dropouts(span)
+    split = oversized(span)
     found = []
     if any(m in tables for m in MOTION_MODALITIES):
         motion = all_motion(tables)
         nominal = meta.select("recording_id", _declared(meta, "watch_hz_nominal").cast("double").alias("watch_hz_nominal"),
                               _declared(meta, "head_hz_nominal").cast("double").alias("head_hz_nominal"))
-        found += [time_monotonic(motion), sample_rate(motion, nominal, rates), physics_findings(physics(motion))]
+        found += [time_monotonic(motion, split), sample_rate(motion, nominal, rates, span, split),
+                  physics_findings(physics(motion, split))]
     if "pen" in tables:
         found.append(dot_type_vocabulary(tables["pen"]))
     if "attention" in tables:

@@ -10,7 +10,6 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from motionloom.operators.layout import union_all
 from motionloom.plans import select as Q
 from motionloom.plans import validate as V
 from motionloom.plans.label import label_recordings
@@ -19,7 +18,7 @@ from motionloom.sources import bundle, sinks
 from motionloom.sources.files import lines
 from motionloom.vocabulary import MODALITIES
 
-from .test_validate import T0, sound, table
+from .test_validate import T0, many, sound
 
 PEN = "recording_id string, t_ns bigint, seq bigint, dot_type string, x double, y double, pressure double, src_timestamp double"
 
@@ -27,7 +26,7 @@ PEN = "recording_id string, t_ns bigint, seq bigint, dot_type string, x double,
 def collection(spark):
     user, slow = sound(400), sound(300, hz=50, seed=4)
     total = sound(2000, with_gravity=False, still=0.3)
-    watch = union_all([table(spark, user, "A"), table(spark, slow, "B"), table(spark, total, "C")])
+    watch = many(spark, {"A": user, "B": slow, "C": total})
     pen = spark.createDataFrame([(rid, T0 + i * 12_500_000, i, "PEN_DOWN" if i % 10 == 0 else "PEN_MOVE", 1.0, 2.0, 3.0, i * 12.5)
                                  for rid in "AB" for i in range(40)], PEN)
     ids = spark.createDataFrame([("A", "user", 100.0, "ncode_grid"), ("B", "user", 50.0, "webapp_raw"), ("C", "total", 100.0, "")],

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from motionloom.operators.layout import union_all
 from motionloom.plans import validate as V
+from motionloom.sources.bundle import without_nan
 from motionloom.vocabulary import VECTORS
 
 T0 = 1_780_000_000_000_000_000
@@ -29,12 +30,24 @@ def sound(n=400, hz=100, seed=1, still=0.0, with_gravity=True):
     return out
 
 
+COLUMNS = [c for cols in VECTORS.values() for c in cols]
+
+
 def table(spark, data, rid="r"):
-    vectors = [v for v in VECTORS if v in data]
-    columns = [c for v in vectors for c in VECTORS[v]]
-    values = np.concatenate([data[v] for v in vectors], axis=1)
-    rows = [(rid, int(t), i, *map(float, row)) for i, (t, row) in enumerate(zip(data["t_ns"], values))]
-    return spark.createDataFrame(rows, "recording_id string, t_ns bigint, seq bigint, " + ", ".join(f"{c} double" for c in columns))
+    return many(spark, {rid: data})
+
+
+def many(spark, streams):
+    """One table of several recordings; vectors a recording lacks are NULL."""
+    frames = []
+    for rid, data in streams.items():
+        frame = pd.DataFrame({"recording_id": rid, "t_ns": data["t_ns"], "seq": np.arange(len(data["t_ns"]))})
+        for vector, columns in VECTORS.items():
+            frame[list(columns)] = data.get(vector, np.full((len(frame), len(columns)), np.nan))
+        frames.append(frame)
+    schema = "recording_id string, t_ns bigint, seq bigint, " + ", ".join(f"{c} double" for c in COLUMNS)
+    held = [c for c in COLUMNS if any(f[c].notna().any() for f in frames)]
+    return without_nan(spark.createDataFrame(pd.concat(frames), schema)).select("recording_id", "t_ns", "seq", *held)
 
 
 FACTS = {"watch_hz_nominal": 100.0, "head_hz_nominal": None, "time_origin": "unix_epoch", "accel_semantics": "user",
@@ -49,7 +62,7 @@ def meta(spark, facts):
 
 def check(spark, streams):
     """Findings of many recordings from one run: {recording: {check: finding}}."""
-    watch = union_all([table(spark, data, rid) for rid, (data, _) in streams.items()])
+    watch = many(spark, {rid: data for rid, (data, _) in streams.items()})
     out = {rid: {} for rid in streams}
     for r in V.check_tables({"watch": watch}, meta(spark, {rid: f for rid, (_, f) in streams.items()})).collect():
         out[r.recording_id][r.check] = r
@@ -119,8 +132,8 @@ def test_few_quaternions_give_no_finding(found):
 
 def test_overlap_and_dropouts(spark):
     later = sound(3000, seed=8) | {"t_ns": sound(3000)["t_ns"] + 60 * 10**9}
-    watch = union_all([table(spark, sound(3000), rid) for rid in ("brief", "apart")])
-    head = union_all([table(spark, sound(2), "brief"), table(spark, later, "apart")])
+    watch = many(spark, {rid: sound(3000) for rid in ("brief", "apart")})
+    head = many(spark, {"brief": sound(2), "apart": later})
     rows = V.check_tables({"watch": watch, "headimu": head}, meta(spark, {"brief": {}, "apart": {}})).collect()
     checks = {(r.recording_id, r.check): r for r in rows}
     assert checks["brief", "modality_dropout"].modality == "headimu" and ("brief", "streams_overlap") not in checks
