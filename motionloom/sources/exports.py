@@ -18,7 +18,7 @@ from ..functions.text import listed_rate_hz, lookup, present, session_key
 from ..operators.containment import contained
 from ..operators.labels import (anchored_intervals, block_disagreements, expansion_agreement,
                                 inverted_intervals, protocol_tail)
-from ..operators.layout import attach, union_all
+from ..operators.layout import attach, durable, union_all
 from ..operators.motion import (gravity_lookalikes, harmonise_gravity, median_rate_hz,
                                 norm_stats, scale_acceleration, still_bias, table_span)
 from ..plans.manifest import refuse
@@ -296,8 +296,8 @@ SESSION_JSON = ("events array<struct<t_ms: bigint, t_session_ms: double, event:
 
 def session_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, events, pen_events) of session JSON files; payloads stay text."""
-    return spark.read.schema(SESSION_JSON).option("multiLine", True).json(path).select(
-        F.col("_metadata.file_path").alias("path"), "events", "pen_events")
+    return durable(spark.read.schema(SESSION_JSON).option("multiLine", True).json(path).select(
+        F.col("_metadata.file_path").alias("path"), "events", "pen_events"))
 
 
 def session_events(files: DataFrame) -> DataFrame:
@@ -488,14 +488,15 @@ def head_study_export(spark: SparkSession, root: str, cohort: str, *, pipeline:
                 HEAD_FILE)
     at = iso_to_unix_ns(F.col("timestamp_iso"))
     head = mapped(raw, at, vectors, {"sensor_timestamp_s": number("sensor_timestamp_s")})
-    span = table_span(head).select("recording_id", "t_start_ns", "t_end_ns")
+    span = durable(table_span(head).select("recording_id", "t_start_ns", "t_end_ns"))
     require_recordings(span, root)
 
-    truth = named(ground_truth(existing_lines(spark, f"{root}/*/*_ground_truth*.txt")), r"/([^/_]+)_ground_truth")
+    truth = durable(named(ground_truth(existing_lines(spark, f"{root}/*/*_ground_truth*.txt")),
+                          r"/([^/_]+)_ground_truth"))
     refuse(span.join(truth.select("recording_id").distinct(), "recording_id", "left_anti").select("recording_id"),
            "recording without ground truth", FileNotFoundError)
-    text = named(existing_lines(spark, f"{root}/*/*_protokoll*.txt"), r"/([^/_]+)_protokoll")
-    blocks = named(protocol_blocks(text), r"/([^/_]+)_protokoll")
+    text = durable(named(existing_lines(spark, f"{root}/*/*_protokoll*.txt"), r"/([^/_]+)_protokoll"))
+    blocks = durable(named(protocol_blocks(text), r"/([^/_]+)_protokoll"))
     covered = blocks.select("recording_id").distinct()
     refuse(block_disagreements(blocks, truth.join(covered, "recording_id", "left_semi")),
            "protocol blocks and ground truth disagree")
@@ -503,11 +504,11 @@ def head_study_export(spark: SparkSession, root: str, cohort: str, *, pipeline:
     plain = truth.join(covered, "recording_id", "left_anti").select(
         "recording_id", "seq", "start_s", "label", F.lit("").alias("activity"))
     rows = plain.unionByName(blocks.select("recording_id", "seq", "start_s", "label", "activity"))
-    attention = anchored_intervals(rows, span)
+    attention = durable(anchored_intervals(rows, span))
     refuse(inverted_intervals(attention), "attention interval ends before it starts")
     labelled = raw.select("recording_id", "seq", at.alias("t_ns"), "label").withColumnRenamed("label", "_own")
     judged = labelled.groupBy("recording_id").agg(F.count("_own").alias("n")).where("n > 0").select("recording_id")
-    agreement = expansion_agreement(labelled.join(judged, "recording_id", "left_semi"), attention, "_own")
+    agreement = durable(expansion_agreement(attach(labelled, judged, ["recording_id"], "inner"), attention, "_own"))
     refuse(agreement.where(F.col("agreement") < EXPANSION_MIN_AGREEMENT), "interval expansion contradicts the samples")
 
     tail = protocol_tail(span, blocks).withColumnRenamed("tail_s", "attention_protocol_tail_s")
@@ -567,9 +568,9 @@ def notebook_export(spark: SparkSession, root: str, strokes: DataFrame, points:
     rows = attach(raw, ids.select("path", "recording_id"), ["path"], "inner")
     watch = mapped(rows, F.col("t_ns"), vectors, {
         "accelerometer_timestamp_s": number(uptime.replace("(", "_").replace(")", ""))})
-    windows = table_span(watch).withColumn("source", F.lit(root))
-    inside = points_in_windows(points.withColumn("source", F.lit(root)), strokes.withColumn("source", F.lit(root)),
-                               windows, ["source"])
+    windows = durable(table_span(watch).withColumn("source", F.lit(root)))
+    inside = durable(points_in_windows(points.withColumn("source", F.lit(root)),
+                                       strokes.withColumn("source", F.lit(root)), windows, ["source"]))
     refuse(page_problems(inside, windows), "watch range must overlap exactly one notebook page")
     named = inside.withColumns({"dot_type": lookup(F.col("draw_type").cast("int"), NOTEBOOK_DRAW_TYPES),
                                 "seq": F.col("point_id").cast("bigint")})

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.layout import attach
+from ..operators.layout import attach, durable
 
 _ROW_BITS = (1 << 33) - 1
 
@@ -51,10 +51,11 @@ def csv_rows(spark: SparkSession, path: str, columns: list[str], required: tuple
     """(path, seq, columns...) of all CSV files below ``path``; every value is text, blank is NULL.
 
     Exports of one kind differ in their optional columns, so values are matched to each file's own
-    header, and a column a file lacks is NULL there.
+    header, and a column a file lacks is NULL there.  Files are parsed once: the rows are written out,
+    and the checks and tables built on them read that.
     """
     rows = existing_lines(spark, path)
-    heads = _headers(rows)
+    heads = durable(_headers(rows))
     if required:
         lacking = heads.where(F.size(F.array_except(F.array(*[F.lit(c) for c in required]), "_names")) > 0)
         bad = lacking.take(3)
@@ -69,7 +70,7 @@ def csv_rows(spark: SparkSession, path: str, columns: list[str], required: tuple
     def value(name):
         position = F.array_position("_names", name).cast("int")
         return F.when(position > 0, F.nullif(F.trim(F.try_element_at("_values", position)), F.lit("")))
-    return body.select("path", "seq", *[value(c).alias(c) for c in columns])
+    return durable(body.select("path", "seq", *[value(c).alias(c) for c in columns]))
 
 
 def _quoted_fields(line: Column) -> Column:
