@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .layout import (Ordered, along, attach, durable, following, last_seen, ordered, previous, running_max,
-                     union_all)
+                     running_sum, union_all)
 
-LEVELS = 62
 
 
 def timeline(points: DataFrame, marks: DataFrame, mark: list[str], *, marks_first: bool,
@@ -31,10 +30,11 @@ def disjoint_spans(spans: DataFrame, values: list[str], rank: str,
                    key: tuple[str, ...] = ("recording_id",)) -> DataFrame:
     """Rewrite half-open spans ``[t_start_ns, t_end_ns)`` so that none overlap.
 
-    Where several cover an instant, the one with the greatest ``rank`` wins.  Spans that never
-    overlap, the normal case, pass through.  Otherwise each span is cut into aligned power-of-two
-    blocks (at most two per size) and every distinct boundary looks its blocks up; the work stays
-    proportional to the number of spans even where all of them cover each other.
+    Where several cover an instant, the one with the greatest ``rank`` (unique per key) wins.  Spans
+    that never overlap, the normal case, pass through.  Otherwise boundaries are numbered, each span
+    is cut into aligned power-of-two blocks of those numbers (at most two per size), and every piece
+    between neighbouring boundaries looks its blocks up.  The work grows with the number of spans
+    times its logarithm even where all of them cover each other.
     """
     spans = spans.where(F.col("t_start_ns") < F.col("t_end_ns"))
     laid = ordered(spans, key, ("t_start_ns", rank))
@@ -43,29 +43,37 @@ def disjoint_spans(spans: DataFrame, values: list[str], rank: str,
     if before.rows.where(F.col("_before") > F.col("t_start_ns")).isEmpty():
         return spans
 
-    winner = F.struct(F.col(rank).alias("_rank"), *values).alias("_winner")
-    level = F.sequence(F.lit(0), F.lit(LEVELS))
+    ends = F.array(F.struct(F.col("t_start_ns").alias("_t"), F.lit(0).alias("_side")),
+                   F.struct(F.col("t_end_ns").alias("_t"), F.lit(1).alias("_side")))
+    bounds = ordered(spans.select(*key, rank, *values, F.inline(ends)), key, ("_t", "_side", rank))
+    seen = along(bounds, _prev=previous(F.col("_t")))
+    fresh = F.when(F.col("_prev").eqNullSafe(F.col("_t")), 0).otherwise(1)
+    places = durable(along(seen.having(seen.rows.withColumn("_fresh", fresh)),
+                           _place=running_sum(F.col("_fresh"))).frame)
+    highest = places.agg(F.max("_place")).first()[0]
+    sizes = list(range(int(highest).bit_length()))
+    placed = places.groupBy(*key, rank).agg(
+        F.min("_place").alias("_low"), F.max("_place").alias("_high"),
+        F.max(F.struct(F.col(rank).alias("_rank"), *values)).alias("_winner"))
 
     def blocks(size):
-        low = -F.call_function("shiftright", -F.col("t_start_ns"), size)
-        high = F.call_function("shiftright", F.col("t_end_ns"), size)
+        low = -F.call_function("shiftright", -F.col("_low"), size)
+        high = F.call_function("shiftright", F.col("_high"), size)
         odd = lambda v: F.pmod(v, F.lit(2)) == 1
         return F.array(
-            F.when((low < high) & odd(low), F.struct(size.alias("_level"), low.alias("_block"))),
-            F.when((low < high) & odd(high), F.struct(size.alias("_level"), (high - 1).alias("_block"))))
-
-    best = durable(spans.select(*key, winner, F.explode(F.flatten(F.transform(level, blocks))).alias("b"))
-                   .where(F.col("b").isNotNull())
-                   .groupBy(*key, "b._level", "b._block").agg(F.max("_winner").alias("_winner")))
-    sizes = [r[0] for r in best.select("_level").distinct().collect()]  # at most LEVELS + 1 numbers
-    cuts = union_all([spans.select(*key, F.col(c).alias("t_start_ns"))
-                      for c in ("t_start_ns", "t_end_ns")]).distinct()
-    pieces = along(ordered(cuts, key, ("t_start_ns",), split=laid.split),
+            F.when((low < high) & odd(low), F.struct(size.alias("_size"), low.alias("_block"))),
+            F.when((low < high) & odd(high), F.struct(size.alias("_size"), (high - 1).alias("_block"))))
+
+    levels = F.array(*[F.lit(s) for s in sizes])
+    best = (placed.select(*key, "_winner", F.explode(F.flatten(F.transform(levels, blocks))).alias("b"))
+            .where(F.col("b").isNotNull())
+            .groupBy(*key, "b._size", "b._block").agg(F.max("_winner").alias("_winner")))
+    cuts = places.where("_fresh = 1").select(*key, F.col("_t").alias("t_start_ns"), "_place")
+    pieces = along(ordered(cuts, key, ("t_start_ns",), split=bounds.split),
                    t_end_ns=following(F.col("t_start_ns"))).frame
-    probes = (pieces.where(F.col("t_end_ns").isNotNull())
-              .withColumn("_level", F.explode(F.array(*[F.lit(s) for s in sizes])))
-              .withColumn("_block", F.call_function("shiftright", F.col("t_start_ns"), F.col("_level"))))
-    return (attach(probes, best, [*key, "_level", "_block"], "inner")
+    probes = (pieces.where(F.col("t_end_ns").isNotNull()).withColumn("_size", F.explode(levels))
+              .withColumn("_block", F.call_function("shiftright", F.col("_place"), F.col("_size"))))
+    return (attach(probes, best, [*key, "_size", "_block"], "inner", costly=True)
             .groupBy(*key, "t_start_ns", "t_end_ns").agg(F.max("_winner").alias("_winner"))
             .select(*key, "t_start_ns", "t_end_ns", F.col("_winner._rank").alias(rank),
                     *[F.col(f"_winner.{v}").alias(v) for v in values]))

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 DEFAULT_ROWS_PER_TASK = 1_000_000
 DEFAULT_BROADCAST_ROWS = 200_000
-SALTS = 32
 
 
 def _setting(spark: SparkSession, name: str, default: int) -> int:
@@ -211,20 +210,35 @@ def fits(df: DataFrame, *key: str) -> bool:
 
 def attach(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", *,
            costly: bool = False) -> DataFrame:
-    """Join ``rows`` with a table of one row per key.
+    """Join ``rows`` with a table of few rows per key.
 
-    The lookup is sent to every executor only if counting it stays below the limit.  A larger one
-    is repeated once per salt and joined on key and salt, so that a key holding a large part of
-    ``rows`` is still spread over many tasks.  A ``costly`` lookup is written out before it is
-    counted, so that it is computed once.
+    The lookup is sent to every executor only if counting it stays below the limit.  Beyond it both
+    sides are shuffled, and keys with more rows than one task may hold are looked up first: their
+    rows are dealt out over as many salts as they fill tasks, with the lookup row repeated for each.
+    A ``costly`` lookup is written out before it is counted, so that it is computed once.
     """
-    limit = broadcast_rows(rows.sparkSession)
+    spark = rows.sparkSession
+    limit = broadcast_rows(spark)
     lookup = durable(lookup) if costly else lookup
-    if lookup.limit(limit + 1).count() <= limit:
+    if _at_most(lookup, limit):
         return rows.join(F.broadcast(lookup), on, how)
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
-    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", salt).join(salted, [*on, "_salt"], how).drop("_salt")
+    share = rows_per_task(spark)
+    crowded = durable(rows.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > share)
+                      .select(*on, F.ceil(F.col("_n") / share).cast("int").alias("_salts")))
+    if crowded.isEmpty():
+        return rows.join(lookup, on, how)
+    # Crowded keys number at most all rows over the share of a task.
+    crowded = F.broadcast(crowded) if _at_most(crowded, limit) else crowded
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    dealt = rows.join(crowded, on, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*rows.columns), salts).cast("int")).drop("_salts")
+    repeated = lookup.join(crowded, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def _at_most(df: DataFrame, limit: int) -> bool:
+    return df.limit(limit + 1).count() <= limit
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
