@@ -78,12 +78,11 @@ def _rebased(text: str | None, origin_ns: int) -> str | None:
     if not text:
         return text
     fields = _object(text)
-    hits = {k for k in MS_PAYLOAD_KEYS if k in fields and _is_unix(fields[k])}
-    if not hits or origin_ns == 0:
+    moved = {key: fields[key] - (origin_ns // 1_000_000 if isinstance(fields[key], int) else origin_ns / 1e6)
+             for key in MS_PAYLOAD_KEYS if _is_unix(fields.get(key))}
+    if all(fields[key] == value for key, value in moved.items()):
         return text
-    return json.dumps({k: (v if k not in hits else v - origin_ns // 1_000_000
-                           if isinstance(v, int) else v - origin_ns / 1e6)
-                       for k, v in fields.items()})
+    return json.dumps(fields | moved)
 
 
 def holds_coordinates(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import seconds_to_ns
 from ..vocabulary import DEFAULT_CONTACT_TOLERANCE_S, WRITING_DOT_TYPES
 from .containment import covered_by, timeline
-from .layout import (Ordered, along, following, last_seen, next_seen, numbered, ordered, previous)
+from .layout import (Ordered, along, attach, following, last_seen, next_seen, numbered, ordered, previous)
 
 KEY = ("recording_id",)
 
@@ -94,7 +94,7 @@ def anchored_intervals(blocks: DataFrame, span: DataFrame) -> DataFrame:
     t_end_ns of the motion samples.  The last block ends with the last sample.
     """
     anchor = span.select("recording_id", F.col("t_start_ns").alias("_t0"), F.col("t_end_ns").alias("_t1"))
-    placed = blocks.join(anchor, "recording_id").withColumn(
+    placed = attach(blocks, anchor, ["recording_id"], "inner").withColumn(
         "t_start_ns", F.col("_t0") + F.rint(F.col("start_s") * F.lit(1e9)).cast("bigint"))
     chained = along(ordered(placed, KEY, ("seq",)), _next=following(F.col("t_start_ns"))).frame
     return chained.select("recording_id", "seq", "t_start_ns",

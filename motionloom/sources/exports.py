@@ -531,7 +531,7 @@ def points_in_windows(points: DataFrame, strokes: DataFrame, windows: DataFrame,
     ``points``: key, stroke_id, date_ms, ...; ``strokes``: key, stroke_id, page_id; ``windows``: key,
     recording_id, t_start_ns, t_end_ns.
     """
-    paged = points.join(strokes, [*key, "stroke_id"])
+    paged = attach(points, strokes, [*key, "stroke_id"], "inner")
     bounds = windows.select(*key, "recording_id", ceil_div(F.col("t_start_ns"), 1_000_000).alias("lo"),
                             floor_div(F.col("t_end_ns"), 1_000_000).alias("hi"))
     return contained(paged, bounds, key, "date_ms").drop("lo", "hi")
