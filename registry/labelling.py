@@ -121,7 +121,7 @@ def expansion_agreement(spark, sf):
 BLOCKS_SQL = """blocks AS (SELECT 'C' || conv_id AS recording_id, turn AS seq, turn * 10.25::DOUBLE AS start_s,
         (turn + 1) * 10.25::DOUBLE AS end_s, CASE WHEN turn % 3 = 0 THEN 'focused' ELSE 'distracted' END AS label,
         role AS activity FROM conversations),
-    span AS (SELECT recording_id, t_start_ns, t_start_ns + (last + 1) * 9000000000::BIGINT AS t_end_ns FROM (
+    span AS (SELECT recording_id, t_start_ns, t_start_ns + (last + 1) * 6000000000::BIGINT AS t_end_ns FROM (
         SELECT 'C' || conv_id AS recording_id, conv_id * 7000000000::BIGINT AS t_start_ns, max(turn) AS last
         FROM conversations GROUP BY conv_id))"""
 
