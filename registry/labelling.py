@@ -138,7 +138,7 @@ def _span(spark, sf):
     start = F.col("conv_id") * F.lit(7_000_000_000)
     return read(spark, sf, "conversations").groupBy("conv_id").agg(F.max("turn").alias("last")).select(
         F.concat(F.lit("C"), F.col("conv_id").cast("string")).alias("recording_id"), start.alias("t_start_ns"),
-        (start + (F.col("last") + 1) * F.lit(9_000_000_000)).alias("t_end_ns"))
+        (start + (F.col("last") + 1) * F.lit(6_000_000_000)).alias("t_end_ns"))
 
 
 _ANCHORED = f"""WITH {BLOCKS_SQL}, placed AS (SELECT b.*, s.t_end_ns AS t1,
