@@ -185,10 +185,12 @@ def along(layout: Ordered, **columns: Along) -> Ordered:
             F.coalesce(own, c)),
         "running_max": lambda own, c: F.greatest(own, c),
     }
-    carry = (rows.groupBy(*layout.key, CHUNK)
-             .agg(*[summary[a.kind](a.value).alias(f"_c_{n}") for n, a in columns.items()])
-             .select(*layout.key, CHUNK, *[carried[a.kind](F.col(f"_c_{n}")).alias(f"_c_{n}")
-                                           for n, a in columns.items()]))
+    # Written out, because steps build on each other: a step then reads the carries before it
+    # instead of deriving all of them again.
+    carry = durable(rows.groupBy(*layout.key, CHUNK)
+                    .agg(*[summary[a.kind](a.value).alias(f"_c_{n}") for n, a in columns.items()])
+                    .select(*layout.key, CHUNK, *[carried[a.kind](F.col(f"_c_{n}")).alias(f"_c_{n}")
+                                                  for n, a in columns.items()]))
     joined = (rows.select("*", *[c.alias(f"_w_{n}") for n, c in local.items()])
               .join(carry, [*layout.key, CHUNK], "left"))
     return layout.having(joined.select(*rows.columns, *[
