@@ -24,9 +24,13 @@ _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd, so inver
 @lru_cache(maxsize=4)
 def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     n = 1 << bits
-    up, down = (np.cumprod(np.concatenate([[1], np.full(n - 1, b % (1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
-                for b in (base, pow(base, -1, 1 << 64)))
-    return up, down
+
+    def rising(b: int) -> np.ndarray:
+        factors = np.full(n, b, np.uint64)
+        factors[0] = 1
+        return np.cumprod(factors, dtype=np.uint64)
+
+    return rising(base), rising(pow(base, -1, 1 << 64))
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
