@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minmax, packing, separators
+from . import minmax, packing, repeats, separators
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,14 @@ def op4_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stay after removing windows of 50 words that repeat a smaller document."""
+    found = repeats.without_repeats(read(spark, sf_dir, "documents"))
+    digest = F.when(F.col("kept_text").isNull(), F.col("words_sha256")).otherwise(F.sha2("kept_text", 256))
+    return found.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
