@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minmax, packing, repeats, separators
+from . import language, minmax, packing, repeats, separators
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,14 @@ def query(sql: str | None = None):
     return keep
 
 
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from the documents outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    scored = language.predict(docs.select("doc_id", "text"), language.train(docs))
+    return scored.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op4_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
