@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minmax, packing, repeats, separators
+from . import language, minmax, packing, repeats, secrets, separators
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,22 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+@query()
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    found = secrets.find(read(spark, sf_dir, "documents"))
+    names = F.array(*map(F.lit, secrets.KINDS))
+
+    def joined(which):
+        return F.array_join(F.transform(which, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def number(kind):
+        return F.size(F.filter("found", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["kind"] < secrets.KINDS.index("random"))
+    return found.select("doc_id", number("assign"), number("access"), number("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
+
+
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document, found by scanning the flat token files written from all documents."""
