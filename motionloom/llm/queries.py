@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minmax, packing, repeats, secrets, separators
+from . import language, minmax, neighbours, packing, repeats, secrets, separators
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
 
 
+@query()
+def op6_adaptive_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every vector whose id is divisible by 50."""
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""
