@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minmax, neighbours, packing, repeats, secrets, separators
+from . import language, minmax, neighbours, packing, repeats, secrets, separators, warc
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,20 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query("""
+WITH rows AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+held AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS holder FROM rows)
+SELECT page_id, strlen(payload) AS payload_bytes,
+    array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '') AS payload_digest,
+    CASE WHEN holder = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN holder <> page_id THEN holder END AS refers_to
+FROM held""")
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back from the archives."""
+    return warc.written_and_read(read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op4_minmax_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
