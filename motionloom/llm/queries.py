@@ -35,7 +35,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH rows AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
 held AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS holder FROM rows)
 SELECT page_id, strlen(payload) AS payload_bytes,
-    array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
         1 + ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '') AS payload_digest,
     CASE WHEN holder = page_id THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN holder <> page_id THEN holder END AS refers_to
