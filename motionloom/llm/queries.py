@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, minmax, neighbours, packing, repeats, secrets, separators, warc
+from . import decontamination, language, minmax, neighbours, packing, repeats, secrets, separators, warc
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def query(sql: str | None = None):
     return keep
 
 
+@query()
+def op1_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    found = decontamination.with_matches(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("matches"))
+
+
 @query()
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from the documents outside the held-out fold."""

@@ -67,9 +67,9 @@ class Words:
                      + (self.ends - self.starts).astype(np.uint64))
 
 
-def split_words(texts: list[bytes]) -> Words:
+def split_words(texts: list[bytes], separator: np.ndarray = SEPARATOR) -> Words:
     buffer = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-    outside = SEPARATOR[buffer]
+    outside = separator[buffer]
     edges = np.flatnonzero(np.diff(outside, prepend=True))
     starts, ends = edges[0::2], edges[1::2]
     firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])
