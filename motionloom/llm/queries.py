@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, minmax, neighbours, packing, repeats, secrets, separators, warc
+from . import decontamination, language, minmax, neighbours, packing, pseudonyms, repeats, secrets, separators, warc
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,13 @@ def op6_adaptive_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal numbers, dates and addresses replaced by pseudonyms of the same format."""
+    key = spark.conf.get(pseudonyms.KEY_SETTING, "set a secret key here")
+    return pseudonyms.pseudonymised(read(spark, sf_dir, "documents").select("doc_id", "text"), key)
+
+
 @query()
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 ids."""

@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import math
 import string
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rewriting import matches, rebuilt
 from .tables import stored
 
 # The base patterns and the shortest match that counts.
@@ -89,7 +91,7 @@ def evidence(t: Column) -> Column:
 
 
 def _matches(text: Column, kind: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+    return matches(text, PATTERNS[kind])
 
 
 def _passes(match: Column, kind: str) -> Column:
@@ -172,14 +174,12 @@ def redacted(docs: DataFrame) -> DataFrame:
     """
     candidates = docs.select(F.explode(_matches(F.col("text").cast("string"), "random")).alias("t")).select(F.length("t").alias("length"), evidence(F.col("t")).alias("evidence"))
     threshold, mean = discoveries(stored(candidates, "candidates"))
+    def replaced(m: Column, kind: str) -> Column:
+        good = counts_as_random(F.length(m), evidence(m), threshold, mean) if kind == "random" else _passes(m, kind)
+        return F.when(good, F.lit(PLACEHOLDER)).otherwise(m)
+
     for kind in KINDS:
-        def replaced(m: Column, kind=kind) -> Column:
-            good = counts_as_random(F.length(m), evidence(m), threshold, mean) if kind == "random" else _passes(m, kind)
-            return F.when(good, F.lit(PLACEHOLDER)).otherwise(m)
-
-        marks = docs.withColumn("_motionloom_matches", _matches(F.col("text"), kind))
-        rebuilt = F.concat(F.array_join(F.flatten(F.zip_with(F.slice(F.split("text", PATTERNS[kind], -1), F.lit(1), F.size("_motionloom_matches")),
-                                                            F.transform("_motionloom_matches", replaced), lambda gap, m: F.array(gap, m))), ""),
-                           F.element_at(F.split("text", PATTERNS[kind], -1), -1))
-        docs = marks.withColumn("text", F.when(F.size("_motionloom_matches") > 0, rebuilt).otherwise(F.col("text"))).drop("_motionloom_matches")
+        found = docs.withColumn("_motionloom_matches", _matches(F.col("text"), kind))
+        text = rebuilt(F.col("text"), PATTERNS[kind], F.col("_motionloom_matches"), partial(replaced, kind=kind))
+        docs = found.withColumn("text", text).drop("_motionloom_matches")
     return docs
