@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from .tables import filesystem, ratio, shared_folder, small_batches, stored
 
-PAGES_PER_SHARD = 20_000
+PAGES_PER_SHARD = 4_000
 ROLL_BYTES = 64 << 20
 SAMPLE_PER_SHARD = 200
+FILES_PER_TASK = 2
 DATE = "2000-01-01T00:00:00Z"
 # Names of the format.
 VERSION = b"WARC/1.1"
@@ -175,7 +176,7 @@ def write(pages: DataFrame, folder: str, roll: int = ROLL_BYTES, per_shard: int
 
     ddl = "temporary string, path string, shard int, part int, records long, bytes long, sha256 string"
     placed = rows.withColumn("shard", shard_of(F.coalesce("page_id", F.lit(-(1 << 63)))))
-    dealt = placed.repartition(shards, "shard").sortWithinPartitions("shard", "page_id", "tie")
+    dealt = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "page_id", "tie")
     written = stored(small_batches(dealt.select("shard", "page_id", "url", "payload", "sha1", "holder")).mapInArrow(put, ddl), "written")
     written.repartition(ratio(shards, 4)).mapInArrow(commit, ddl).select("path", "shard", "part", "records", "bytes", "sha256").write.parquet(f"{folder}/manifest")
     return pages.sparkSession.read.parquet(f"{folder}/manifest")
@@ -214,7 +215,8 @@ def read(manifest: DataFrame) -> DataFrame:
                             held, size = [], 0
                 yield pa.RecordBatch.from_pylist(held, schema=RECORDS)
 
-    files = manifest.select("path").repartition("path")
+    files = manifest.select("path")
+    files = files.repartition(ratio(files.count(), FILES_PER_TASK), "path")  # a number that is given is kept, so even few files are read side by side
     return small_batches(files).mapInArrow(get, RECORDS_DDL)
 
 
