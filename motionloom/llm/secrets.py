@@ -163,7 +163,7 @@ def find(docs: DataFrame) -> DataFrame:
     all_spans = spans(docs)
     threshold, mean = discoveries(all_spans.filter(F.col("kind") == KINDS.index("random")))
     counts = (F.col("kind") < KINDS.index("random")) | counts_as_random(F.col("length"), F.col("evidence"), threshold, mean)
-    span = F.when(counts, F.struct("start", "kind", "end"))
+    span = F.when(F.col("kind").isNotNull() & counts, F.struct("start", "kind", "end"))
     return all_spans.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(span)).alias("found")).drop("row")
 
 
