@@ -6,11 +6,12 @@ estimates of the Jaccard similarity, so 128 values cost 64 evaluations.  A band
 different permutations; 32 bands miss a pair of similarity 0.75 with probability (1 - 0.75**4)**32 = 5e-6.
 
 Documents with equal sets form a class, represented by its smallest id; only representatives are compared.  Buckets
-are never expanded into pairs of all members: members are compared with one leader of the bucket (the order that
-names it differs between buckets), links are followed to components, and only pairs whose members are in
-different components by then remain.  Four bits of each signature value travel with a member, so that a pair is
-tested against them inside the join: a pair of similarity 0.75 agrees in 98 of 128 on average and in fewer than 76 with
-probability 1e-5.  All links are confirmed on full sets.
+are never expanded into pairs of all members.  First, members are compared with one leader of the bucket (the order
+that names it differs between buckets); four bits of each signature value travel with a member, so that a pair is tested
+inside the join: one of similarity 0.75 agrees in 98 of 128 on average and in fewer than 76 with probability 1e-5.  Links
+are followed to components.  Then a bucket may still hold several components.  Around the largest of each bucket, the hub, all
+others that share such a bucket with it are gathered once, and compared with each other and with the hub's members by
+products of incidence matrices over blocks of bounded size, which return links alone.  All links are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -20,17 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import small_batches, stored, text_groups
+from .tables import batches_of, small_batches, stored, text_groups
 from .words import mixed, sequence_hashes, split_words
 
 PERMUTATIONS, BANDS, SHINGLE, PERCENT = 64, 32, 5, 75
-#: Remaining pairs are tested all at once when there are at most so many a document; before, leader by leader.
-PAIRS_PER_DOCUMENT = 64
 ORDERS = 4
+BLOCK_SHINGLES, COLUMNS = 1 << 17, 1 << 12
 NIBBLES, AGREEING = 16, 76
 _RANDOM = np.random.Generator(np.random.PCG64(20_240_229))
 _FACTORS = _RANDOM.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
@@ -140,41 +140,70 @@ def near_links(nodes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> Dat
                .filter("members > 1").select("bucket", _leader().alias("leader")))
     described = nodes.select("node", "n", "bits")
     members = stored(rows.join(crowded, "bucket").join(described, "node"), "members")
-    led = stored(members.select("bucket", F.col("leader").alias("node")).distinct(), "led")
     taking_part = members.select(F.col("node").alias("doc_id")).distinct()
     sets = stored(_sets(docs.join(taking_part, "doc_id", "left_semi")), "sets")
 
     def links_of(pairs: DataFrame) -> DataFrame:
         return stored(_confirmed(pairs.filter("u <> v").distinct(), sets, percent), "links")
 
-    def compared(side: DataFrame, leaders: DataFrame) -> DataFrame:
-        """Pairs of members and the leader of their bucket that may be links."""
-        leading = side.join(leaders.withColumnRenamed("leader", "node"), ["bucket", "node"]).select(
-            "bucket", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("bits").alias("bits_u"))
-        return side.join(leading, "bucket").filter("u <> node").filter(_alike(percent)).select("u", F.col("node").alias("v"))
-
-    members = members.select("bucket", "node", "n", "bits")
-    links = links_of(compared(members, crowded))
-    documents = nodes.count()
-    while True:
-        labelled = stored(members.join(components(links), "node", "left").select("bucket", "node", "n", "bits", F.coalesce("label", "node").alias("label")), "labelled")
-        unled = labelled.join(led, ["bucket", "node"], "left_anti")  # who led has been compared with all others of the bucket
-        parts = unled.groupBy("bucket", "label").agg(F.count("*").alias("c"))
-        totals = stored(parts.groupBy("bucket").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("within"), F.max(F.struct("c", "label"))["label"].alias("largest"),
-                                                    F.min(F.struct("c", "label"))["label"].alias("smallest")).filter("all * all > within"), "totals")
-        open_buckets, remaining = totals.agg(F.count("*"), F.sum((F.col("all") * F.col("all") - F.col("within")) / 2)).first()
-        if not open_buckets:
-            return links
-        unled = unled.join(totals.select("bucket", "largest", "smallest"), "bucket")
-        if remaining <= PAIRS_PER_DOCUMENT * documents:
-            # Pairs within a bucket's largest component are not formed, so the join tests little more than what remains.
-            small = unled.filter("label <> largest").select("bucket", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("bits").alias("bits_u"), F.col("label").alias("label_u"))
-            pairs = unled.join(small, "bucket").filter("label <> label_u and (label = largest or node > u)").filter(_alike(percent))
-            return links.unionByName(links_of(pairs.select("u", F.col("node").alias("v"))))
-        leaders = stored(unled.filter("label = smallest").groupBy("bucket").agg(F.min(F.col("node").bitwiseXOR(_constant())).alias("order"))
-                         .select("bucket", _leader().alias("leader")), "leaders")
-        links = stored(links.unionByName(links_of(compared(unled.select(*members.columns), leaders))), "links")
-        led = stored(led.unionByName(leaders.select("bucket", F.col("leader").alias("node"))), "led")
+    leading = members.filter("node = leader").select("bucket", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("bits").alias("bits_u"))
+    links = links_of(members.join(leading, "bucket").filter("u <> node").filter(_alike(percent)).select("u", F.col("node").alias("v")))
+    labelled = stored(members.join(components(links), "node", "left").select("bucket", "node", "n", F.coalesce("label", "node").alias("label")), "labelled")
+    parts = labelled.groupBy("bucket", "label").agg(F.count("*").alias("c")).groupBy("bucket").agg(F.count("*").alias("labels"), F.max(F.struct("c", "label"))["label"].alias("hub"))
+    around = (labelled.join(parts.filter("labels > 1").select("bucket", "hub"), "bucket").groupBy("hub", "node")
+              .agg(F.max(F.col("label") != F.col("hub")).alias("outside"), F.max("label").alias("label"), F.max("n").alias("n")))
+    return links.unionByName(_between(stored(around, "around"), sets, percent))
+
+
+def _linked(outside: list[np.ndarray], others: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the sets of both lists that are similar enough, from products of incidence matrices in slices of columns."""
+    values = [np.concatenate(x) for x in (outside, others)]
+    owner = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (outside, others)]
+    shared = np.intersect1d(np.unique(values[0]), np.unique(values[1]), assume_unique=True)
+    entries = []
+    for v, o in zip(values, owner, strict=True):
+        at = np.minimum(np.searchsorted(shared, v), max(len(shared) - 1, 0))
+        known = shared[at] == v if len(shared) else np.zeros(len(v), bool)
+        order = np.argsort(at[known], kind="stable")
+        entries.append((at[known][order], o[known][order]))
+    common = np.zeros((len(outside), len(others)), np.float32)  # counts below 2**24 are exact
+    for first in range(0, len(shared), COLUMNS):
+        matrices = []
+        for (at, o), n in zip(entries, common.shape, strict=True):
+            a, b = np.searchsorted(at, [first, first + COLUMNS])
+            matrix = np.zeros((n, COLUMNS), np.float32)
+            matrix[o[a:b], at[a:b] - first] = 1
+            matrices.append(matrix)
+        common += matrices[0] @ matrices[1].T
+    sizes = [np.array([len(s) for s in x], np.float64) for x in (outside, others)]
+    common = common.astype(np.float64)
+    return np.nonzero(100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common))
+
+
+def _between(around: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the nodes outside a hub and all nodes around it; ``around`` has hub, node, label, n and outside."""
+    blocks = (F.ceil(F.sum(x) / BLOCK_SHINGLES).cast("int") for x in (F.when(F.col("outside"), F.col("n")), F.col("n")))
+    shares = around.groupBy("hub").agg(*(b.alias(name) for b, name in zip(blocks, ("outside_blocks", "all_blocks"), strict=True)))
+    rows = around.join(shares, "hub").join(sets, "node").withColumn("place", F.xxhash64("node"))
+
+    def gathered(part: DataFrame, blocks: str, name: str) -> DataFrame:
+        return part.groupBy("hub", F.pmod("place", blocks).alias("_block")).agg(F.collect_list(F.struct("node", "label", "shingles")).alias(name)).drop("_block")
+
+    rows = stored(rows.select("hub", "node", "label", "outside", "outside_blocks", "all_blocks", "place", "shingles"), "around")
+    pairs = gathered(rows.filter("outside"), "outside_blocks", "a").join(gathered(rows, "all_blocks", "b"), "hub").select("a", "b")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sides = [batch.column(c).slice(k, 1).flatten() for c in ("a", "b")]
+                nodes, labels = ([s.field(c).to_numpy() for s in sides] for c in (0, 1))
+                found = [[x.values.to_numpy() for x in s.field(2)] for s in sides]
+                i, j = _linked(*found, percent)
+                new = (labels[0][i] != labels[1][j])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[0][i[new]]), pa.array(nodes[1][j[new]])], names=["u", "v"])
+
+    with batches_of(around.sparkSession, 8):
+        return stored(pairs.mapInArrow(compare, "u long, v long").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import small_batches, stored
+from .tables import batches_of, small_batches, stored
 
 EVERY, NEAREST = 50, 5
 FIT_VECTORS, ROUNDS = 50_000, 8
@@ -162,12 +162,12 @@ def _scan(probes: DataFrame, blocks: DataFrame, keep: int) -> DataFrame:
                     out[2].extend(score[best])
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query", "rep", "score"])
 
-    return small_batches(chunks.join(blocks, "list")).mapInArrow(scan, "query long, rep long, score double")
+    return chunks.join(blocks, "list").mapInArrow(scan, "query long, rep long, score double")
 
 
 def _ranges(sorted_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     firsts = np.flatnonzero(np.diff(sorted_ids, prepend=-1))
-    return sorted_ids[firsts], firsts, np.append(firsts[1:], len(sorted_ids)).astype(int)
+    return sorted_ids[firsts], firsts, np.append(firsts, len(sorted_ids)).astype(int)[1:]
 
 
 def _best(rows: DataFrame, key: str, order: list, n: int) -> DataFrame:
@@ -194,7 +194,8 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, share: flo
     dealt = indexed.join(F.broadcast(sizes), "list").withColumn("sub", F.pmod(F.xxhash64("rep"), "subs").cast("int"))  # a row for each list
     blocks = stored(_gathered(dealt.select("list", "sub", "rep", "turned", "embedding"), ["list", "sub"], []), "blocks")
     queries = stored(indexed.join(asking.select("rep").distinct(), "rep", "left_semi").select("rep", "list", "turned", "embedding"), "queries")
-    own = stored(_scan(queries.withColumn("reach", F.lit(4.5)), blocks, k + 1), "own")
+    with batches_of(spark, 8):
+        own = stored(_scan(queries.withColumn("reach", F.lit(4.5)), blocks, k + 1), "own")
     order = [F.desc("score"), "rep"]
     # Of a class that counts for less than k + 1 vectors, further ones may be needed, so k + 1 classes bound the distance.
     reach = (_best(own, "query", order, k + 1).groupBy("query").agg(F.when(F.count("*") == k + 1, 2 - 2 * F.min("score")).otherwise(4.5).alias("reach")))
@@ -210,7 +211,8 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, share: flo
     others = small_batches(queries.select("rep", "turned")).mapInArrow(probe, "rep long, lists array<int>").select("rep", F.explode("lists").alias("list"))
     probes = (others.join(queries.withColumnRenamed("list", "own"), "rep").filter("list <> own").drop("own")
               .join(reach.withColumnRenamed("query", "rep"), "rep", "left").select("list", "rep", F.coalesce("reach", F.lit(4.5)).alias("reach"), "turned", "embedding"))
-    scored = stored(_best(own.unionByName(_scan(probes, blocks, k + 1)).distinct(), "query", order, 2 * (k + 1)).drop("rank"), "scored")
+    with batches_of(spark, 8):
+        scored = stored(_best(own.unionByName(_scan(probes, blocks, k + 1)).distinct(), "query", order, 2 * (k + 1)).drop("rank"), "scored")
     shown = (asking.join(scored.withColumnRenamed("rep", "found"), F.col("rep") == F.col("query"))
              .join(classes.select(F.col("rep").alias("found"), "members"), "found")
              .select(F.col("vec_id").alias("query_id"), F.explode("members").alias("vec_id"), "score").filter("query_id <> vec_id"))

@@ -6,6 +6,7 @@ import math
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -51,6 +52,18 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """For actions inside: Arrow batches of so few rows, where a row is a block of some MB."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def groups(sizes: Sequence[int], limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
     """Consecutive ranges whose sizes sum to at most ``limit``; a larger item stands alone."""
     first = total = 0

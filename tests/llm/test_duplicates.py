@@ -34,10 +34,10 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert sorted(map(tuple, got.collect()), key=str) == cases.near_components(rows)
 
 
-@pytest.mark.parametrize("at_once", [0, 64])
-def test_chains_of_near_copies(spark, monkeypatch, at_once):
-    """Every text is linked with its neighbours alone; with ``at_once`` 0 all pairs are found leader by leader."""
-    monkeypatch.setattr(minmax, "PAIRS_PER_DOCUMENT", at_once)
+@pytest.mark.parametrize("shingles", [1, 400, 1 << 17])
+def test_chains_of_near_copies(spark, monkeypatch, shingles):
+    """Every text is linked with its neighbours alone, whatever the size of a block."""
+    monkeypatch.setattr(minmax, "BLOCK_SHINGLES", shingles)
     rows, current = [], cases.text(150, 20)
     for k in range(14):
         rows.append((k * 7 % 14 + 10, current))
