@@ -26,9 +26,9 @@ from .tables import small_batches, stored, text_groups
 from .words import mixed, sequence_hashes, split_words
 
 WINDOW, GRAM = 50, 20
-CELLS_PER_ANCHOR = 4
-MAX_CELLS = 1 << 29  # 64 MiB of bits
-MAX_SLICES = 8
+CELLS_PER_ANCHOR, SKETCH_ROWS = 16, 4  # a window that does not repeat passes with a probability of 0.3 % or less
+MAX_CELLS = 1 << 30  # 128 MiB of bits
+MAX_SLICES = 16
 BLOCK = 1 << 16
 NO_WORDS = hashlib.sha256(b"").hexdigest()
 
@@ -77,9 +77,12 @@ class _Windows:
 
 
 def _cells(anchors: np.ndarray, cells: int) -> np.ndarray:
-    """Two rows of cells, each half of the sketch."""
-    half, a = np.uint64(cells // 2), mixed(anchors ^ np.uint64(0xA5A5A5A5))
-    return np.stack([a % half, half + mixed(a) % half])
+    """The cell of each anchor in every row of the sketch; rows are equal parts of the cells."""
+    width, out, a = np.uint64(cells // SKETCH_ROWS), [], anchors
+    for k in range(SKETCH_ROWS):
+        a = mixed(a ^ np.uint64(0xA5A5A5A5))
+        out.append(np.uint64(k) * width + a % width)
+    return np.stack(out)
 
 
 def _in_slice(anchors: np.ndarray, part: int, parts: int) -> np.ndarray:
@@ -123,7 +126,7 @@ def sketch(docs: DataFrame, cells: int, part: int, parts: int, size: int, gram:
 
 def candidates(docs: DataFrame, words: int, size: int = WINDOW, gram: int = GRAM, max_cells: int = MAX_CELLS) -> DataFrame:
     """Documents with windows estimated to be repeated: doc_id, words_sha256, text and the windows (hash, check, start)."""
-    need = max(BLOCK * 2, words * 2 // (size - gram + 2) * CELLS_PER_ANCHOR)
+    need = max(BLOCK * SKETCH_ROWS, words * 2 // (size - gram + 2) * CELLS_PER_ANCHOR)
     parts = min(MAX_SLICES, -(-need // max_cells))
     cells = min(max_cells, 1 << (-(-need // parts) - 1).bit_length())
     spark, found = docs.sparkSession, []
@@ -197,7 +200,7 @@ def without_repeats(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, max_c
              .join(copies, ["doc_id", "words_sha256"], "left_anti"))
     found = stored(found.withColumn("row", F.monotonically_increasing_id()), "candidates")
     windows = found.select("row", "doc_id", F.inline(F.arrays_zip("hash", "check", "start")))
-    shared = windows.groupBy("hash", "check").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
+    shared = windows.groupBy("hash", "check").agg(F.min("doc_id").alias("first"))
     hit = windows.join(shared, ["hash", "check"]).filter("doc_id > first").groupBy("row").agg(F.collect_list("start").alias("starts"))
     touched = found.select("row", "doc_id", "words_sha256", "text").join(hit, "row")
     # A document has a row for each sketch that it has candidates in, and repeated rows are alike.
