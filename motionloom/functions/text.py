@@ -27,11 +27,18 @@ def session_key(start_ns: Column) -> Column:
     return F.substring(F.sha2(floor_div(start_ns, 1_000_000).cast("string"), 256), 1, 16)
 
 
-def natural_key(value: Column, width: int = 20) -> Column:
-    """Text that sorts numbers inside ids by value: ``P2`` before ``P10``."""
+def natural_key(value: Column) -> Column:
+    """Text that sorts numbers inside ids by value: ``P2`` before ``P10``.
+
+    Leading zeros go, and the number of digits left stands before them, so numbers of any length compare by value.
+    """
     parts = F.regexp_extract_all(F.lower(value), F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.array_join(F.transform(
-        parts, lambda p: F.when(p.rlike(r"^\d"), F.lpad(p, width, "0")).otherwise(p)), "")
+
+    def keyed(part: Column) -> Column:
+        digits = F.regexp_replace(part, "^0+", "")
+        return F.when(part.rlike(r"^\d"), F.concat(F.lpad(F.length(digits).cast("string"), 9, "0"), digits)).otherwise(part)
+
+    return F.array_join(F.transform(parts, keyed), "")
 
 
 def present(value: Column) -> Column:

@@ -73,20 +73,30 @@ def redact_payload_coordinates(markers: DataFrame, policy: str) -> DataFrame:
     return markers.withColumn(PAYLOAD_COLUMN, strip_coordinates(F.col(PAYLOAD_COLUMN)))
 
 
-def redaction_violations(pen: DataFrame, markers: DataFrame, policy: str) -> DataFrame:
-    """Stored rows that break the policy, counted per recording and table."""
+def _counted(rows: DataFrame, modality: str) -> DataFrame:
+    return rows.groupBy("recording_id", F.lit(modality).alias("modality")).agg(F.count("*").alias("violations"))
+
+
+def redaction_violations(pen: DataFrame | None, markers: DataFrame | None, policy: str) -> DataFrame:
+    """Stored rows that break the policy, counted per recording and table; either table may be absent.
+
+    Marker payloads are judged without pen data too, and pen data without markers has no task structure.
+    """
     _known(policy, REDACTION_POLICIES, "redaction policy")
-    stored = F.col("x").isNotNull() | F.col("y").isNotNull()
-    kind = F.lit("pen").alias("modality")
+    if pen is None and markers is None:
+        raise ValueError("neither pen nor markers to judge")
     if policy == "none":
-        return pen.limit(0).groupBy("recording_id", kind).agg(F.count("*").alias("violations"))
-    rows = pen.where(stored) if policy == "all_xy" else _exposed(pen, markers).where("_blank").where(stored)
-    found = [rows.groupBy("recording_id", kind).agg(F.count("*").alias("violations"))]
-    if PAYLOAD_COLUMN in markers.columns:
-        found.append(markers.where(holds_coordinates(F.col(PAYLOAD_COLUMN)))
-                     .groupBy("recording_id", F.lit("markers").alias("modality"))
-                     .agg(F.count("*").alias("violations")))
-    return union_all(found)
+        return _counted((pen if pen is not None else markers).limit(0), "pen")
+    found = []
+    if pen is not None:
+        stored = F.col("x").isNotNull() | F.col("y").isNotNull()
+        if policy == "all_xy" or markers is None:
+            found.append(_counted(pen.where(stored), "pen"))
+        else:
+            found.append(_counted(_exposed(pen, markers).where("_blank").where(stored), "pen"))
+    if markers is not None and PAYLOAD_COLUMN in markers.columns:
+        found.append(_counted(markers.where(holds_coordinates(F.col(PAYLOAD_COLUMN))), "markers"))
+    return union_all(found) if found else _counted(markers.limit(0), "markers")
 
 
 def inconsistent_values(manifest: DataFrame, column: str, allowed: tuple[str, ...]) -> DataFrame:

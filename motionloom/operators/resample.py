@@ -116,11 +116,15 @@ def missing_in_filtered(motion: DataFrame) -> DataFrame:
 def downsample(motion: DataFrame, factors: DataFrame, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Keep every ``factor``-th sample of each recording, with sensor channels filtered first.
 
-    ``factors``: recording_id, factor.  Times, quaternions and provenance keep original readings.
+    ``factors``: recording_id, factor; a recording without one is refused.  Times, quaternions and provenance keep original readings.
     Recordings are numbered and cut into blocks of equal size with a halo as long as the filter's
     memory, so one long recording is filtered by many tasks and the result equals filtering it whole.
     """
     columns = [c for q in FILTERED_VECTORS for c in VECTORS[q] if c in motion.columns]
+    unknown = (motion.select("recording_id").distinct()
+               .join(factors.where("factor IS NOT NULL").select("recording_id"), "recording_id", "left_anti").take(5))
+    if unknown:
+        raise ValueError("no decimation factor for " + ", ".join(str(r["recording_id"]) for r in unknown))
     rows = attach(motion, factors.select("recording_id", F.col("factor").alias("_factor")),
                   ["recording_id"], "inner")
     unchanged = rows.where("_factor = 1").select(*motion.columns)

@@ -489,17 +489,17 @@ def stamp_problems(tables: dict[str, DataFrame], manifest: DataFrame) -> DataFra
     """Tables whose stamped id or schema version differs from where and how they are stored.
 
     Tables written by :func:`motionloom.sources.sinks.write_table` carry ``stamped_id`` and
-    ``schema_version``; tables without stamps are not judged.
+    ``schema_version``; without a stamp, every recording of the table is a problem.
     """
     found = [manifest.where(~F.col("schema_version").eqNullSafe(F.lit(SCHEMA_VERSION))).select(
         "recording_id", F.lit("-").alias("modality"), F.lit("schema_version").alias("stamp"),
         F.col("schema_version").alias("observed"))]
     for name, table in tables.items():
         for stamp, expected in (("stamped_id", F.col("recording_id")), ("schema_version", F.lit(SCHEMA_VERSION))):
-            if stamp in table.columns:
-                found.append(table.where(~F.col(stamp).eqNullSafe(expected)).select(
-                    "recording_id", F.lit(name).alias("modality"), F.lit(stamp).alias("stamp"),
-                    F.col(stamp).alias("observed")).distinct())
+            observed = F.col(stamp) if stamp in table.columns else F.lit(None).cast("string")
+            found.append(table.where(~observed.eqNullSafe(expected)).select(
+                "recording_id", F.lit(name).alias("modality"), F.lit(stamp).alias("stamp"),
+                observed.alias("observed")).distinct())
     return union_all(found)
 
 
@@ -525,13 +525,9 @@ def validate_archive(manifest: DataFrame, channels: DataFrame, tables: dict[str,
     refuse(manifest_drift(manifest, stampless, withdrawn, rates), "manifest differs from the stored tables")
     refuse(descriptor_problems(channels, stampless, manifest, rates), "channels do not describe the stored tables")
     policy = manifest.select("redaction_policy").first()
-    if policy and policy[0] != "none" and "pen" in tables:
-        markers = stampless.get("markers")
-        if markers is None:
-            markers = stampless["pen"].limit(0).select(
-                "recording_id", "t_ns", *[F.lit(None).cast("string").alias(c) for c in ("event", "task_id")],
-                F.lit(None).cast("double").alias("task_index"))
-        refuse(redaction_violations(stampless["pen"], markers, policy[0]), "stored coordinates violate the policy")
+    if policy and policy[0] != "none" and {"pen", "markers"} & tables.keys():
+        refuse(redaction_violations(stampless.get("pen"), stampless.get("markers"), policy[0]),
+               "stored coordinates violate the policy")
     findings = durable(check_tables(stampless, manifest, rates))
     parts = [manifest_consistency(declared, held), findings,
              coverage_findings(coverage_gaps(manifest, findings, dropouts(held)))]

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.layout import attach, rows_per_task
+from ..operators.layout import attach, rows_per_task, union_all
 from ..operators.resample import decimation_factors, downsample, require_factors
 from ..plans.label import label_record
 from ..plans.manifest import refuse
@@ -17,27 +18,25 @@ from ..plans.select import (LabelConfig, declared_rates, filter_manifest, missin
                             resampled_manifest, selected_modalities, subset_manifest)
 from ..vocabulary import MODALITIES, SCHEMA_VERSION
 from .bundle import bundle_session, scan_bundle_modality, scan_channels, scan_manifest, stored_modalities
-from .files import file_names, path_part
+from .files import path_part
 
 READ_BYTES = 8 << 20
-MAX_FOLDERS = 5_000
 
 
-def write_table(table: DataFrame, path: str, *, max_folders: int = MAX_FOLDERS) -> None:
+def write_table(table: DataFrame, path: str) -> None:
     """Write one modality, stamped with id and schema version.
 
-    Range partitioning puts neighbouring recordings together and still cuts an oversized one into
-    several files, each sorted by time for row-group pruning.  Up to ``max_folders`` recordings get
-    a folder each; beyond that, folders would only hold tiny files, and the row-group statistics of
-    the sorted files prune instead.
+    Files hold neighbouring recordings, sorted by recording and time, so that their statistics prune; an oversized
+    recording is cut into several.  The id is a stored text column, whatever it looks like, and the layout is the same for
+    any number of recordings.  The number of range partitions follows the number of rows.
     """
     order = [c for c in ("recording_id", "t_ns", "t_start_ns", "seq") if c in table.columns]
-    laid = (table.withColumns({"stamped_id": F.col("recording_id"), "schema_version": F.lit(SCHEMA_VERSION)})
-            .repartitionByRange(*order).sortWithinPartitions(*order))
-    writer = (laid.write.mode("errorifexists").option("compression", "zstd")
-              .option("maxRecordsPerFile", rows_per_task(table.sparkSession)))
-    recordings = table.groupBy("recording_id").agg(F.lit(1)).limit(max_folders + 1).count()
-    (writer.partitionBy("recording_id") if recordings <= max_folders else writer).parquet(path)
+    per_file = rows_per_task(table.sparkSession)
+    stamped = table.withColumns({"recording_id": F.col("recording_id").cast("string"), "stamped_id": F.col("recording_id").cast("string"),
+                                 "schema_version": F.lit(SCHEMA_VERSION)})
+    parts = max(1, math.ceil(table.count() / per_file))
+    (stamped.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.mode("errorifexists")
+     .option("compression", "zstd").option("maxRecordsPerFile", per_file).parquet(path))
 
 
 def write_collection(tables: dict[str, DataFrame], manifest: DataFrame, channels: DataFrame, root: str) -> None:
@@ -98,20 +97,29 @@ def checksum_problems(listed: DataFrame, found: DataFrame) -> DataFrame:
 
 # --- exports ----------------------------------------------------------------------------------------
 
-def export_preview(spark: SparkSession, root: str, selected: DataFrame, modalities: list[str]) -> DataFrame:
-    """(modality, files, bytes) of the stored files a selection would take along.
+def recording_files(spark: SparkSession, root: str, modalities: list[str]) -> DataFrame:
+    """(recording_id, modality, path, length) of files that each belong to one recording, from one listing.
 
-    For collections with a file or folder per recording.
+    A file is named after its recording (``<modality>/<recording_id>.parquet``) or lies in a folder
+    ``recording_id=<id>``.
     """
-    files = file_names(spark, f"{root}/{{{','.join(modalities)}}}/*")
-    listed = files.union(file_names(spark, f"{root}/{{{','.join(modalities)}}}/*/*.parquet"))
-    own = F.coalesce(path_part(F.col("path"), r"recording_id=([^/]+)/[^/]+$"),
-                     path_part(F.col("path"), r"/([^/]+)\.parquet$"))
-    named = listed.select(own.alias("recording_id"), path_part(
-        F.col("path"), rf"/({'|'.join(MODALITIES)})/[^/]+(?:/[^/]+)?$").alias("modality"), "length")
-    return (named.where("recording_id IS NOT NULL")
-            .join(selected.select("recording_id"), "recording_id", "left_semi")
-            .groupBy("modality").agg(F.count("*").alias("files"), F.sum("length").alias("bytes")))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .load([f"{root}/{m}" for m in modalities]).select("path", "length"))
+    own = F.coalesce(path_part(F.col("path"), r"/recording_id=([^/]+)/[^/]+$"), path_part(F.col("path"), r"/([^/]+)\.parquet$"))
+    modality = path_part(F.col("path"), rf"/({'|'.join(MODALITIES)})/[^/]+(?:/[^/]+)?$")
+    return files.select(own.alias("recording_id"), modality.alias("modality"), "path", "length").where("recording_id IS NOT NULL")
+
+
+def table_files(spark: SparkSession, root: str, modalities: list[str]) -> DataFrame:
+    """(recording_id, modality, path, length): the files of this library's tables in which each recording has rows."""
+    return union_all([spark.read.parquet(f"{root}/{m}").select("recording_id", F.lit(m).alias("modality"), F.col("_metadata.file_path").alias("path"),
+                                                              F.col("_metadata.file_size").alias("length")).distinct() for m in modalities])
+
+
+def export_preview(files: DataFrame, selected: DataFrame) -> DataFrame:
+    """(modality, files, bytes) of the stored files that a selection reads; ``files`` as the functions above list them."""
+    taken = files.join(selected.select("recording_id"), "recording_id", "left_semi").select("modality", "path", "length").distinct()
+    return taken.groupBy("modality").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
 def selection_tables(tables: dict[str, DataFrame], manifest: DataFrame, channels: DataFrame, facets: set[str], *,

@@ -53,8 +53,8 @@ def column_presence(spark, sf):
     return held.select("recording_id", F.explode("columns").alias("column"))
 
 
-@query("""SELECT recording_id, CASE WHEN recording_id = 'L0' THEN 'frame carries neither user nor total acceleration'
-    ELSE 'removing gravity needs a quaternion channel' END AS reason FROM (SELECT DISTINCT recording_id FROM imu)
+@query("""SELECT recording_id, CASE WHEN recording_id = 'L0' THEN 'neither kind of acceleration is there'
+    ELSE 'no attitude quaternion to take gravity from' END AS reason FROM (SELECT DISTINCT recording_id FROM imu)
     WHERE recording_id IN ('L0', 'L1')""", "imu")
 def underivable_acceleration(spark, sf):
     rows = imu(spark, sf).withColumns({
@@ -367,12 +367,15 @@ def _scratch(spark) -> str:
     return f"{shared or tempfile.mkdtemp(prefix='spark-')}/{uuid.uuid4().hex}"
 
 
-@query("""SELECT recording_id, t_ns, seq, dot_type, x, src_timestamp, recording_id AS stamped_id, '1.0' AS schema_version
-    FROM pen""", "pen")
+@query("""SELECT id AS recording_id, t_ns, seq, dot_type, x, src_timestamp, id AS stamped_id, '1.0' AS schema_version FROM (
+    SELECT *, CASE n % 3 WHEN 0 THEN n::VARCHAR WHEN 1 THEN lpad((n - 1)::VARCHAR, 8, '0') ELSE '2024-01-' || n END AS id
+    FROM (SELECT *, substr(recording_id, 2)::INT AS n FROM pen))""", "pen")
 def written_table(spark, sf):
-    """A table written and scanned again."""
-    folder = _scratch(spark)
-    sinks.write_table(pen(spark, sf), f"{folder}/pen")
+    """A table written and scanned again; ids look like numbers, with and without zeros, and like dates."""
+    folder, n = _scratch(spark), F.expr("CAST(substring(recording_id, 2) AS INT)")
+    ids = (F.when(n % 3 == 0, n.cast("string")).when(n % 3 == 1, F.lpad((n - 1).cast("string"), 8, "0"))
+           .otherwise(F.concat(F.lit("2024-01-"), n.cast("string"))))
+    sinks.write_table(pen(spark, sf).withColumn("recording_id", ids), f"{folder}/pen")
     return scan_modality(spark, folder, "pen").select(
         "recording_id", "t_ns", "seq", "dot_type", "x", "src_timestamp", "stamped_id", "schema_version")
 
@@ -418,15 +421,25 @@ def exported_selection(spark, sf):
     return chosen["pen"].select(*_EXPORTED)
 
 
-@query("""SELECT 'pen' AS modality, count(DISTINCT recording_id) AS recordings FROM pen
+@query("""SELECT 'pen' AS modality, count(DISTINCT recording_id) AS files,
+    sum(length(recording_id || ':' || seq || ':' || dot_type) + 1)::BIGINT AS bytes FROM pen
     WHERE substr(recording_id, 2)::INT % 2 = 0""", "pen")
 def export_preview(spark, sf):
-    """Files a selection would take along, from a collection with a folder per recording."""
+    """Files and bytes a selection would take along, from a collection with a text file per recording."""
     folder, dots = _scratch(spark), pen(spark, sf)
-    sinks.write_table(dots.repartition(1), f"{folder}/pen")
+    lines = dots.select("recording_id", F.concat_ws(":", "recording_id", F.col("seq").cast("string"), "dot_type").alias("value"))
+    lines.repartition("recording_id").write.partitionBy("recording_id").text(f"{folder}/pen")
     selected = dots.where("substring(recording_id, 2) % 2 = 0").select("recording_id").distinct()
-    preview = sinks.export_preview(spark, folder, selected, ["pen"])
-    return preview.withColumn("recordings", F.lit(selected.count())).where(
-        "files >= recordings AND bytes > 0").select("modality", "recordings")
+    return sinks.export_preview(sinks.recording_files(spark, folder, ["pen"]), selected)
+
+
+@query("""SELECT 'pen' AS modality, count(DISTINCT recording_id) AS recordings FROM pen
+    WHERE substr(recording_id, 2)::INT % 2 = 0""", "pen")
+def files_of_tables(spark, sf):
+    """Every selected recording is found in the files of a written table."""
+    folder, dots = _scratch(spark), pen(spark, sf)
+    sinks.write_table(dots, f"{folder}/pen")
+    listed = sinks.table_files(spark, folder, ["pen"]).where("substring(recording_id, 2) % 2 = 0 AND length > 0")
+    return listed.groupBy("modality").agg(F.count_distinct("recording_id").alias("recordings"))
 
 

@@ -110,7 +110,7 @@ def first_recordings(spark, sf):
 
 
 @query(r"""SELECT recording_id, array_to_string([CASE WHEN regexp_matches(p, '^\d')
-    THEN lpad(p, 20, '0') ELSE p END FOR p IN regexp_extract_all(lower(recording_id), '(\d+|\D+)')], '') AS sort_key FROM manifest""", "manifest")
+    THEN lpad(length(ltrim(p, '0'))::VARCHAR, 9, '0') || ltrim(p, '0') ELSE p END FOR p IN regexp_extract_all(lower(recording_id), '(\d+|\D+)')], '') AS sort_key FROM manifest""", "manifest")
 def natural_order(spark, sf):
     return select.natural_order(manifest(spark, sf)).select("recording_id", "sort_key")
 

@@ -179,13 +179,17 @@ def test_bundles_of_one_file_per_recording_are_converted(spark, stored, tmp_path
     assert bundle.scan_bundle_modality(session, str(source), "pen", ["A"]).count() == 40
     with pytest.raises(ValueError, match="unknown modality"):
         bundle.scan_bundle_modality(session, str(source), "glove")
-    preview = {r.modality: r.files for r in sinks.export_preview(spark, str(source), manifest, list(MODALITIES)).collect()}
-    assert preview == {"watch": 3, "pen": 2}
-
-
-def test_many_recordings_are_clustered_instead_of_foldered(spark, tmp_path):
-    rows = spark.range(60).select(F.concat(F.lit("R"), F.col("id").cast("string")).alias("recording_id"),
-                                  F.col("id").alias("t_ns"), F.col("id").alias("seq"))
-    sinks.write_table(rows, str(tmp_path / "pen"), max_folders=10)
-    assert not list(pathlib.Path(tmp_path, "pen").glob("recording_id=*"))
-    assert bundle.scan_modality(spark, str(tmp_path), "pen").where("recording_id = 'R7'").count() == 1
+    files = sinks.recording_files(spark, str(source), ["watch", "pen"])
+    preview = {r.modality: (r.files, r.bytes) for r in sinks.export_preview(files, manifest).collect()}
+    assert preview == {m: (n, sum(p.stat().st_size for p in pathlib.Path(source, m).glob("*.parquet"))) for m, n in (("watch", 3), ("pen", 2))}
+
+
+@pytest.mark.parametrize("ids", [["007", "7", "2024"], ["2024-01-01", "1e3", "x"], [f"R{k}" for k in range(60)]])
+def test_ids_are_stored_as_they_are(spark, tmp_path, ids):
+    rows = spark.createDataFrame([(i, k, k) for k, i in enumerate(ids)], "recording_id string, t_ns long, seq long")
+    sinks.write_table(rows, str(tmp_path / "pen"))
+    again = bundle.scan_modality(spark, str(tmp_path), "pen")
+    assert again.schema["recording_id"].dataType.simpleString() == "string"
+    assert sorted((r.recording_id, r.seq) for r in again.collect()) == sorted((i, k) for k, i in enumerate(ids))
+    listed = sinks.table_files(spark, str(tmp_path), ["pen"]).collect()
+    assert {r.recording_id for r in listed} == set(ids) and all(r.length > 0 for r in listed)

@@ -112,3 +112,12 @@ def test_archive_facts_must_agree(spark):
     assert P.redaction_policy_problems(mixed).count() == 2
     odd = spark.createDataFrame([("a", "?")], "recording_id string, redaction_policy string")
     assert not P.redaction_policy_problems(odd).first().known
+
+
+def test_marker_payloads_are_judged_without_pen_data(spark):
+    markers = spark.createDataFrame([("A", 1, "e", '{"x": 1, "y": 2}'), ("B", 1, "e", '{"z": 1}')], ["recording_id", "t_ns", "event", "src_payload"])
+    found = P.redaction_violations(None, markers, "all_xy").collect()
+    assert [tuple(r) for r in found] == [("A", "markers", 1)]
+    assert P.redaction_violations(None, markers, "none").count() == 0
+    with pytest.raises(ValueError):
+        P.redaction_violations(None, None, "all_xy")

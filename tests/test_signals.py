@@ -13,6 +13,7 @@ from motionloom.functions import vectors as V
 from motionloom.operators import motion as M
 from motionloom.operators import pen as P
 from motionloom.operators import resample as R
+from motionloom.vocabulary import VECTORS
 
 PEN = "recording_id string, t_ns bigint, seq bigint, dot_type string, src_timestamp double"
 
@@ -187,3 +188,19 @@ def test_downsampling_refuses_gaps_and_short_recordings(spark):
         R.downsample(short, factors)
     with pytest.raises(ValueError, match="positive"):
         R.decimation_factors(factors, 0)
+
+
+def test_zero_quaternions_are_refused(spark):
+    columns = [*VECTORS["accel_total"], *VECTORS["quat"]]
+    rows = spark.createDataFrame([("A", *[1.0] * 3, 0.0, 0.0, 0.0, 1.0), ("B", *[1.0] * 3, 0.0, 0.0, 0.0, 0.0)], ["recording_id", *columns])
+    assert [tuple(r) for r in M.zero_attitudes(rows).collect()] == [("B", 1)]
+    with pytest.raises(ValueError, match="length zero: B"):
+        M.to_user_acceleration(rows)
+    assert M.to_user_acceleration(rows.where("recording_id = 'A'")).count() == 1
+
+
+def test_every_recording_needs_a_decimation_factor(spark):
+    rows = spark.createDataFrame([("A", 1, 1), ("B", 1, 1)], ["recording_id", "t_ns", "seq"])
+    for factors in ([("A", 2)], [("A", 2), ("B", None)]):
+        with pytest.raises(ValueError, match="no decimation factor for B"):
+            R.downsample(rows, spark.createDataFrame(factors, "recording_id string, factor int"))
