@@ -3,7 +3,7 @@
 Texts are lower-cased, every run of characters that are no letters becomes one blank, and n-grams of one to three
 characters are hashed to 2**16 features.  Document frequencies come from every labelled document outside the held-out
 fold.  Weights are fitted by follow-the-regularised-leader with elastic-net penalties, in one task over a bounded
-sample (``FIT_DOCUMENTS`` in all, the same number from each language, chosen by hash of the id); every fifth sampled
+sample (about ``FIT_DOCUMENTS`` in all, the same number from each language, those with the smallest hashes of the id); every fifth sampled
 document is set aside to calibrate one temperature.  Scoring covers all documents, whole texts, in one map.
 """
 
@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import small_batches, stored, text_groups
@@ -107,14 +107,19 @@ class Ftrl:
 
 
 def calibrated(logits: np.ndarray, labels: np.ndarray) -> float:
-    """Temperature with the smallest negative log-likelihood, by golden-section search over its logarithm."""
+    """Temperature with the smallest negative log-likelihood, by golden-section search over its logarithm.
+
+    One imagined error keeps it away from zero where every document is predicted right.
+    """
     if not len(labels):
         return 1.0
 
     def loss(t: float) -> float:
-        p = softmax(logits / np.exp(t))
-        return -np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-12)).mean()
+        p = np.maximum(softmax(logits / np.exp(t)), 1e-12)
+        right = -np.log(p[np.arange(len(labels)), labels]).mean()
+        return (1 - error) * right + error * -np.log(p).mean()
 
+    error = 1 / (len(labels) + 2)
     low, high, part = -4.0, 3.0, (5 ** 0.5 - 1) / 2
     for _ in range(40):
         a, b = high - part * (high - low), low + part * (high - low)
@@ -176,10 +181,12 @@ def train(docs: DataFrame, fit_documents: int = FIT_DOCUMENTS) -> Model | None:
     if not documents:
         return None
     idf = np.where(frequency > 0, np.log((1 + documents) / (1 + frequency)) + 1, 0.0)
-    each = max(50, fit_documents // learnable.select("lang").distinct().count())
-    ranked = learnable.select("lang", "place").withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("place")))
-    limits = ranked.filter(F.col("k") <= each).groupBy(F.col("lang").alias("of")).agg(F.max("place").alias("most"))  # a row for each language
-    sample = learnable.join(F.broadcast(limits), (F.col("lang") == F.col("of")) & (F.col("place") <= F.col("most"))).select("place", "doc_id", "lang", "text")
+    counts = learnable.groupBy(F.col("lang").alias("of")).count()  # a row for each language
+    each = max(50, fit_documents // counts.count())
+    # Hashes are spread evenly, so this share of their range holds about ``each`` documents of the language.
+    limits = counts.select("of", (F.least(F.lit(1.0), each / F.col("count")) * 2.0**64 - 2.0**63).alias("most"))
+    sample = (learnable.join(F.broadcast(limits), (F.col("lang") == F.col("of")) & (F.col("place").cast("double") <= F.col("most")))
+              .select("place", "doc_id", "lang", "text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_groups(batches):
