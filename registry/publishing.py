@@ -388,17 +388,16 @@ def check_physics(spark, sf):
     return _short(V.physics_findings(V.physics(_motion(spark, sf))))
 
 
-@query(f"""WITH calm AS (SELECT * REPLACE (gyro_x / 100 AS gyro_x, gyro_y / 100 AS gyro_y, gyro_z / 100 AS gyro_z) FROM imu
-    WHERE recording_id = 'L2'), {GRAVITY_SQL.replace('FROM imu', 'FROM calm')}, judged AS (SELECT *, max({_NORM.format('gyro')}) OVER (
-    PARTITION BY recording_id ORDER BY t_ns ROWS BETWEEN win // 2 PRECEDING AND (win - 1) // 2 FOLLOWING) < 0.05 AS still FROM (
-    SELECT *, 2 * CAST(round_even(rate, 0) AS BIGINT) AS win FROM turned, (SELECT 1e9 / quantile_cont(d, 0.5) AS rate FROM (
-    SELECT t_ns - lag(t_ns) OVER (ORDER BY t_ns) AS d FROM calm))))
+@query(f"""WITH calm AS (SELECT * REPLACE (gyro_x / 100 AS gyro_x, gyro_y / 100 AS gyro_y, gyro_z / 100 AS gyro_z) FROM imu),
+    {GRAVITY_SQL.replace('FROM imu', 'FROM calm')}, rates AS (SELECT recording_id, 2 * CAST(round_even(1e9 / quantile_cont(d, 0.5), 0) AS BIGINT) AS win
+    FROM (SELECT recording_id, t_ns - lag(t_ns) OVER (PARTITION BY recording_id ORDER BY t_ns) AS d FROM calm) GROUP BY recording_id),
+    judged AS (SELECT *, max({_NORM.format('gyro')}) OVER (PARTITION BY recording_id ORDER BY t_ns
+    ROWS BETWEEN win // 2 PRECEDING AND (win - 1) // 2 FOLLOWING) < 0.05 AS still FROM turned JOIN rates USING (recording_id))
     SELECT recording_id, round(quantile_cont({_ANGLE.format('accel_total')}, 0.5), 4) AS median, count(*) AS n
-    FROM judged WHERE still GROUP BY recording_id""".replace("win // 2 PRECEDING AND (win - 1) // 2 FOLLOWING", "17 PRECEDING AND 16 FOLLOWING"), "imu")
+    FROM judged WHERE still GROUP BY recording_id""", "imu")
 def still_orientation(spark, sf):
-    """The fallback without gravity columns, on a recording calm enough to have still samples."""
-    calm = imu(spark, sf).where("recording_id = 'L2'").withColumns(
-        {c: F.col(c) / 100 for c in VECTORS["gyro"]}).drop(*VECTORS["gravity"])
+    """The fallback without gravity columns, on recordings made calm enough to have still samples."""
+    calm = imu(spark, sf).withColumns({c: F.col(c) / 100 for c in VECTORS["gyro"]}).drop(*VECTORS["gravity"])
     stats = V.physics(V.all_motion({"watch": calm})).where("measure = 'still_angle'")
     return rounded(stats, "median", digits=4).select("recording_id", "median", "n")
 
