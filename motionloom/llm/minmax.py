@@ -199,8 +199,10 @@ def _between(around: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 nodes, labels = ([s.field(c).to_numpy() for s in sides] for c in (0, 1))
                 found = [[x.values.to_numpy() for x in s.field(2)] for s in sides]
                 i, j = _linked(*found, percent)
-                new = (labels[0][i] != labels[1][j])
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[0][i[new]]), pa.array(nodes[1][j[new]])], names=["u", "v"])
+                new = labels[0][i] != labels[1][j]
+                i, j = i[new], j[new]
+                _, one = np.unique(np.stack([i, labels[1][j]]), axis=1, return_index=True)  # one link leads to a whole component
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[0][i[one]]), pa.array(nodes[1][j[one]])], names=["u", "v"])
 
     with batches_of(around.sparkSession, 8):
         return stored(pairs.mapInArrow(compare, "u long, v long").distinct(), "links")
