@@ -6,6 +6,7 @@ import datetime
 import random
 import re
 import string
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -113,6 +114,52 @@ def test_blocks_of_items(spark, monkeypatch):
     assert sorted((r.doc_id, [m.item_id for m in r.matches]) for r in got.collect()) == [(k, [k]) for k in range(5)]
 
 
+def lcs_matches(items: list[tuple[int, str]], rows: list[tuple[int, str]]) -> set[tuple[int, int]]:
+    """Document and item of every window, from every start, whose common subsequence covers the shares of item and answer."""
+    split = {i: decontamination.words_of([t])[1].tolist() for i, t in items}
+    answers = {i: decontamination.words_of([decontamination.answer_of(t)])[1].tolist() for i, t in items}
+    counts = {i: Counter(w) for i, w in split.items()}
+    out = set()
+    for d, t in rows:
+        w = decontamination.words_of([t])[1].tolist()
+        held = Counter(w)
+        for i, item in split.items():
+            n = len(item)
+            if (counts[i] & held).total() / n < 0.6:
+                continue
+            whole, answer = decontamination.Sequence(item), decontamination.Sequence(answers[i])
+            for s in range(len(w)):
+                around = w[max(0, s - n // 2):s + n + n // 2 + n // 4]
+                if whole.common(around) / n >= 0.6 and answer.common(around) / len(answers[i]) >= 0.5:
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_a_full_block_loses_no_item_outside_the_latent_space():
+    """Against the common subsequence from every start, with a latent space that holds no word of the rare items."""
+    rng = random.Random(4)
+    items = [(k, cases.text(12 + k % 40, 3000 + k)) for k in range(500)]
+    items += [(k, " ".join(f"r{rng.randrange(10**7)}" for _ in range(12 + k % 40)) + ". " + cases.text(3, k)) for k in range(500, 990)]
+    items += [(k, " ".join([f"t{k}"] * 20 + [f"u{k}"] * 7)) for k in range(990, 1000)]
+    assert len(items) == decontamination.ITEMS_PER_BLOCK
+    others = " ".join(t for _, t in items).split()
+    rows = []
+    for k in range(300):
+        share = (0, 0.1, 0.2, 0.3, 0.35)[k % 5]
+        changed = [rng.choice(others) if rng.random() < share else w for w in items[(7 * k if k < 280 else 700 + k) % 1000][1].split()]
+        rows.append((k, " ".join([*rng.choices(others, k=30 + k % 50), *changed, *rng.choices(others, k=40)])))
+    block = decontamination.Items.of(items)
+    inside = block.terms(decontamination.words_of([t for _, t in items[:500]])[1])
+    basis = np.zeros((len(block.vocabulary), decontamination.RANK))
+    basis[inside] = np.random.default_rng(1).standard_normal((len(inside), decontamination.RANK))
+    search = decontamination.Search.of(block, np.ones(len(basis)), basis)
+    got = search.matches([t for _, t in rows])
+    want = lcs_matches(items, rows)
+    assert len(want) > 200 and any(i >= 990 for _, i in want)
+    assert {(k, m["item_id"]) for k, found in enumerate(got) for m in found} == want
+
+
 # --- secrets ------------------------------------------------------------------------------------
 
 BASE = {"assign": re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), "access": re.compile("AKIA[A-Z0-9]+"), "hex": re.compile("[0-9a-f]+")}
