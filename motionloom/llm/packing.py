@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import ratio, small_batches
-from .tokens import encode, vocabulary_path
+from .tokens import encode_with_added, vocabulary_path
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PACKED = f"{PIECES}, sequence_id long, offset long"
@@ -34,7 +34,7 @@ def cuts(n: int, limit: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, limit: int = 2048, end_id: int = 0, vocabulary: str | None = None) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text) with their ids as little-endian unsigned 32-bit numbers.
 
-    A NULL or empty text is ``end_id`` alone.  Repeated rows and NULL ids are documents like any other; other
+    Added tokens of the vocabulary that occur in a text keep their ids.  A NULL or empty text is ``end_id`` alone.  Repeated rows and NULL ids are documents like any other; other
     columns are ignored.  An empty table has no pieces.
     """
     path = vocabulary or vocabulary_path()
@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, limit: int = 2048, end_id: int = 0, vocabulary: str
             rows: list[tuple] = []
             held = 0
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.append(encode(text, path), np.uint32(end_id)).astype("<u4")
+                ids = np.append(encode_with_added(text, path), np.uint32(end_id)).astype("<u4")
                 for k, (start, length) in enumerate(cuts(len(ids), limit)):
                     rows.append((doc_id, k, start, length, ids[start:start + length].tobytes()))
                     held += length

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
 from functools import lru_cache
 
 import numpy as np
@@ -21,9 +23,23 @@ def vocabulary_path(name: str = RANKS) -> str:
 def encoding(path: str) -> tiktoken.Encoding:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(path))
+
+
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens of the JSON file beside the ranks; none if there is no such file."""
+    beside = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(beside):
+        return {}
+    with open(beside, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
 
 
 def encode(text: str | None, path: str) -> np.ndarray:
     """Ids of a text (NULL: none); strings of special tokens are ordinary text."""
     return np.array(encoding(path).encode_ordinary(text or ""), np.uint32)
+
+
+def encode_with_added(text: str | None, path: str) -> np.ndarray:
+    """Ids of a text (NULL: none) as the JSON vocabulary gives them: it is split at added tokens, which keep their ids."""
+    return np.array(encoding(path).encode(text or "", allowed_special="all", disallowed_special=()), np.uint32)

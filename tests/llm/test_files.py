@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from motionloom.llm import neighbours, packing, separators, warc
 from motionloom.llm.tables import filesystem, shared_folder
-from motionloom.llm.tokens import encode, vocabulary_path
+from motionloom.llm.tokens import encode, encode_with_added, vocabulary_path
 
 from . import cases
 
@@ -31,6 +31,20 @@ def test_ids_equal_those_of_the_json_vocabulary():
     assert len(encode(None, vocabulary_path())) == 0
 
 
+def test_packed_ids_keep_added_tokens(spark):
+    from tokenizers import Tokenizer
+    other = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    texts = [t or "" for _, t in cases.awkward()]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>  x", "a  <|endoftext|>\n\n b's", "<|endoftext| >", "x<|endoftext|>é😀 " * 700]
+    want = [other.encode(t, add_special_tokens=False).ids for t in texts]
+    for t, ids in zip(texts, want, strict=True):
+        assert encode_with_added(t, vocabulary_path()).tolist() == ids
+    assert len(encode_with_added(None, vocabulary_path())) == 0 and 50_256 not in encode("<|endoftext|>", vocabulary_path())
+    pieces = packing.pack(cases.frame(spark, list(enumerate(texts)))).orderBy("doc_id", "start").collect()
+    got = [[x for r in pieces if r.doc_id == k for x in np.frombuffer(r.ids, "<u4").tolist()] for k in range(len(texts))]
+    assert got == [[*ids, 0] for ids in want]
+
+
 def test_cuts():
     assert [packing.cuts(n, 4) for n in (1, 4, 5, 8, 9)] == [[(0, 1)], [(0, 4)], [(0, 1), (1, 4)], [(0, 4), (4, 4)], [(0, 1), (1, 4), (5, 4)]]
 
