@@ -4,16 +4,18 @@ Equal vectors form a class that is indexed once and carries its smallest ids, as
 turned by a fixed random rotation, which spreads their length evenly over the dimensions, and assigned to the list of
 their nearest centre; centres are fitted on a bounded sample (``FIT_VECTORS`` classes by hash of the id).  A list is
 cut into blocks of bounded size, and the queries that probe it into chunks.  A task scans a block for a chunk column block
-by column block: after d of D dimensions, a candidate whose partial squared distance exceeds what the query's
-distance so far allows for d dimensions, by more than the test's margin, is abandoned.  What survives is scored in double
-precision on the original vectors.  Each query scans its own list first, which gives the distance that the scan of all
-other probed lists starts from.
+by column block.  After a random rotation, the share of a squared distance that falls on d of D dimensions follows a beta
+distribution; a candidate whose partial distance exceeds the share that one of ``LOST`` at the query's distance so far would
+exceed is abandoned.  What survives is scored in double precision on the original vectors.  Each query scans its own list
+first, which gives the distance that the scan of all other probed lists starts from.  A query probes the lists nearest to it
+until they are ``PROBED_SHARE`` of all lists and hold ``LEAST_CANDIDATES`` vectors.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +26,9 @@ from .tables import batches_of, small_batches, stored
 
 EVERY, NEAREST = 50, 5
 FIT_VECTORS, ROUNDS = 50_000, 8
-ONE_LIST_BELOW, MAX_LISTS, PROBED_SHARE = 2_048, 4_096, 0.6
+MAX_LISTS, PROBED_SHARE, LEAST_CANDIDATES = 4_096, 0.6, 2_048
 BLOCK_VECTORS, CHUNK_QUERIES = 4_096, 256
-COLUMNS, MARGIN = 16, 2.1
+COLUMNS, LOST = 16, 0.002
 
 
 def rotation(dimensions: int) -> np.ndarray:
@@ -57,6 +59,17 @@ def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return (v * q).sum(axis=1) / (np.sqrt((v * v).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 
+@lru_cache(maxsize=4096)
+def allowed_share(seen: int, dimensions: int) -> float:
+    """Share of a squared distance on ``seen`` of all dimensions that one in ``1 / LOST`` rotations exceeds."""
+    if seen >= dimensions:
+        return 1.0
+    share = (np.arange(1 << 14) + 0.5) / (1 << 14)
+    density = (seen / 2 - 1) * np.log(share) + ((dimensions - seen) / 2 - 1) * np.log1p(-share)
+    below = np.cumsum(np.exp(density - density.max()))
+    return float(share[np.searchsorted(below, (1 - LOST) * below[-1])])
+
+
 def surviving(queries: np.ndarray, block: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Pairs (query, vector) of rotated unit vectors that no test abandons, and the number of dimensions read.
 
@@ -73,8 +86,7 @@ def surviving(queries: np.ndarray, block: np.ndarray, reach: np.ndarray) -> tupl
         else:
             read += len(q) * (last - first)
             full = partial + ((a[q] - b[v]) ** 2).sum(axis=1)
-        part = last / dimensions
-        allowed = reach * part * (1 + (MARGIN / math.sqrt(last) if last < dimensions else 0)) ** 2 + 1e-5
+        allowed = reach * allowed_share(last, dimensions) + 1e-5
         if partial is None:
             q, v = np.nonzero(full <= allowed[:, None])
             partial = full[q, v]
@@ -87,13 +99,14 @@ def surviving(queries: np.ndarray, block: np.ndarray, reach: np.ndarray) -> tupl
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the vectors that take part.
 
-    Those with a NULL id, NULL, zero or shorter than the table's longest, or with a NULL or non-finite component do not.
+    Those with a NULL id, NULL, zero or of another length than most (of equally common lengths the longer counts), or with a
+    NULL or non-finite component do not.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     rows = rows.filter("vec_id is not null and embedding is not null").filter(F.coalesce(finite, F.lit(False)))
-    longest = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
-    return rows.filter(F.size("embedding") == longest)
+    common = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
+    return rows.filter(F.size("embedding") == (common["n"] if common else 0))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -105,7 +118,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _index(classes: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """Classes with their list and rotated vector, the centres and the rotation."""
     n = classes.count()
-    lists = 1 if n < ONE_LIST_BELOW else min(MAX_LISTS, 1 << round(math.log2(math.sqrt(n))))
+    lists = min(MAX_LISTS, 1 << round(math.log2(math.sqrt(n))))
     sample = classes.select("embedding").orderBy(F.xxhash64("rep"), "rep").limit(FIT_VECTORS).toArrow()
     sample = unit(_matrix(sample.column("embedding")))
     turn = rotation(sample.shape[1])
@@ -190,8 +203,11 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, share: flo
     asking = stored(rows.filter(F.col("vec_id") % every == 0).join(classes.select("embedding", "rep"), "embedding").select("vec_id", "rep"), "asking")
     indexed, found, turn = _index(classes)
     indexed = stored(indexed, "index")
-    sizes = indexed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("subs"))
-    dealt = indexed.join(F.broadcast(sizes), "list").withColumn("sub", F.pmod(F.xxhash64("rep"), "subs").cast("int"))  # a row for each list
+    sizes = indexed.groupBy("list").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("subs"))
+    held = np.zeros(len(found), np.int64)
+    for row in sizes.collect():  # a row for each list
+        held[row["list"]] = row["n"]
+    dealt = indexed.join(F.broadcast(sizes.drop("n")), "list").withColumn("sub", F.pmod(F.xxhash64("rep"), "subs").cast("int"))  # a row for each list
     blocks = stored(_gathered(dealt.select("list", "sub", "rep", "turned", "embedding"), ["list", "sub"], []), "blocks")
     queries = stored(indexed.join(asking.select("rep").distinct(), "rep", "left_semi").select("rep", "list", "turned", "embedding"), "queries")
     with batches_of(spark, 8):
@@ -205,8 +221,10 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = NEAREST, share: flo
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                near = np.argsort(-(_matrix(batch.column("turned")) @ found.T), axis=1, kind="stable")[:, :probed]
-                yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))], names=["rep", "lists"])
+                near = np.argsort(-(_matrix(batch.column("turned")) @ found.T), axis=1, kind="stable").astype(np.int32)
+                before = np.cumsum(held[near], axis=1) - held[near]
+                taken = [row[(np.arange(lists) < probed) | (seen < LEAST_CANDIDATES)] for row, seen in zip(near, before, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(taken, pa.list_(pa.int32()))], names=["rep", "lists"])
 
     others = small_batches(queries.select("rep", "turned")).mapInArrow(probe, "rep long, lists array<int>").select("rep", F.explode("lists").alias("list"))
     probes = (others.join(queries.withColumnRenamed("list", "own"), "rep").filter("list <> own").drop("own")
