@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, minmax, neighbours, packing, pseudonyms, repeats, secrets, separators, warc
+from . import decontamination, language, minmax, neighbours, packing, pseudonyms, repeats, resampling, secrets, separators, warc
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,41 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = separators.write_flat(read(spark, sf_dir, "documents"))
     counted = separators.count_tokens(index.select("path", "tokens").distinct())
     return index.join(counted, ["path", "ordinal"]).select("doc_id", "ordinal", "start", "n_tokens")
+
+
+@query(r"""
+WITH RECURSIVE bits AS (SELECT b, b AS c, 0 AS k FROM range(256) t(b)
+    UNION ALL SELECT b, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM bits WHERE k < 8),
+single AS (SELECT b, c FROM bits WHERE k = 8),
+texts AS (SELECT 's' AS side, doc_id AS id, row_number() OVER () AS n, text FROM documents
+    UNION ALL SELECT 't', item_id, row_number() OVER (), text FROM benchmark),
+words AS (SELECT side, id, n, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+features AS MATERIALIZED (SELECT side, n, f, count(*) AS k FROM (SELECT side, n, unnest(list_concat(w, list_concat(
+    list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) AS f FROM words) GROUP BY ALL),
+distinct_features AS MATERIALIZED (SELECT f, hex(encode(f)) AS h, strlen(f) AS bytes FROM (SELECT DISTINCT f FROM features)),
+longest AS (SELECT coalesce(max(bytes), 0) AS n FROM distinct_features),
+place AS (SELECT b, 0 AS d, c FROM single
+    UNION ALL SELECT p.b, d + 1, xor(p.c >> 8, s.c) FROM place p JOIN single s ON s.b = p.c & 255 WHERE d < (SELECT n FROM longest)),
+named AS MATERIALIZED (SELECT printf('%02X', b) AS x, d, c FROM place),
+moved AS (SELECT 0::BIGINT AS n, 4294967295 AS c
+    UNION ALL SELECT n + 1, xor(m.c >> 8, s.c) FROM moved m JOIN single s ON s.b = m.c & 255 WHERE n < (SELECT n FROM longest)),
+crcs AS (SELECT f, any_value(bytes) AS bytes, bit_xor(named.c) AS folded FROM (SELECT f, h, bytes, unnest(range(bytes)) AS i FROM distinct_features) e
+    JOIN named ON named.x = substr(h, 2 * i + 1, 2) AND named.d = bytes - 1 - i GROUP BY f),
+placed AS (SELECT f, xor(xor(folded, m.c), 4294967295) % 10000 AS bucket FROM crcs JOIN moved m ON m.n = bytes),
+sums AS (SELECT bucket, coalesce(sum(k) FILTER (side = 's'), 0)::DOUBLE AS s, coalesce(sum(k) FILTER (side = 't'), 0)::DOUBLE AS t
+    FROM features JOIN placed USING (f) GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM sums),
+gains AS (SELECT bucket, floor(1000 * ln((sums.t + 1) * (totals.s + 10000) / ((sums.s + 1) * (totals.t + 10000))))::BIGINT AS gain FROM sums, totals),
+weights AS (SELECT n, sum(k) AS n_features, sum(k * gain) AS weight FROM features JOIN placed USING (f) JOIN gains USING (bucket) WHERE side = 's' GROUP BY n),
+scored AS (SELECT id AS doc_id, len(w) >= 20 AS long, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (n) WHERE side = 's'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY long AND score IS NOT NULL ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN long AND score IS NOT NULL AND place <= 5 * (SELECT count(*) FROM scored WHERE long) // 100 THEN place END AS rank
+FROM ranked""")
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of all documents towards the benchmark's texts, and the five per cent drawn by them."""
+    found = resampling.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
