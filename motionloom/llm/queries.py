@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, minmax, neighbours, packing, pseudonyms, repeats, resampling, secrets, separators, warc
+from . import decontamination, language, minmax, neighbours, packing, pseudonyms, repeats, resampling, secrets, separators, warc, whitening
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.join(counted, ["path", "ordinal"]).select("doc_id", "ordinal", "start", "n_tokens")
 
 
+@query()
+def op11_characteristic_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every vector."""
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
 @query(r"""
 WITH RECURSIVE bits AS (SELECT b, b AS c, 0 AS k FROM range(256) t(b)
     UNION ALL SELECT b, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM bits WHERE k < 8),
