@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, minmax, neighbours, packing, pseudonyms, repeats, resampling, secrets, separators, warc, whitening
+from . import decontamination, language, minmax, neighbours, packing, pseudonyms, repeats, resampling, secrets, separators, urlfilter, warc, whitening
 from .tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,52 @@ def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weights of all documents towards the benchmark's texts, and the five per cent drawn by them."""
     found = resampling.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _template_sql() -> str:
+    """The tree in SQL: the same levels, tests and constants, written out level by level."""
+    u, m = urlfilter, [f"m{k}" for k in range(1, urlfilter.DEPTH + 1)]
+    rules = sorted(u.RULES, key=lambda r: -len(r[0]))
+    fits = " ".join(f"WHEN (host = '{d}' OR ends_with(host, '.{d}')) AND starts_with(path, '/{p}') THEN '{d}/{p}'" for d, _, p in (r.partition("/") for r, _ in rules))
+    says = " ".join(f"WHEN '{r}' THEN '{v}'" for r, v in rules)
+    plain = r"regexp_replace(regexp_replace(seg, '[0-9]+', '0', 'g'), '[^-_.%+=,;:@0]+', 'A', 'g')"
+    steps = [f"""WITH cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    hosts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+    parts AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM hosts),
+    ruled AS (SELECT *, CASE {fits} END AS rule FROM parts),
+    level0 AS (SELECT row_number() OVER () AS id, *, CASE rule {says} END AS said, '' AS node,
+        CASE WHEN path <> '' THEN string_split(regexp_replace(path, '^/', ''), '/') ELSE [] END AS s FROM ruled)"""]
+    for k in range(1, u.DEPTH + 1):
+        steps.append(f"""cut{k} AS (SELECT *, CASE WHEN length({plain}) > {u.LONGEST_SHAPE} THEN 'X' ELSE {plain} END AS shape FROM (SELECT *, s[{k}] AS seg FROM level{k - 1})),
+        nodes{k} AS (SELECT *, sum(n) OVER w AS total, count(*) OVER w AS kinds FROM (SELECT host, node, shape, seg, count(*) AS n FROM cut{k} WHERE seg IS NOT NULL
+            GROUP BY ALL) WINDOW w AS (PARTITION BY host, node, shape)),
+        level{k} AS (SELECT * EXCLUDE (seg, shape, node), node || '/' || coalesce(t{k}, '') AS node FROM (SELECT c.*,
+            CASE WHEN n.seg IS NOT NULL THEN c.seg WHEN c.seg IS NOT NULL THEN '<' || c.shape || '>' END AS t{k}
+            FROM cut{k} c LEFT JOIN (SELECT * FROM nodes{k} WHERE kinds < {u.FEW} OR n >= {u.SHARE}::DOUBLE * total) n USING (host, node, seg)))""")
+    named = ", ".join(f"coalesce(t{k}, '') AS {c}, coalesce(t{k}, '') AS o{k}" for k, c in enumerate(m, 1))
+    steps.append(f"""placed AS (SELECT page_id, host, path, rule, said, {named}, CASE WHEN len(s) > {u.DEPTH} THEN '**' ELSE '' END AS tail FROM level{u.DEPTH}),
+    tree{u.DEPTH + 1} AS (SELECT host, {", ".join(m)}, {", ".join(f"o{k}" for k in range(1, u.DEPTH + 1))}, tail, count(*) AS pages, count(said) AS labelled,
+        count(*) FILTER (said = 'block') AS blocked FROM placed GROUP BY ALL)""")
+    for k in range(u.DEPTH, 0, -1):
+        above, rest = ", ".join(["host", *m[:k - 1]]), ", ".join([*m[k:], "tail"])
+        branch = m[k - 1]
+        steps.append(f"""sums{k} AS (SELECT *, sum(pages) OVER (PARTITION BY {above}, {branch}, {rest}) AS cell, sum(pages) OVER b AS n, sum(pages) OVER (PARTITION BY {above}, {rest}) AS pool,
+            sum(pages) OVER p AS total, count(DISTINCT ({rest}, 0)) OVER p AS kinds, sum(labelled) OVER b AS l, sum(blocked) OVER b AS bl, sum(labelled) OVER p AS pl, sum(blocked) OVER p AS pb
+            FROM tree{k + 1} WINDOW b AS (PARTITION BY {above}, {branch}), p AS (PARTITION BY {above})),
+        chi{k} AS (SELECT *, sum(pages::DOUBLE * cell * total / (n::DOUBLE * pool)) OVER (PARTITION BY {above}, {branch}) - n AS chi, (pb + 1.0::DOUBLE) / (pl + 2.0::DOUBLE) AS e FROM sums{k}),
+        alike{k} AS (SELECT *, {branch} <> '' AND chi <= kinds - 1 + {u.DEVIATIONS}::DOUBLE * sqrt(2.0::DOUBLE * (kinds - 1)) + 1e-6::DOUBLE
+            AND (l = 0 OR abs(bl / l - e) <= {u.DEVIATIONS}::DOUBLE * sqrt(e * (1 - e) / l)) AS alike FROM chi{k}),
+        tree{k} AS (SELECT * EXCLUDE (cell, n, pool, total, kinds, l, bl, pl, pb, chi, e, alike, {branch}), CASE WHEN alike AND
+            count(DISTINCT CASE WHEN alike THEN {branch} END) OVER (PARTITION BY {above}) > 1 THEN '*' ELSE {branch} END AS {branch} FROM alike{k})""")
+    keys = ", ".join([*(f"o{k}" for k in range(1, u.DEPTH + 1)), "tail"])
+    steps.append(f"""judged AS (SELECT host, {keys}, (sum(blocked) OVER w + {u.PRIOR_WEIGHT / 2}::DOUBLE) / (sum(labelled) OVER w + {u.PRIOR_WEIGHT}::DOUBLE) >= {u.PUREST}::DOUBLE AS gone
+        FROM tree1 WINDOW w AS (PARTITION BY host, {", ".join(m)}, tail))
+    SELECT page_id, host, path, rule, coalesce(said, CASE WHEN gone THEN 'block' ELSE 'allow' END) AS verdict FROM placed JOIN judged USING (host, {keys})""")
+    return ", ".join(steps)
+
+
+@query(_template_sql())
+def op13_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page."""
+    return urlfilter.judged_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
