@@ -1,10 +1,10 @@
 """How rows are spread over tasks before an order-dependent operator runs.
 
 A recording is normally small enough for one task, and then one hash shuffle on its id is the best
-plan.  Nothing guarantees that, so the size of the largest recording is looked up first (a count
-over the key column alone).  Beyond the limit rows are range-partitioned on key *and* order, which
-cuts an oversized recording into consecutive chunks of similar size whatever the distribution; the
-operators then carry a few values per chunk across the cuts.
+plan.  Nothing guarantees that, so recordings with more rows than a task may hold are looked up first
+(a count over the key column alone).  Only their rows are range-partitioned on key *and* order, which
+cuts them into consecutive chunks of similar size whatever the distribution, and written; the
+operators carry a few values per chunk across these cuts.  All other rows stay with the hash shuffle.
 """
 
 from __future__ import annotations
@@ -13,11 +13,12 @@ import math
 import tempfile
 from dataclasses import dataclass, replace
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CHUNK = "_chunk"
+CHUNK, WHOLE = "_chunk", -1
 DEFAULT_ROWS_PER_TASK = 1_000_000
 DEFAULT_BROADCAST_ROWS = 200_000
 
@@ -50,15 +51,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def largest_group(df: DataFrame, *key: str) -> int:
-    """Rows of the largest group.  Counts are combined before the shuffle, so skew is harmless."""
-    counted = df.groupBy(*key).count().agg(F.max("count")).first()
-    return counted[0] or 0
-
-
 @dataclass(frozen=True)
 class Ordered:
-    """Rows with an order inside each key, and the chunk of that order every row belongs to."""
+    """Rows with an order inside each key, and the chunk of that order every row belongs to.
+
+    Keys that are not cut lie in chunk ``WHOLE``; ``split`` tells whether any key is cut.
+    """
 
     rows: DataFrame
     key: tuple[str, ...]
@@ -74,21 +72,37 @@ class Ordered:
         return self.rows.drop(CHUNK)
 
 
+def crowded_keys(df: DataFrame, *key: str) -> DataFrame:
+    """(key, _n) of the keys with more rows than one task may hold; at most all rows over that limit.
+
+    Counts are combined before the shuffle, so skew is harmless.
+    """
+    counted = df.groupBy(*key).agg(F.count("*").alias("_n"))
+    return durable(counted.where(F.col("_n") > rows_per_task(df.sparkSession)))
+
+
 def ordered(df: DataFrame, key: tuple[str, ...] = ("recording_id",),
             order: tuple[str, ...] = ("t_ns", "seq"), split: bool | None = None) -> Ordered:
-    """Lay ``df`` out for order-dependent work; ``split`` forces or forbids cutting groups.
+    """Lay ``df`` out for order-dependent work; ``split=False`` promises that no key needs cutting.
 
-    Ties in ``order`` must not matter to the caller or be excluded by a last unique column.
+    Ties in ``order`` must not matter to the caller or be excluded by a last unique column.  Only the rows of
+    crowded keys are written.
     """
-    limit = rows_per_task(df.sparkSession)
-    if split is None:
-        split = largest_group(df, *key) > limit
-    if not split:
-        return Ordered(df.withColumn(CHUNK, F.lit(0)), key, order, False)
-    parts = max(1, math.ceil(df.count() / limit))
-    laid = (df.repartitionByRange(parts, *key, *order)
-            .withColumn(CHUNK, F.spark_partition_id()))
-    return Ordered(durable(laid), key, order, True)
+    whole = Ordered(df.withColumn(CHUNK, F.lit(WHOLE)), key, order, False)
+    if split is False:
+        return whole
+    crowded = crowded_keys(df, *key)
+    rows = crowded.agg(F.sum("_n")).first()[0]
+    if not rows:
+        return whole
+    named = crowded.select(*[F.col(k).alias(f"_key_{k}") for k in key])
+    named = F.broadcast(named) if _at_most(named, broadcast_rows(df.sparkSession)) else named
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in key])
+    parts = max(1, math.ceil(rows / rows_per_task(df.sparkSession)))
+    cut = durable(df.join(named, same, "left_semi").repartitionByRange(parts, *key, *order)
+                  .withColumn(CHUNK, F.spark_partition_id()))
+    rest = df.join(named, same, "left_anti").withColumn(CHUNK, F.lit(WHOLE))
+    return Ordered(rest.unionByName(cut), key, order, True)
 
 
 # --- values that look along the order ---------------------------------------------------------
@@ -163,7 +177,7 @@ def along(layout: Ordered, **columns: Along) -> Ordered:
         "running_sum": F.sum,
         "running_max": F.max,
     }
-    # One row per key and chunk; a key spans at most as many rows here as there are chunks.
+    # One row per cut key and chunk; a key spans at most as many rows here as there are chunks.
     chunks = Window.partitionBy(*layout.key).orderBy(CHUNK)
     before = chunks.rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*layout.key).orderBy(F.col(CHUNK).desc()).rowsBetween(
@@ -187,10 +201,11 @@ def along(layout: Ordered, **columns: Along) -> Ordered:
     }
     # Written out, because steps build on each other: a step then reads the carries before it
     # instead of deriving all of them again.
-    carry = durable(rows.groupBy(*layout.key, CHUNK)
+    carry = durable(rows.where(F.col(CHUNK) != WHOLE).groupBy(*layout.key, CHUNK)
                     .agg(*[summary[a.kind](a.value).alias(f"_c_{n}") for n, a in columns.items()])
                     .select(*layout.key, CHUNK, *[carried[a.kind](F.col(f"_c_{n}")).alias(f"_c_{n}")
                                                   for n, a in columns.items()]))
+    carry = F.broadcast(carry) if _at_most(carry, broadcast_rows(rows.sparkSession)) else carry
     joined = (rows.select("*", *[c.alias(f"_w_{n}") for n, c in local.items()])
               .join(carry, [*layout.key, CHUNK], "left"))
     return layout.having(joined.select(*rows.columns, *[
@@ -205,11 +220,6 @@ def numbered(layout: Ordered, name: str = "row_number") -> Ordered:
 
 # --- joins with a smaller table ------------------------------------------------------------------
 
-def fits(df: DataFrame, *key: str) -> bool:
-    """Does every group stay within what one task may hold?"""
-    return largest_group(df, *key) <= rows_per_task(df.sparkSession)
-
-
 def attach(rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", *,
            costly: bool = False) -> DataFrame:
     """Join ``rows`` with a table of few rows per key.

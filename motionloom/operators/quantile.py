@@ -1,45 +1,99 @@
-"""Exact quantiles with linear interpolation, for groups of any size."""
+"""Exact quantiles with linear interpolation, for groups of any size, by radix selection.
 
-from __future__ import annotations
+A value's leading digits put it into a cell: its sign, its octave and a 256th of that.  Any function that never falls as values rise
+would do; this one follows the bits of a double.  Cells are counted per group before the shuffle, so a group is a few hundred
+rows afterwards whatever its size.  Running counts tell which cells hold the wanted ranks.  A cell of one value is answered by it; of
+the others, those with more values than one task may hold are cut into 4096 equal ranges from their least to their greatest value and
+counted again, until every cell left is small.  Only the values of these cells are then shuffled and ranked.
+"""
 
+from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .layout import along, attach, fits, ordered, running_sum
+from .layout import attach, durable, rows_per_task
+
+OCTAVE_CELLS, RANGES = 256, 4096
+#: Beyond the exponents of a double in either direction, so that cells of positive values are positive.
+EXPONENTS = 1100
+LAST_CELL = 3 * EXPONENTS * OCTAVE_CELLS  # NaN, which sorts after everything
+
+
+def cell(value: Column) -> Column:
+    """A whole number that never falls as ``value`` rises."""
+    v = value.cast("double")
+    size = F.greatest(F.least(F.log2(F.abs(v)), F.lit(float(EXPONENTS - 1))), F.lit(1.0 - EXPONENTS))
+    step = F.floor(size * OCTAVE_CELLS).cast("int") + F.lit(EXPONENTS * OCTAVE_CELLS)
+    return F.when(F.isnan(v), LAST_CELL).when(v == 0, 0).when(v > 0, step).otherwise(-step)
+
 
+def _holding(counts: DataFrame, groups: list[str], order: str, before: Column, ranks: Column) -> DataFrame:
+    """Those of ``counts`` (groups, order, _n) that hold wanted ranks, with the values before them and these ranks."""
+    along = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("_before", before + F.coalesce(F.sum("_n").over(along), F.lit(0).cast("bigint")))
+    held = F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_n")))
+    return placed.withColumn("_ranks", held).where(F.size("_ranks") > 0)
 
-def quantiles(df: DataFrame, key: list[str], value: str, bounded: bool | None = None,
+
+def cell_counts(df: DataFrame, key: list[str], value: str) -> DataFrame:
+    """(key, _cell, _n, _lo, _hi) of the values that are not NULL; counts of parts of a table add up."""
+    rows = df.where(F.col(value).isNotNull())
+    return rows.groupBy(*key, cell(F.col(value)).alias("_cell")).agg(F.count("*").alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+
+
+def quantiles(df: DataFrame, key: list[str], value: str, limit: int | None = None, counts: DataFrame | None = None,
               **probabilities: float) -> DataFrame:
-    """One row per key with ``n`` and a column per named probability; NULL values are ignored.
+    """One row per key with ``n`` and a column per named probability; NULL values are ignored, NaN is the greatest.
 
-    Equal values are counted before the shuffle.  If the largest group has few enough values, the
-    built-in ``percentile`` finishes the work; otherwise values are laid out in global order and
-    the rows holding the wanted ranks are picked from running counts.
+    Cells with over ``limit`` values, by default what a task may hold, are cut further.  ``counts`` are those of
+    :func:`cell_counts` where they are there already.  Groups without a value have no row.
     """
-    key = list(key)
-    counts = (df.where(F.col(value).isNotNull()).groupBy(*key, value)
-              .agg(F.count("*").alias("_n")))
-    names = list(probabilities)
-    if fits(df, *key) if bounded is None else bounded:
-        found = counts.groupBy(*key).agg(F.expr(
-            f"percentile(`{value}`, array({', '.join(repr(float(p)) + 'D' for p in probabilities.values())}), _n)"
-        ).alias("_q"), F.sum("_n").alias("n"))
-        return found.select(*key, "n", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-
-    layout = along(ordered(counts, tuple(key), (value,), split=True), _upto=running_sum(F.col("_n")))
-    totals = counts.groupBy(*key).agg(F.sum("_n").alias("_total"))
-    rows = attach(layout.frame, totals, key, "inner", costly=True)
-    picks = []
-    for i, p in enumerate(probabilities.values()):
-        rank = F.lit(float(p)) * (F.col("_total") - 1)
-        for side, wanted in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            held = (F.col("_upto") - F.col("_n") <= wanted) & (wanted < F.col("_upto"))
-            picks.append(F.max(F.when(held, F.col(value))).alias(f"_{side}{i}"))
-        picks.append(F.max(rank - F.floor(rank)).alias(f"_f{i}"))
-    picked = rows.groupBy(*key).agg(F.max("_total").alias("n"), *picks)
-    return picked.select(*key, "n", *[
-        (F.col(f"_lo{i}") * (1 - F.col(f"_f{i}")) + F.col(f"_hi{i}") * F.col(f"_f{i}")).alias(n)
-        for i, n in enumerate(names)])
+    key, limit = list(key), limit or rows_per_task(df.sparkSession)
+    totals = Window.partitionBy(*key)
+    counts = cell_counts(df, key, value) if counts is None else counts
+    counts = counts.withColumn("_total", F.sum("_n").over(totals))
+    rank = {name: F.lit(float(p)) * (F.col("_total") - 1) for name, p in probabilities.items()}
+    ends = [side(r).cast("bigint") for r in rank.values() for side in (F.floor, F.ceil)]
+    cells = durable(_holding(counts, key, "_cell", F.lit(0).cast("bigint"), F.array_distinct(F.array(*ends))).withColumn(
+        "_left", F.when(F.col("_lo") < F.col("_hi"), F.col("_n"))).drop("_n"))
+    answered = [cells.where("_left IS NULL")]
+    open_cells = cells.where("_left IS NOT NULL")
+
+    def found_in(which: DataFrame) -> DataFrame:
+        """The values that lie in open cells; the ranges of one cell do not meet, so a value lies in one of them at most."""
+        rows = df.where(F.col(value).isNotNull()).select(*key, F.col(value).alias("_value"), cell(F.col(value)).alias("_cell"))
+        return attach(rows, which, [*key, "_cell"], "inner").where("_value >= _lo AND _value <= _hi")
+
+    low, span = F.col("_lo").cast("double"), F.col("_hi").cast("double") - F.col("_lo").cast("double")
+    while True:
+        # Cells that end at infinity, hold NaN or differ beyond a double's digits alone cannot be cut by their range.
+        cuttable = (F.col("_left") > limit) & (span > 0) & (span < float("inf"))
+        crowded = open_cells.where(cuttable)
+        if crowded.isEmpty():
+            break
+        part = F.floor((F.col("_value").cast("double") - low) / span * RANGES).cast("int")
+        groups = [*key, "_cell", "_lo", "_hi", "_before", "_ranks", "_total"]
+        again = (found_in(crowded).groupBy(*groups, part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_value").alias("_least"), F.max("_value").alias("_most"))
+                 .withColumnsRenamed({"_before": "_start", "_ranks": "_wanted"}))
+        finer = _holding(again, [*key, "_cell", "_lo"], "_part", F.col("_start"), F.col("_wanted")).select(
+            *key, "_cell", F.col("_least").alias("_lo"), F.col("_most").alias("_hi"), "_total", "_before", "_ranks", F.when(F.col("_least") < F.col("_most"), F.col("_n")).alias("_left"))
+        finer = durable(finer)
+        answered.append(finer.where("_left IS NULL"))
+        open_cells = durable(open_cells.where(~cuttable).unionByName(finer.where("_left IS NOT NULL")))
 
+    values = [rows.select(*key, "_total", F.explode("_ranks").alias("_rank"), F.col("_lo").alias("_value")) for rows in answered]
+    if not open_cells.isEmpty():
+        groups = [*key, "_cell", "_lo", "_before", "_ranks", "_total"]
+        each = (found_in(open_cells).groupBy(*groups, "_value").agg(F.count("*").alias("_n")).withColumnsRenamed({"_before": "_start", "_ranks": "_wanted"}))
+        picked = _holding(each, [*key, "_cell", "_lo"], "_value", F.col("_start"), F.col("_wanted"))
+        values.append(picked.select(*key, "_total", F.explode("_ranks").alias("_rank"), "_value"))
+    ranked = values[0]
+    for more in values[1:]:
+        ranked = ranked.unionByName(more)
+    at = ranked.groupBy(*key).agg(F.first("_total").alias("_total"), F.map_from_entries(F.collect_list(F.struct("_rank", "_value"))).alias("_at"))
 
+    def between(r: Column) -> Column:
+        lo, hi, share = F.floor(r).cast("bigint"), F.ceil(r).cast("bigint"), r - F.floor(r)
+        return F.when(share == 0, F.col("_at")[lo].cast("double")).otherwise(F.col("_at")[lo] * (1 - share) + F.col("_at")[hi] * share)
+    return at.select(*key, F.col("_total").alias("n"), *[between(r).alias(name) for name, r in rank.items()])

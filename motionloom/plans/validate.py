@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import (all_finite, angle_deg, columns_of, gravity_from_quaternion, norm)
-from ..operators.layout import attach, durable, fits, union_all
+from ..operators.layout import attach, durable, union_all
 from ..operators.motion import backward_steps, median_rate_hz, still, with_presence_columns
 from ..operators.privacy import (epoch_columns, redaction_policy_problems, redaction_violations,
                                  time_origin_problems)
@@ -121,22 +121,21 @@ def physics(motion: DataFrame, split: bool | None = None) -> DataFrame:
 
     fallback = held.where(enough & ~F.col("_has_gravity") & F.col("_has_total") & F.col("_has_gyro")
                           & all_finite(quat)).select(*motion.columns)
-    split = not fits(motion, *STREAM) if split is None else split
-    stats = [_measure_stats(long, not split)]
+    stats = [_measure_stats(long)]
     if not fallback.isEmpty():
         rate = median_rate_hz(fallback, "rate_hz", tuple(STREAM), split)
         calm = still(fallback, rate, key=tuple(STREAM), split=split).where("still").select(
             *STREAM, F.lit("still_angle").alias("measure"),
             angle_deg(columns_of("accel_total"), rebuilt).alias("value"))
         counted = fallback.select(*STREAM).distinct().select(*STREAM, F.lit("still_angle").alias("measure"))
-        stats.append(counted.join(_measure_stats(calm, not split), [*STREAM, "measure"], "left")
+        stats.append(counted.join(_measure_stats(calm), [*STREAM, "measure"], "left")
                      .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
     return union_all(stats)
 
 
-def _measure_stats(long: DataFrame, bounded: bool) -> DataFrame:
+def _measure_stats(long: DataFrame) -> DataFrame:
     by = [*STREAM, "measure"]
-    return (quantiles(long, by, "value", bounded=bounded, median=0.5, p95=0.95, q25=0.25, q75=0.75)
+    return (quantiles(long, by, "value", median=0.5, p95=0.95, q25=0.25, q75=0.75)
             .select(*by, "n", "median", "p95", (F.col("q75") - F.col("q25")).alias("iqr")))
 
 

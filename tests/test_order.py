@@ -60,14 +60,14 @@ def test_cut_groups_are_of_similar_size_even_with_one_hot_time(spark):
         spark.conf.unset("spark.motionloom.rowsPerTask")
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_quantiles_equal_numpy(spark, bounded):
+@pytest.mark.parametrize("limit", [None, 1, 20])
+def test_quantiles_equal_numpy(spark, limit):
     rng = np.random.default_rng(3)
     rows = [("a", float(x)) for x in rng.normal(size=101)] + [("b", float(x)) for x in rng.integers(0, 4, 60)] + [("a", None)]
     spark.conf.set("spark.motionloom.rowsPerTask", "7")
     try:
         df = spark.createDataFrame(rows, "k string, v double")
-        got = {r.k: r for r in quantiles(df, ["k"], "v", bounded=bounded, lo=0.05, mid=0.5, hi=0.95).collect()}
+        got = {r.k: r for r in quantiles(df, ["k"], "v", limit, lo=0.05, mid=0.5, hi=0.95).collect()}
     finally:
         spark.conf.unset("spark.motionloom.rowsPerTask")
     for key in "ab":
@@ -75,6 +75,42 @@ def test_quantiles_equal_numpy(spark, bounded):
         assert np.allclose([got[key].lo, got[key].mid, got[key].hi], np.percentile(values, [5, 50, 95]))
 
 
+@pytest.mark.parametrize("limit", [3, 50, None])
+def test_quantiles_of_awkward_values(spark, limit):
+    """Both signs, zeros of both signs, infinities, subnormal and huge values, dense clusters, and a group of one value."""
+    rng = np.random.default_rng(4)
+    groups = {"wide": np.concatenate([rng.normal(size=200) * 10.0 ** rng.integers(-300, 300, 200), [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308]]),
+              "dense": 1.0 + rng.integers(0, 1 << 12, 400) * 2.0 ** -52, "one": np.full(90, -7.25), "clusters": np.concatenate([1 + rng.random(150) * 1e-12, 1 + rng.random(150) * 1e-3]),
+              "endless": np.array([float("-inf")] * 3 + [1.0, 2.0] + [float("inf")] * 4)}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, v double").repartition(4)
+    points = {"a": 0.0, "b": 0.05, "c": 0.25, "d": 0.5, "e": 0.875, "f": 1.0}
+    got = {r.k: r for r in quantiles(df, ["k"], "v", limit, **points).collect()}
+    for key, values in groups.items():
+        s = np.sort(values)
+        assert got[key].n == len(s)
+        for name, p in points.items():
+            at = p * (len(s) - 1)
+            lo, hi = s[int(np.floor(at))], s[int(np.ceil(at))]
+            want = lo if at == int(at) else lo * (1 - at % 1) + hi * (at % 1)
+            assert got[key][name] == want or np.isnan(want) and np.isnan(got[key][name]), (key, name)
+
+
+def test_quantiles_of_whole_numbers_beyond_a_double(spark):
+    values = [2**60 + k for k in range(-50, 51)]
+    df = spark.createDataFrame([("k", v) for v in values], "k string, v bigint")
+    row = quantiles(df, ["k"], "v", 4, lo=0.0, mid=0.5, hi=1.0).first()
+    assert (row.n, row.lo, row.mid, row.hi) == (101, float(values[0]), float(2**60), float(values[-1]))
+
+
+def test_quantiles_shuffle_only_the_cells_they_need(spark):
+    """Of 20,000 values, those in the cells that hold a wanted rank leave the scan."""
+    df = spark.range(20_000).select(F.lit("k").alias("k"), (1 + F.col("id") / 7).alias("v"))
+    result = quantiles(df, ["k"], "v", mid=0.5)
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan()
+    assert abs(result.first().mid - (1 + 19_999 / 14)) < 1e-9 and "BroadcastHashJoin" in plan.toString()
+
+
 def spans_and_points(seed):
     rng = random.Random(seed)
     spans = [("r", i, s := rng.randrange(-20, 60), s + rng.randrange(0, 30), f"v{i}") for i in range(25)]
