@@ -55,6 +55,11 @@ def in_any(value: Column, ranges: tuple) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
+def in_any_sql(name: str, ranges: tuple) -> str:
+    """The same test as SQL text over a column; NULL where that is NULL."""
+    return " OR ".join(f"abs({name}) >= {low!r} AND abs({name}) < {high!r}" for low, high in ranges)
+
+
 def looks_like_unix_time(value: Column) -> Column:
     return in_any(value.cast("double"), UNIX_RANGES)
 

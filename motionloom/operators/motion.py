@@ -8,21 +8,41 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import columns_of, gravity_from_quaternion, norm
+from ..functions.vectors import columns_of, gravity_from_quaternion, norm, norm_of
 from ..vocabulary import (DEFAULT_STILL_RATE_HZ, GRAVITY_NORM_BAND, GRAVITY_NORM_MAX_IQR,
                           GRAVITY_SI_NORM_THRESHOLD, MIN_PHYSICS_ROWS, STANDARD_GRAVITY,
                           STILL_THRESHOLD, STILL_WINDOW_S, VECTORS)
-from .layout import along, attach, last_seen, next_seen, numbered, ordered, previous
+from .layout import along, attach, durable, last_seen, next_seen, numbered, ordered, previous
 from .quantile import quantiles
 
 KEY = ("recording_id",)
 
 
+def time_steps(motion: DataFrame, key: tuple[str, ...] = KEY, split: bool | None = None) -> DataFrame:
+    """(key, step_ns, backward), written out: time since the sample before, and whether time fell since the sample that arrived before.
+
+    Both orders share one exchange; only if a recording has to be cut, rows are laid out once for each order, and a row holds one of the two.
+    """
+    narrow = motion.select(*key, "t_ns", "seq")
+    timed = along(ordered(narrow, key, split=split), _prev=previous(F.col("t_ns")))
+    step, back = (F.col("t_ns") - F.col("_prev")).alias("step_ns"), (F.col("t_ns") < F.col("_came")).alias("backward")
+    if not timed.split:
+        return durable(along(timed.having(timed.rows, ("seq",)), _came=previous(F.col("t_ns"))).frame.select(*key, step, back))
+    arrived = along(ordered(narrow, key, ("seq",)), _came=previous(F.col("t_ns"))).frame
+    return durable(timed.frame.select(*key, step, F.lit(None).cast("boolean").alias("backward")).unionByName(
+        arrived.select(*key, F.lit(None).cast("bigint").alias("step_ns"), back)))
+
+
 def median_rate_hz(motion: DataFrame, name: str = "rate_hz", key: tuple[str, ...] = KEY,
-                   split: bool | None = None) -> DataFrame:
-    """1e9 over the median positive time step; recordings without one are left out."""
-    layout = along(ordered(motion.select(*key, "t_ns", "seq"), key, split=split), _prev=previous(F.col("t_ns")))
-    steps = layout.frame.select(*key, (F.col("t_ns") - F.col("_prev")).alias("step_ns")).where("step_ns > 0")
+                   split: bool | None = None, steps: DataFrame | None = None) -> DataFrame:
+    """1e9 over the median positive time step; recordings without one are left out.
+
+    ``steps`` are those of :func:`time_steps` where they are there already.
+    """
+    if steps is None:
+        layout = along(ordered(motion.select(*key, "t_ns", "seq"), key, split=split), _prev=previous(F.col("t_ns")))
+        steps = durable(layout.frame.select(*key, (F.col("t_ns") - F.col("_prev")).alias("step_ns")))
+    steps = steps.where("step_ns > 0")
     return quantiles(steps, list(key), "step_ns", median=0.5).select(
         *key, (F.lit(1e9) / F.col("median")).alias(name))
 
@@ -43,7 +63,7 @@ def table_span(table: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
 
 def norms(table: DataFrame, quantities: list[str], key: tuple[str, ...] = KEY) -> DataFrame:
     """Long table (key, quantity, norm) of the vectors named, from one scan."""
-    entries = [F.struct(F.lit(q).alias("quantity"), norm(columns_of(q)).alias("norm"))
+    entries = [F.struct(F.lit(q).alias("quantity"), norm_of(q).alias("norm"))
                for q in quantities]
     return table.select(*key, F.inline(F.array(*entries)))
 
@@ -81,7 +101,7 @@ def still(motion: DataFrame, rate: DataFrame | float, *, window_s: float = STILL
                         .cast("bigint"), F.lit(1))
     back = F.floor(window / 2)
     ahead = F.floor((window - 1) / 2)
-    speed = norm(columns_of("gyro"))
+    speed = norm_of("gyro")
     layout = numbered(ordered(rows, key, split=split), "_row")
     layout = layout.having(layout.rows.withColumn("_speed", speed))
     known = F.when(F.col("_speed").isNotNull(), F.col("_row"))

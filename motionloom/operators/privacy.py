@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import in_any, rebased_ms
+from ..functions.clock import in_any_sql, rebased_ms
 from ..functions.payload import (holds_coordinates, payload_holds_unix_time, rebase_payload,
                                  strip_coordinates)
 from ..functions.text import present
@@ -148,14 +148,19 @@ def rebase(tables: dict[str, DataFrame], origin: str) -> dict[str, DataFrame]:
     return {name: rebase_table(table, origins) for name, table in tables.items()}
 
 
-def _leak(column: str, kind: str) -> Column | None:
-    if column in ("recording_id", "seq"):
-        return None
+def leak_sql(column: str, kind: str) -> str | None:
+    """SQL that tells whether a number of a column of this name and type reads as a Unix time; None where it never can."""
+    if column not in ("recording_id", "seq") and (kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")):
+        return in_any_sql(f"`{column}`", UNIX_NS_RANGE if column in NS_COLUMNS else UNIX_RANGES)
+    return None
+
+
+def leak_test(column: str, kind: str) -> Column | None:
+    """Does a value of a column of this name and type, payloads included, read as a Unix time?  None where it never can."""
     if column == PAYLOAD_COLUMN:
         return payload_holds_unix_time(F.col(column))
-    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal"):
-        return in_any(F.col(column), UNIX_NS_RANGE if column in NS_COLUMNS else UNIX_RANGES)
-    return None
+    sql = leak_sql(column, kind)
+    return None if sql is None else F.coalesce(F.expr(sql), F.lit(False))
 
 
 def epoch_columns(table: DataFrame) -> DataFrame:
@@ -164,7 +169,7 @@ def epoch_columns(table: DataFrame) -> DataFrame:
     Nanosecond columns are only tested against nanosecond dates: 17 minutes after the recording
     start they pass through values that would read as a date in milliseconds.
     """
-    tests = {c: test for c, kind in table.dtypes if (test := _leak(c, kind)) is not None}
+    tests = {c: test for c, kind in table.dtypes if (test := leak_test(c, kind)) is not None}
     flagged = table.select("recording_id", *[test.alias(c) for c, test in tests.items()])
     held = flagged.groupBy("recording_id").agg(*[F.bool_or(c).alias(c) for c in tests])
     hits = F.array(*[F.when(F.col(c), F.lit(c)) for c in tests])

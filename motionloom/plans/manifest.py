@@ -18,6 +18,7 @@ from ..functions.text import lookup
 from ..operators.layout import durable, rows_per_task, union_all
 from ..operators.motion import column_presence, median_rate_hz, partial_vectors, table_span
 from ..operators.pen import dot_rate
+from .census import census
 from ..vocabulary import (CAPABILITY_FLAGS, CHANNEL_COLUMNS, COLUMN_DESCRIPTIONS,
                           DERIVED_MANIFEST_COLUMNS, DEVICE_MODELS, DROPOUT_COVERAGE_MIN,
                           INTERNAL_META, MANIFEST_COLUMNS, MANIFEST_DEFAULTS, MANIFEST_SCHEMA,
@@ -63,20 +64,12 @@ def task_counts(markers: DataFrame) -> DataFrame:
                                                starts("idle").alias("n_idle_tasks"))
 
 
-def capability_flags(tables: dict[str, DataFrame]) -> DataFrame:
-    """Which complete vectors the watch and head tables of each recording carry."""
-    per_table = []
-    for modality in ("watch", "headimu"):
-        if modality not in tables:
-            continue
-        presence = column_presence(tables[modality])
-        held = {flag: reduce(and_, [F.array_contains("columns", c) for c in VECTORS[vector]])
-                for flag, (owner, vector, _) in CAPABILITY_FLAGS.items() if owner == modality}
-        per_table.append(presence.select("recording_id", *[v.alias(k) for k, v in held.items()]))
-    merged = union_all(per_table)
-    flags = [f for f in CAPABILITY_FLAGS if f in merged.columns]
-    return merged.groupBy("recording_id").agg(
-        *[F.coalesce(F.bool_or(f), F.lit(False)).alias(f) for f in flags])
+def capability_flags(facts: DataFrame) -> DataFrame:
+    """Which complete vectors the watch and head tables of each recording carry, from the facts of a census."""
+    def held(modality, vector):
+        return (F.col("modality") == modality) & reduce(and_, [F.array_contains("columns", c) for c in VECTORS[vector]])
+    return facts.where(F.col("modality").isin("watch", "headimu")).groupBy("recording_id").agg(
+        *[F.bool_or(held(modality, vector)).alias(flag) for flag, (modality, vector, _) in CAPABILITY_FLAGS.items()])
 
 
 def _shortest_decimal(ratio: Column) -> Column:
@@ -138,7 +131,8 @@ def rounded_rates(rates: DataFrame) -> DataFrame:
 def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = None,
                    rates: DataFrame | None = None) -> DataFrame:
     """Every manifest value the tables alone determine, one row per recording."""
-    span = durable(spans(tables))
+    found = census(tables)
+    span = found.spans()
     split = oversized(span)
 
     def of(modality, column):
@@ -150,7 +144,7 @@ def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = N
           (("watch", "n_samples_watch"), ("pen", "n_samples_pen"), ("headimu", "n_samples_head"))],
     ).withColumn("duration_s", F.bround((F.col("t_end_ns") - F.col("t_start_ns")) / F.lit(1e9), 3))
 
-    motion_tables = {m: t for m, t in tables.items() if m in MOTION_MODALITIES}
+    motion_tables = {m: t for m, t in tables.items() if m in ("watch", "headimu")}
     measured = rates if rates is not None else (table_rates(motion_tables, split) if motion_tables else None)
     parts = []
     if measured is not None:
@@ -162,7 +156,7 @@ def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = N
     if "markers" in tables:
         parts.append(task_counts(tables["markers"]))
     if "watch" in tables or "headimu" in tables:
-        parts.append(capability_flags(tables))
+        parts.append(capability_flags(found.facts))
     parts.append(issue_codes(dropouts(span), withdrawn))
     for part in parts:
         base = base.join(part, "recording_id", "left")

@@ -6,15 +6,15 @@ passed.  A finding on a whole archive carries ``-`` where a recording would stan
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.vectors import (all_finite, angle_deg, columns_of, gravity_from_quaternion, norm)
+from ..functions.vectors import all_finite, angle_to_down, columns_of, norm_of, with_attitude_gravity
 from ..operators.layout import attach, durable, union_all
-from ..operators.motion import backward_steps, median_rate_hz, still, with_presence_columns
+from ..operators.motion import backward_steps, median_rate_hz, still, time_steps, with_presence_columns
 from ..operators.privacy import (epoch_columns, redaction_policy_problems, redaction_violations,
                                  time_origin_problems)
-from ..operators.quantile import quantiles
+from ..operators.quantile import cell_counts, quantiles
 from ..vocabulary import (ACCEL_BANDS, ACCEL_MIX_BAND, ACCEL_SEMANTICS, ACCEL_SI_BAND,
                           ATTENTION_LABELS, CAPABILITY_FLAGS, CHANNEL_COLUMNS,
                           DERIVED_MANIFEST_COLUMNS, DOT_TYPES, GRAVITY_NORM_BAND,
@@ -22,6 +22,7 @@ from ..vocabulary import (ACCEL_BANDS, ACCEL_MIX_BAND, ACCEL_SEMANTICS, ACCEL_SI
                           MIN_PHYSICS_ROWS, MODALITY_FLAGS, MOTION_MODALITIES,
                           QUAT_GRAVITY_ANGLE_MAX_DEG, QUAT_NORM_BAND, QUAT_STILL_ANGLE_MAX_DEG,
                           RATE_TOLERANCE, SCHEMA_VERSION, SPILL_GUARD_S, TIME_ALIGNMENTS, VECTORS)
+from .census import census
 from .manifest import (channel_rows, derived_values, dropouts, oversized, refuse, rounded_rates, spans,
                        stored_columns, table_rates)
 
@@ -64,10 +65,12 @@ def all_motion(tables: dict[str, DataFrame]) -> DataFrame:
 
 # --- motion streams -------------------------------------------------------------------------------
 
-def time_monotonic(motion: DataFrame, split: bool | None = None) -> DataFrame:
-    steps = F.col("backward_steps")
-    return finding(backward_steps(motion, tuple(STREAM), split), "time_monotonic", column="t_ns", observed=steps,
-                   number=steps, expected="no backward steps", passed=steps == 0)
+def time_monotonic(motion: DataFrame, split: bool | None = None, steps: DataFrame | None = None) -> DataFrame:
+    """``steps``: those of :func:`motionloom.operators.motion.time_steps` where they are there already."""
+    counted = (backward_steps(motion, tuple(STREAM), split) if steps is None
+               else steps.groupBy(*STREAM).agg(F.count_if("backward").alias("backward_steps")))
+    n = F.col("backward_steps")
+    return finding(counted, "time_monotonic", column="t_ns", observed=n, number=n, expected="no backward steps", passed=n == 0)
 
 
 def sample_rate(motion: DataFrame, nominal: DataFrame, rates: DataFrame | None = None,
@@ -90,52 +93,55 @@ def sample_rate(motion: DataFrame, nominal: DataFrame, rates: DataFrame | None =
                     passed=F.when(declared.isNull(), True).otherwise(off < RATE_TOLERANCE))
 
 
-def _presence(motion: DataFrame) -> DataFrame:
-    """Per stream: number of rows with a complete vector of each kind."""
-    return motion.groupBy(*STREAM).agg(*[
-        F.count_if(all_finite(columns_of(q))).alias(f"n_{q}") for q in VECTORS])
+PHYSICAL_MEASURES = tuple(f"norm_{q}" for q in VECTORS) + ("flat_gz", "quat_gravity_angle")
 
 
-def physics(motion: DataFrame, split: bool | None = None) -> DataFrame:
+def with_physical_measures(motion: DataFrame) -> DataFrame:
+    """A column for each of PHYSICAL_MEASURES: the vector norms, the vertical gravity component lying flat, and the angle between
+    stored and reconstructed gravity."""
+    x, y, z = VECTORS["gravity"]
+    rows = motion.withColumns({f"norm_{q}": norm_of(q) for q in VECTORS} | {"flat_gz": F.expr(f"CASE WHEN greatest(abs({x}), abs({y})) < 0.1D THEN {z} END")})
+    angle = F.when(F.expr("norm_gravity IS NOT NULL AND norm_quat IS NOT NULL"), angle_to_down("gravity"))
+    return with_attitude_gravity(rows).withColumn("quat_gravity_angle", angle)
+
+
+def _long(motion: DataFrame) -> DataFrame:
+    entries = ", ".join(f"named_struct('measure', '{m}', 'value', {m})" for m in PHYSICAL_MEASURES)
+    return with_physical_measures(motion).selectExpr(*STREAM, f"inline(array({entries}))").where("value IS NOT NULL")
+
+
+def physics(motion: DataFrame, split: bool | None = None, cells: DataFrame | None = None) -> DataFrame:
     """Quantiles of every measure the physical checks need: (stream, measure, n, median, ...).
 
-    Measures: the five vector norms, the vertical gravity component lying flat, the angle between
-    stored and reconstructed gravity, and the angle between acceleration and reconstructed gravity
-    while still (only for streams without a gravity vector).
+    Besides PHYSICAL_MEASURES: the angle between acceleration and reconstructed gravity while still, for streams without a
+    gravity vector.  Measures of the attitude need enough quaternions in a stream.  How many vectors a stream has of each kind
+    follows from the ``cells`` that quantiles start from (counted here unless given), so no pass looks for that alone.
     """
-    presence = durable(_presence(motion))
-    held = attach(motion, presence.select(*STREAM, (F.col("n_gravity") > 0).alias("_has_gravity"),
-                                          "n_quat", (F.col("n_accel_total") > 0).alias("_has_total"),
-                                          (F.col("n_gyro") > 0).alias("_has_gyro")), STREAM)
-    gravity, quat = columns_of("gravity"), columns_of("quat")
-    rebuilt = gravity_from_quaternion(quat)
-    enough = F.col("n_quat") >= MIN_PHYSICS_ROWS
-    measures = {q: norm(columns_of(q)) for q in VECTORS}
-    measures["quat"] = F.when(enough, measures["quat"])
-    flat = F.greatest(F.abs(gravity[0]), F.abs(gravity[1])) < 0.1
-    measures["flat_gz"] = F.when(flat, gravity[2])
-    joint = enough & all_finite([*gravity, *quat])
-    measures["quat_gravity_angle"] = F.when(joint, angle_deg(rebuilt, gravity))
-    entries = F.array(*[F.struct(F.lit(m).alias("measure"), v.alias("value")) for m, v in measures.items()])
-    long = held.select(*STREAM, F.inline(entries)).where("value IS NOT NULL")
-
-    fallback = held.where(enough & ~F.col("_has_gravity") & F.col("_has_total") & F.col("_has_gyro")
-                          & all_finite(quat)).select(*motion.columns)
-    stats = [_measure_stats(long)]
-    if not fallback.isEmpty():
+    by = [*STREAM, "measure"]
+    cells = durable(cell_counts(_long(motion), by, "value")) if cells is None else cells
+
+    def rows_of(measure):
+        return F.sum(F.when(F.col("measure") == measure, F.col("_n")).otherwise(0))
+    quats = rows_of("norm_quat").over(Window.partitionBy(*STREAM))
+    judged = cells.withColumn("_quats", quats).where(~F.col("measure").isin("norm_quat", "quat_gravity_angle") | (F.col("_quats") >= MIN_PHYSICS_ROWS)).drop("_quats")
+    stats = [_measure_stats(_long(motion), judged)]
+
+    without = durable(cells.groupBy(*STREAM).agg(*[rows_of(f"norm_{q}").alias(f"_{q}") for q in ("quat", "gravity", "accel_total", "gyro")]).where(
+        (F.col("_quat") >= MIN_PHYSICS_ROWS) & (F.col("_gravity") == 0) & (F.col("_accel_total") > 0) & (F.col("_gyro") > 0)).select(*STREAM))
+    if not without.isEmpty():
+        fallback = attach(motion, without, STREAM, "inner").where(all_finite(columns_of("quat"))).select(*motion.columns)
         rate = median_rate_hz(fallback, "rate_hz", tuple(STREAM), split)
-        calm = still(fallback, rate, key=tuple(STREAM), split=split).where("still").select(
-            *STREAM, F.lit("still_angle").alias("measure"),
-            angle_deg(columns_of("accel_total"), rebuilt).alias("value"))
-        counted = fallback.select(*STREAM).distinct().select(*STREAM, F.lit("still_angle").alias("measure"))
-        stats.append(counted.join(_measure_stats(calm), [*STREAM, "measure"], "left")
-                     .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
+        calm = durable(still(fallback, rate, key=tuple(STREAM), split=split).where("still").select(
+            *motion.columns))
+        calm = with_attitude_gravity(calm).select(*STREAM, F.lit("still_angle").alias("measure"), angle_to_down("accel_total").alias("value"))
+        counted = without.select(*STREAM, F.lit("still_angle").alias("measure"))
+        stats.append(counted.join(_measure_stats(calm), by, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
     return union_all(stats)
 
 
-def _measure_stats(long: DataFrame) -> DataFrame:
+def _measure_stats(long: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     by = [*STREAM, "measure"]
-    return (quantiles(long, by, "value", median=0.5, p95=0.95, q25=0.25, q75=0.75)
+    return (quantiles(long, by, "value", counts=cells, median=0.5, p95=0.95, q25=0.25, q75=0.75)
             .select(*by, "n", "median", "p95", (F.col("q75") - F.col("q25")).alias("iqr")))
 
 
@@ -148,16 +154,16 @@ def physics_findings(stats: DataFrame) -> DataFrame:
     enough = n >= MIN_PHYSICS_ROWS
     hint = (F.when(median.between(*ACCEL_MIX_BAND), "; observed value suggests a user/total mix")
             .when(median.between(*ACCEL_SI_BAND), "; observed value suggests m/s2 instead of g").otherwise(""))
-    rules = [(q, F.lit(True), "accel_semantic_band", q, 5, F.concat(F.lit(f"median in {band}"), hint),
+    rules = [(f"norm_{q}", F.lit(True), "accel_semantic_band", q, 5, F.concat(F.lit(f"median in {band}"), hint),
               median.between(*band)) for q, band in ACCEL_BANDS.items()]
     rules += [
-        ("gravity", F.lit(True), "gravity_norm", "gravity", 5,
+        ("norm_gravity", F.lit(True), "gravity_norm", "gravity", 5,
          F.lit(f"median in {GRAVITY_NORM_BAND}, IQR < {GRAVITY_NORM_MAX_IQR}"),
          median.between(*GRAVITY_NORM_BAND) & (iqr < GRAVITY_NORM_MAX_IQR)),
         ("flat_gz", n > 10, "gravity_sign", "gravity", 4, F.lit("gz near -1 when the device lies flat"), median < 0),
-        ("gyro", F.lit(True), "gyro_range", "gyro", 5, F.lit(f"median in {GYRO_MEDIAN_BAND}, p95 < {GYRO_P95_MAX}"),
+        ("norm_gyro", F.lit(True), "gyro_range", "gyro", 5, F.lit(f"median in {GYRO_MEDIAN_BAND}, p95 < {GYRO_P95_MAX}"),
          median.between(*GYRO_MEDIAN_BAND) & (p95 < GYRO_P95_MAX)),
-        ("quat", F.lit(True), "quat_norm", "quat", 6, F.lit(f"median in {QUAT_NORM_BAND}"),
+        ("norm_quat", F.lit(True), "quat_norm", "quat", 6, F.lit(f"median in {QUAT_NORM_BAND}"),
          median.between(*QUAT_NORM_BAND)),
         ("quat_gravity_angle", enough, "quat_gravity_agreement", "quat", 4,
          F.lit(f"median angle < {QUAT_GRAVITY_ANGLE_MAX_DEG} deg"), median < QUAT_GRAVITY_ANGLE_MAX_DEG),
@@ -225,11 +231,14 @@ def time_magnitude(span: DataFrame, meta: DataFrame) -> DataFrame:
                        start.between(*EPOCH_NS)))
 
 
-def no_unix_timestamps(tables: dict[str, DataFrame], span: DataFrame, meta: DataFrame) -> DataFrame:
-    """For recordings rebased to their start: no stored column may still hold a date."""
+def no_unix_timestamps(tables: dict[str, DataFrame], span: DataFrame, meta: DataFrame, leaks: DataFrame | None = None) -> DataFrame:
+    """For recordings rebased to their start: no stored column may still hold a date.
+
+    ``leaks``: recording_id, modality, column, where known already.
+    """
     rebased = meta.where(_declared(meta, "time_origin") == "recording_start").select("recording_id")
-    leaks = union_all([epoch_columns(t.drop("modality")).withColumn("modality", F.lit(m))
-                       for m, t in tables.items()])
+    if leaks is None:
+        leaks = union_all([epoch_columns(t.drop("modality")).withColumn("modality", F.lit(m)) for m, t in tables.items()])
     # At most one entry per stored column.
     listed = leaks.groupBy(*STREAM).agg(F.array_join(F.array_sort(F.collect_set("column")), ", ").alias("left"))
     rows = span.join(rebased, "recording_id", "left_semi").join(listed, STREAM, "left")
@@ -325,8 +334,13 @@ def time_alignment_vocabulary(meta: DataFrame, span: DataFrame) -> DataFrame:
 
 
 def check_tables(tables: dict[str, DataFrame], meta: DataFrame, rates: DataFrame | None = None) -> DataFrame:
-    """Findings of every check that applies to the tables and declared facts."""
-    span = durable(spans(tables))
+    """Findings of every check that applies to the tables and declared facts.
+
+    Motion is read three times: by the census, which every check of presence, time and dates shares and which counts the cells of the
+    physical measures; along the order of its samples; and for the values of the cells that hold wanted ranks.
+    """
+    known = census(tables, with_physical_measures, PHYSICAL_MEASURES)
+    span = known.spans()
     dropped = dropouts(span)
     split = oversized(span)
     found = []
@@ -334,18 +348,20 @@ def check_tables(tables: dict[str, DataFrame], meta: DataFrame, rates: DataFrame
         motion = all_motion(tables)
         nominal = meta.select("recording_id", _declared(meta, "watch_hz_nominal").cast("double").alias("watch_hz_nominal"),
                               _declared(meta, "head_hz_nominal").cast("double").alias("head_hz_nominal"))
-        found += [time_monotonic(motion, split), sample_rate(motion, nominal, rates, span, split),
-                  physics_findings(physics(motion, split))]
+        steps = time_steps(motion, tuple(STREAM), None if split else False)
+        if rates is None:
+            rates = median_rate_hz(motion, "sample_rate_hz", tuple(STREAM), steps=steps)
+        found += [time_monotonic(motion, steps=steps), sample_rate(motion, nominal, rates, span),
+                  physics_findings(physics(motion, None if split else False, known.cells))]
     if "pen" in tables:
         found.append(dot_type_vocabulary(tables["pen"]))
     if "attention" in tables:
         found.append(attention_label_vocabulary(tables["attention"]))
     if "headimu" in tables and "attention" in tables:
         found.append(attention_within_headimu_range(span))
-    found += [time_magnitude(span, meta), no_unix_timestamps(tables, span, meta), streams_overlap(span, dropped),
+    found += [time_magnitude(span, meta), no_unix_timestamps(tables, span, meta, known.dated_columns()), streams_overlap(span, dropped),
               modality_dropout(dropped), spill_guard(span, meta),
-              accel_semantics_matches_columns(span, meta, stored_columns(
-                  {m: t for m, t in tables.items() if m in ("watch", "headimu")})),
+              accel_semantics_matches_columns(span, meta, known.columns("watch", "headimu")),
               time_alignment_vocabulary(meta, span)]
     found.append(reported(meta, "payload_keys_redacted", "src_payload_dropped_key_count", "markers", 0,
                           "payload keys outside the allow-list are dropped before publication"))
