@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.labels import attention_labels, writing_labels
-from ..operators.layout import attach
 from ..operators.resample import decimation_factors, downsample, require_factors
+from ..sources.zones import StoredTable, rows_of
 from .manifest import refuse
 from .select import (TASKS, LabelConfig, mixed_semantics, requested_ids, unknown_ids, with_eligibility)
 
@@ -23,7 +23,7 @@ def label_guards(selected: DataFrame, config: LabelConfig) -> None:
                                            "pass allow_mixed_accel=True")
 
 
-def label_recordings(tables: dict[str, DataFrame], manifest: DataFrame, ids: list[str] | DataFrame,
+def label_recordings(tables: dict[str, DataFrame | StoredTable], manifest: DataFrame, ids: list[str] | DataFrame,
                      config: LabelConfig) -> DataFrame:
     """Motion samples of the recordings with the task's label column."""
     motion_name, truth_name, _ = TASKS[config.task]
@@ -31,8 +31,7 @@ def label_recordings(tables: dict[str, DataFrame], manifest: DataFrame, ids: lis
     refuse(unknown_ids(chosen, manifest), "recording id(s) not found in the manifest", KeyError)
     selected = manifest.join(chosen, "recording_id", "left_semi")
     label_guards(selected, config)
-    motion = attach(tables[motion_name], chosen, ["recording_id"], "inner")
-    truth = attach(tables[truth_name], chosen, ["recording_id"], "inner")
+    motion, truth = rows_of(tables[motion_name], chosen), rows_of(tables[truth_name], chosen)
     if config.target_hz is not None:
         rate = "watch_hz_measured" if motion_name == "watch" else "head_hz_measured"
         factors = decimation_factors(selected.select("recording_id", F.col(rate).alias("rate_hz")),

@@ -13,12 +13,7 @@ from pyspark.sql.utils import AnalysisException
 from ..plans.validate import contract_problems
 from ..vocabulary import CHANNEL_COLUMNS, MANIFEST_COLUMNS, MODALITIES
 from .files import path_part
-
-
-def without_nan(df: DataFrame) -> DataFrame:
-    """NaN and NULL are one missing value in the data model; keep only NULL."""
-    return df.withColumns({name: F.when(~F.isnan(name), F.col(name))
-                           for name, kind in df.dtypes if kind in ("double", "float")})
+from .zones import StoredTable, without_nan
 
 
 def scan_manifest(spark: SparkSession, root: str, *, strict: bool = False) -> DataFrame:
@@ -41,9 +36,14 @@ def _known(modality: str) -> None:
 
 
 def scan_modality(spark: SparkSession, root: str, modality: str) -> DataFrame:
-    """All recordings of one of this library's tables; filter on ``recording_id`` to prune files."""
+    """All recordings of one of this library's tables; see :func:`stored_modality` for some of them."""
+    return stored_modality(spark, root, modality).frame()
+
+
+def stored_modality(spark: SparkSession, root: str, modality: str) -> StoredTable:
+    """One of this library's tables, to load recordings from without opening the files of others."""
     _known(modality)
-    return without_nan(spark.read.parquet(f"{root}/{modality}"))
+    return StoredTable(spark, f"{root}/{modality}")
 
 
 def scan_bundle_modality(spark: SparkSession, root: str, modality: str,

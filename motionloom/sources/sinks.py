@@ -19,6 +19,7 @@ from ..plans.select import (LabelConfig, declared_rates, filter_manifest, missin
 from ..vocabulary import MODALITIES, SCHEMA_VERSION
 from .bundle import bundle_session, scan_bundle_modality, scan_channels, scan_manifest, stored_modalities
 from .files import path_part
+from .zones import StoredTable, recordings_of, rows_of, write_zones
 
 READ_BYTES = 8 << 20
 
@@ -27,7 +28,7 @@ def write_table(table: DataFrame, path: str) -> None:
     """Write one modality, stamped with id and schema version.
 
     Files hold neighbouring recordings, sorted by recording and time, so that their statistics prune; an oversized
-    recording is cut into several.  The id is a stored text column, whatever it looks like, and the layout is the same for
+    recording is cut into several.  A zone map beside them names the recordings of each file.  The id is a stored text column, whatever it looks like, and the layout is the same for
     any number of recordings.  The number of range partitions follows the number of rows.
     """
     order = [c for c in ("recording_id", "t_ns", "t_start_ns", "seq") if c in table.columns]
@@ -37,6 +38,7 @@ def write_table(table: DataFrame, path: str) -> None:
     parts = max(1, math.ceil(table.count() / per_file))
     (stamped.repartitionByRange(parts, *order).sortWithinPartitions(*order).write.mode("errorifexists")
      .option("compression", "zstd").option("maxRecordsPerFile", per_file).parquet(path))
+    write_zones(table.sparkSession, path)
 
 
 def write_collection(tables: dict[str, DataFrame], manifest: DataFrame, channels: DataFrame, root: str) -> None:
@@ -111,9 +113,9 @@ def recording_files(spark: SparkSession, root: str, modalities: list[str]) -> Da
 
 
 def table_files(spark: SparkSession, root: str, modalities: list[str]) -> DataFrame:
-    """(recording_id, modality, path, length): the files of this library's tables in which each recording has rows."""
-    return union_all([spark.read.parquet(f"{root}/{m}").select("recording_id", F.lit(m).alias("modality"), F.col("_metadata.file_path").alias("path"),
-                                                              F.col("_metadata.file_size").alias("length")).distinct() for m in modalities])
+    """(recording_id, modality, path, length): the files of this library's tables in which each recording has rows, from their zone maps."""
+    return union_all([StoredTable(spark, f"{root}/{m}").zones().select(
+        "recording_id", F.lit(m).alias("modality"), F.concat(F.lit(f"{root}/{m}/"), "file").alias("path"), F.col("bytes").alias("length")) for m in modalities])
 
 
 def export_preview(files: DataFrame, selected: DataFrame) -> DataFrame:
@@ -122,7 +124,7 @@ def export_preview(files: DataFrame, selected: DataFrame) -> DataFrame:
     return taken.groupBy("modality").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
-def selection_tables(tables: dict[str, DataFrame], manifest: DataFrame, channels: DataFrame, facets: set[str], *,
+def selection_tables(tables: dict[str, DataFrame | StoredTable], manifest: DataFrame, channels: DataFrame, facets: set[str], *,
                      extra: dict | None = None, watch_target_hz: float | None = None,
                      ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
     """Tables, manifest and channels of the recordings a facet selection matches.
@@ -140,10 +142,9 @@ def selection_tables(tables: dict[str, DataFrame], manifest: DataFrame, channels
         if modality not in tables:
             refuse(flagged, f"declared {modality} table is missing", FileNotFoundError)
             continue
-        stored = tables[modality].select("recording_id").distinct()
-        refuse(missing_tables(flagged, stored, manifest, modality),
+        refuse(missing_tables(flagged, recordings_of(tables[modality]), manifest, modality),
                f"declared {modality} table is missing", FileNotFoundError)
-        chosen[modality] = attach(tables[modality], flagged, ["recording_id"], "inner")
+        chosen[modality] = rows_of(tables[modality], flagged)
     subset = subset_manifest(selected, modalities)
     kept = channels.join(selected.select("recording_id"), "recording_id", "left_semi").where(
         F.col("modality").isin(*modalities))
@@ -162,7 +163,7 @@ def selection_tables(tables: dict[str, DataFrame], manifest: DataFrame, channels
     return chosen, subset, kept
 
 
-def export_selection(tables: dict[str, DataFrame], manifest: DataFrame, channels: DataFrame, facets: set[str],
+def export_selection(tables: dict[str, DataFrame | StoredTable], manifest: DataFrame, channels: DataFrame, facets: set[str],
                      target: str, **options) -> None:
     """Write a selection as a collection of its own, with a checksum list."""
     chosen, subset, kept = selection_tables(tables, manifest, channels, facets, **options)

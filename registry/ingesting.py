@@ -12,11 +12,13 @@ from motionloom.functions import text as T
 from motionloom.operators import motion as M
 from motionloom.sources import exports as X
 from motionloom.sources import sinks
-from motionloom.sources.bundle import scan_modality
+from motionloom.plans.select import load_recordings
+from motionloom.sources.bundle import scan_modality, stored_modality
 from motionloom.sources.files import path_part
+from motionloom.sources.zones import recordings_of
 from motionloom.vocabulary import ACTIVITY_NAMES, NOTEBOOK_DRAW_TYPES, PEN_EVENTS_FLAT, TASK_NAMES
 
-from .projections import VIEWS, imu, motion, pen, query, read
+from .projections import VIEWS, imu, motion, nested, pen, query, read
 
 _ID = "CAST(event_id AS VARCHAR)"
 
@@ -380,6 +382,29 @@ def written_table(spark, sf):
         "recording_id", "t_ns", "seq", "dot_type", "x", "src_timestamp", "stamped_id", "schema_version")
 
 
+@query("""SELECT recording_id, seq, t_ns, dot_type, (t_ns >= (SELECT min(t_ns) + (max(t_ns) - min(t_ns)) // 2 FROM pen))::INT AS late
+    FROM pen WHERE substr(recording_id, 2)::INT % 5 = 2""", "pen")
+def loaded_from_files(spark, sf):
+    """Every fifth recording loaded from a written table through its zone map."""
+    folder, dots = _scratch(spark), pen(spark, sf)
+    sinks.write_table(dots, f"{folder}/pen")
+    stored = stored_modality(spark, folder, "pen")
+    listed = recordings_of(stored).withColumns({"has_pen": F.lit(True)})
+    rows = load_recordings(stored, listed, listed.where("substring(recording_id, 2) % 5 = 2").select("recording_id"), "pen")
+    middle = stored.zones().agg(F.expr("min(t_first_ns) + (max(t_last_ns) - min(t_first_ns)) div 2")).first()[0]
+    return rows.select("recording_id", "seq", "t_ns", "dot_type", (F.col("t_ns") >= middle).cast("int").alias("late"))
+
+
+@query("""SELECT recording_id, count(*) AS rows, min(t_start_ns) AS t_first_ns, max(t_end_ns) AS t_last_ns FROM nested
+    GROUP BY recording_id""", "nested")
+def zones_of_tables(spark, sf):
+    """Rows and times of every recording as the zone map of a written table has them."""
+    folder = _scratch(spark)
+    sinks.write_table(nested(spark, sf), f"{folder}/attention")
+    held = stored_modality(spark, folder, "attention").zones().groupBy("recording_id")
+    return held.agg(F.sum("rows").alias("rows"), F.min("t_first_ns").alias("t_first_ns"), F.max("t_last_ns").alias("t_last_ns"))
+
+
 @query()
 def checksum_inventory(spark, sf):
     """Digests of the files of a written table."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import pathlib
+import shutil
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -14,7 +15,7 @@ from motionloom.plans import select as Q
 from motionloom.plans import validate as V
 from motionloom.plans.label import label_recordings
 from motionloom.plans.manifest import build_channels, build_manifest
-from motionloom.sources import bundle, sinks
+from motionloom.sources import bundle, sinks, zones
 from motionloom.sources.files import lines
 from motionloom.vocabulary import MODALITIES
 
@@ -193,3 +194,29 @@ def test_ids_are_stored_as_they_are(spark, tmp_path, ids):
     assert sorted((r.recording_id, r.seq) for r in again.collect()) == sorted((i, k) for k, i in enumerate(ids))
     listed = sinks.table_files(spark, str(tmp_path), ["pen"]).collect()
     assert {r.recording_id for r in listed} == set(ids) and all(r.length > 0 for r in listed)
+
+
+def test_only_the_files_of_asked_recordings_are_opened(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("concat('R', lpad(id div 100, 3, '0')) AS recording_id", "id AS t_ns", "id AS seq", "'PEN_MOVE' AS dot_type", "double('nan') AS x")
+    spark.conf.set("spark.motionloom.rowsPerTask", "250")
+    try:
+        sinks.write_table(rows, str(tmp_path / "pen"))
+    finally:
+        spark.conf.unset("spark.motionloom.rowsPerTask")
+    stored = bundle.stored_modality(spark, str(tmp_path), "pen")
+    names = {p.name for p in (tmp_path / "pen").glob("*.parquet")}
+    assert len(names) >= 12 and "file" not in bundle.scan_modality(spark, str(tmp_path), "pen").columns
+    asked = spark.createDataFrame([("R007",), ("R021",), ("nobody",)], "recording_id string")
+    opened_files = {pathlib.Path(f).name for f in stored.near(asked).inputFiles()}
+    holding = {pathlib.Path(r.f).name for r in stored.frame().where("recording_id IN ('R007', 'R021')").select(F.input_file_name().alias("f")).distinct().collect()}
+    assert opened_files == holding and 0 < len(opened_files) <= 6
+    listed = zones.recordings_of(stored).withColumns({"has_pen": F.lit(True)})
+    assert listed.count() == 40
+    loaded = Q.load_recordings(stored, listed, ["R021", "R007", "R021"], "pen")
+    assert {pathlib.Path(f).name for f in loaded.inputFiles()} >= holding and loaded.count() == 300 and loaded.where("x IS NOT NULL").isEmpty()
+    with pytest.raises(KeyError):
+        Q.load_recordings(stored, listed, ["nobody"], "pen")
+    assert stored.near(asked.where("recording_id = 'nobody'")).isEmpty()
+    assert len(stored.files_of(asked, t_from_ns=2000)) < len(stored.files_of(asked)) and stored.files_of(asked, t_to_ns=600) == []
+    shutil.rmtree(tmp_path / "pen" / "_zones")
+    assert sorted(stored.files_of(asked)) == sorted(str(tmp_path / "pen" / n) for n in holding)
