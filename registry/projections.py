@@ -31,8 +31,9 @@ def with_views(body: str, *views: str) -> str:
     named = [f"{v} AS ({VIEWS[v]})" for v in views]
     # A body may bring further common table expressions, after the word WITH.
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        return f"WITH {', '.join([*named, body[5:]])}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(opening):
+            return f"{opening}{', '.join([*named, body[len(opening):]])}"
     return f"WITH {', '.join(named)} {body}" if named else body
 
 

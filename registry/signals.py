@@ -246,8 +246,57 @@ def downsampled_rows(spark, sf):
     return rounded(R.downsample(rows, _factors(rows)).select("recording_id", "seq", "quat_x"), "quat_x")
 
 
-@query()
+def _filter_sql() -> str:
+    """The filter sample by sample: sections of second order one after another, over mirrored ends, forwards and then backwards."""
+    kinds = ("accel_total_x", "gyro_x", "gravity_x")
+    coefficients = []
+    for recording, factor in (("L1", 2), ("L2", 3)):
+        poles, gain = R.poles_and_gain(factor)
+        pairs = [(2 * p.real, abs(p) ** 2) for p in poles[poles.imag > 0]]
+        coefficients.append(f"('{recording}', {factor}, {float(gain)!r}::DOUBLE, {', '.join(f'{float(b)!r}::DOUBLE, {float(c)!r}::DOUBLE' for b, c in pairs)})")
+    n = R.ORDER // 2
+
+    def step(x: str, state: list[tuple[str, str]]) -> str:
+        """Output and new states; the zeros at -1 make a section's output its input plus its first state."""
+        inputs = ["(" + " + ".join([f"gain * {x}", *(z for z, _ in state[:k])]) + ")" for k in range(n + 1)]
+        moved = [f"2 * {inputs[k]} + b{k} * {inputs[k + 1]} + {state[k][1]} AS u{k}, {inputs[k]} - c{k} * {inputs[k + 1]} AS w{k}" for k in range(n)]
+        return f"{inputs[n]} AS y, " + ", ".join(moved)
+
+    def settled(x: str) -> list[tuple[str, str]]:
+        """The states after a constant, section by section."""
+        out, level = [], f"(gain * {x})"
+        for k in range(n):
+            next_level = f"({level} * 4 / (1 - b{k} + c{k}))"
+            out.append((f"({next_level} - {level})", f"({level} - c{k} * {next_level})"))
+            level = next_level
+        return out
+
+    def passed(name: str, source: str, at: str) -> str:
+        known = [(f"u{k}", f"w{k}") for k in range(n)]
+        return f"""{name} AS (SELECT s.recording_id, s.kind, 0::BIGINT AS p, {step('s.v', settled('s.v'))} FROM {source} s JOIN filters USING (recording_id) WHERE {at} = 0
+            UNION ALL SELECT s.recording_id, s.kind, {at}, {step('s.v', known)} FROM {name} f JOIN {source} s ON s.recording_id = f.recording_id AND s.kind = f.kind
+            AND {at} = f.p + 1 JOIN filters ON filters.recording_id = s.recording_id)"""
+    edge = R.EDGE
+    values = " UNION ALL ".join(f"SELECT recording_id, '{k}' AS kind, seq, i, total, {k} AS v FROM placed WHERE {k} IS NOT NULL" for k in kinds)
+    return f"""WITH RECURSIVE filters(recording_id, factor, gain, {', '.join(f'b{k}, c{k}' for k in range(n))}) AS (VALUES {', '.join(coefficients)}),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY recording_id ORDER BY t_ns, seq) - 1 AS i, count(*) OVER (PARTITION BY recording_id) AS total FROM imu),
+    long AS (SELECT * FROM ({values}) JOIN (SELECT recording_id FROM filters) USING (recording_id)),
+    ends AS (SELECT recording_id, kind, max(v) FILTER (i = 0) AS first, max(v) FILTER (i = total - 1) AS last FROM long GROUP BY ALL),
+    wide AS (SELECT recording_id, kind, i + {edge} AS p, total + {2 * edge} AS n, v FROM long
+        UNION ALL SELECT recording_id, kind, {edge} - i, total + {2 * edge}, 2 * first - v FROM long JOIN ends USING (recording_id, kind) WHERE i BETWEEN 1 AND {edge}
+        UNION ALL SELECT recording_id, kind, {edge} + 2 * total - 2 - i, total + {2 * edge}, 2 * last - v FROM long JOIN ends USING (recording_id, kind)
+            WHERE i BETWEEN total - 1 - {edge} AND total - 2),
+    {passed('ahead', 'wide', 's.p')},
+    turned AS (SELECT recording_id, kind, n - 1 - a.p AS p, y AS v FROM ahead a JOIN (SELECT DISTINCT recording_id, kind, n FROM wide) USING (recording_id, kind)),
+    {passed('back', 'turned', 's.p')},
+    done AS (SELECT l.recording_id, l.seq, l.kind, y FROM long l JOIN filters f USING (recording_id) JOIN back b ON b.recording_id = l.recording_id AND b.kind = l.kind
+        AND b.p = l.total + {edge} - 1 - l.i WHERE l.i % f.factor = 0)
+    SELECT recording_id, seq, {', '.join(f"round(max(y) FILTER (kind = '{k}'), 6) AS {k}" for k in kinds)} FROM done GROUP BY recording_id, seq
+    UNION ALL SELECT recording_id, seq, {', '.join(f'round({k}, 6)' for k in kinds)} FROM imu WHERE recording_id NOT IN (SELECT recording_id FROM filters)"""
+
+
+@query(_filter_sql(), "imu")
 def downsampled_channels(spark, sf):
-    """Filtered values themselves; checked against a sample-by-sample recursion in the tests."""
-    rows = imu(spark, sf)
-    return R.downsample(rows, _factors(rows)).select("recording_id", "seq", "accel_total_x", "gyro_x", "gravity_x")
+    """Filtered values themselves, against the recursion sample by sample."""
+    rows, kinds = imu(spark, sf), ("accel_total_x", "gyro_x", "gravity_x")
+    return rounded(R.downsample(rows, _factors(rows)).select("recording_id", "seq", *kinds), *kinds)

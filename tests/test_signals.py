@@ -177,6 +177,21 @@ def test_blocks_with_halo_equal_filtering_the_whole_recording(tiny_tasks):
     assert [r.gyro_x for r in out if r.recording_id == "same"] == [float(v) for v in x[:50]]
 
 
+@pytest.mark.parametrize("rows, block_rows, scanned", [(1000, 28, 3), (83, 40, 1024), (56, 28, 2), (28, 50, 2)])
+def test_border_states_are_scanned_in_levels(spark, monkeypatch, rows, block_rows, scanned):
+    """Blocks as short as the mirrored end, scans over several levels, a recording of one block, and one with a column it lacks."""
+    monkeypatch.setattr(R, "SCANNED", scanned)
+    x = np.random.default_rng(6).normal(size=rows).cumsum()
+    held = [("a", i, i, float(v), float(v) ** 2, None) for i, v in enumerate(x)] + [("b", i, i, -float(v), 1.0, 2.0) for i, v in enumerate(x[:40])]
+    df = spark.createDataFrame(held, "recording_id string, t_ns bigint, seq bigint, gyro_x double, gyro_y float, gyro_z double")
+    factors = spark.createDataFrame([("a", 3), ("b", 2)], "recording_id string, factor int")
+    out = R.downsample(df, factors, block_rows=block_rows).orderBy("recording_id", "t_ns").collect()
+    for name, values, factor in (("a", x, 3), ("b", -x[:40], 2)):
+        mine = [r for r in out if r.recording_id == name]
+        assert np.allclose([r.gyro_x for r in mine], R.zero_phase(values, factor, True, True)[::factor], atol=1e-9)
+    assert {r.gyro_z for r in out if r.recording_id == "a"} == {None}
+
+
 def test_downsampling_refuses_gaps_and_short_recordings(spark):
     schema = "recording_id string, t_ns bigint, seq bigint, gyro_x double, gyro_y double, gyro_z double"
     factors = spark.createDataFrame([("r", 2)], "recording_id string, factor int")
