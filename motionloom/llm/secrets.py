@@ -5,8 +5,8 @@ candidate.  Its encoding is inferred (decimal, hexadecimal, base 32, 36, 64), an
 text of the same length: chi-squared uniformity over the encoding's alphabet, runs of character classes, and lag-one
 serial correlation of the codes.  Their z values are combined, the p value is divided by the candidate's length relative to the
 mean (long spans are tested with more weight), and the Benjamini-Hochberg rule over all candidates of the table sets the
-threshold.  A candidate that meets it and is not itself rejected as uniform is a span of kind ``random``, unless
-it overlaps a base span.
+threshold.  A candidate that meets it and whose uniformity is not itself rejected is a span of kind ``random``, beside the base
+spans that it overlaps; only a candidate that lies in one base span adds nothing and is left out.
 
 Positions count code points.  They follow from the lengths of the pieces between matches, summed by a window along the
 document, so a document with any number of matches costs no more than sorting them.
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 import string
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,12 +23,13 @@ from pyspark.sql import functions as F
 from .rewriting import matches, rebuilt
 from .tables import stored
 
+RUN, SHORTEST_RANDOM = "A-Za-z0-9+/_=-", 20
 # The base patterns and the shortest match that counts.
 PATTERNS = {
     "assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     "access": r"AKIA[A-Z0-9]{14,}",  # the whole run, so the same as filtering runs of any length for 18 characters
     "hex": r"(?<![0-9a-f])[0-9a-f]{16,}",
-    "random": r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}",
+    "random": rf"(?<![{RUN}])[{RUN}]{{{SHORTEST_RANDOM},}}",
 }
 ASSIGNED_AT_LEAST = 12
 KINDS = tuple(PATTERNS)
@@ -104,7 +104,7 @@ def spans(docs: DataFrame) -> DataFrame:
     """All base spans and candidates of ``docs`` (doc_id, text), written to the shared folder.
 
     Rows: row (unique for each row of ``docs``), doc_id, kind (index into KINDS), start, end, length, evidence; kind is NULL for
-    failing base matches, for candidates that overlap a base span, and in the one row of a document without any.
+    failing base matches, for candidates that lie in one base span, and in the one row of a document without any.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("row", F.monotonically_increasing_id())
@@ -124,12 +124,11 @@ def spans(docs: DataFrame) -> DataFrame:
     end = F.sum(F.col("gap") + F.col("length")).over(along)
     placed = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("length")).withColumn("kind", F.expr("if(passes, kind, NULL)"))
     base = F.col("kind") < KINDS.index("random")
+    # A base span that starts where a candidate starts sorts before it.
     forward = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    backward = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = (placed.withColumn("base_end", F.max(F.when(base, F.col("end"))).over(forward))
-              .withColumn("base_start", F.min(F.when(base, F.col("start"))).over(backward)))
-    overlaps = ~base & ((F.coalesce("base_end", F.lit(0)) > F.col("start")) | (F.coalesce("base_start", F.col("end")) < F.col("end")))
-    return stored(placed.select("row", "doc_id", F.when(~overlaps, F.col("kind")).alias("kind"), "start", "end", "length", "evidence"), "spans")
+    placed = placed.withColumn("base_end", F.max(F.when(base, F.col("end"))).over(forward))
+    inside = ~base & (F.coalesce("base_end", F.lit(0)) >= F.col("end"))
+    return stored(placed.select("row", "doc_id", F.when(~inside, F.col("kind")).alias("kind"), "start", "end", "length", "evidence"), "spans")
 
 
 def discoveries(tested: DataFrame, rate: float = FALSE_DISCOVERIES) -> tuple[float, float]:
@@ -167,19 +166,31 @@ def find(docs: DataFrame) -> DataFrame:
     return all_spans.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(span)).alias("found")).drop("row")
 
 
+#: An assignment with what stands before it in the same run of candidate characters.
+LED_ASSIGN = rf"((?<![{RUN}])[{RUN}]*?)??" + PATTERNS["assign"]
+
+
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by a placeholder; all columns stay.
+    """``docs`` with the union of the spans that :func:`find` gives replaced by a placeholder in ``text``; all columns stay.
 
-    The kinds are replaced one after another, each by its pattern and its test, in the text that the one before left.
+    Keys and hexadecimal runs lie in one run of candidate characters each, so three replacements in turn cover the union: assignments,
+    together with the candidate that they start in if it counts as random; random candidates; and what is left of the other kinds.
+    NULL and empty texts stay, repeated rows are treated alike, and an empty table stays empty.
     """
-    candidates = docs.select(F.explode(_matches(F.col("text").cast("string"), "random")).alias("t")).select(F.length("t").alias("length"), evidence(F.col("t")).alias("evidence"))
-    threshold, mean = discoveries(stored(candidates, "candidates"))
-    def replaced(m: Column, kind: str) -> Column:
-        good = counts_as_random(F.length(m), evidence(m), threshold, mean) if kind == "random" else _passes(m, kind)
-        return F.when(good, F.lit(PLACEHOLDER)).otherwise(m)
-
-    for kind in KINDS:
-        found = docs.withColumn("_motionloom_matches", _matches(F.col("text"), kind))
-        text = rebuilt(F.col("text"), PATTERNS[kind], F.col("_motionloom_matches"), partial(replaced, kind=kind))
-        docs = found.withColumn("text", text).drop("_motionloom_matches")
+    known = spans(docs.select(F.lit(None).cast("long").alias("doc_id"), "text"))
+    threshold, mean = discoveries(known.filter(F.col("kind") == KINDS.index("random")))
+
+    def random(m: Column) -> Column:
+        return (F.length(m) >= SHORTEST_RANDOM) & counts_as_random(F.length(m), evidence(m), threshold, mean)
+
+    def without_assignment(m: Column) -> Column:
+        led, found = F.regexp_extract(m, "^" + LED_ASSIGN, 1), F.length(F.regexp_extract(m, "^" + LED_ASSIGN, 3)) >= ASSIGNED_AT_LEAST
+        whole = (F.length(led) == 0) | random(F.regexp_extract(m, f"^[{RUN}]+", 0))
+        return F.when(~found, m).when(whole, F.lit(PLACEHOLDER)).otherwise(F.concat(led, F.lit(PLACEHOLDER)))
+
+    steps = [(LED_ASSIGN, without_assignment), (PATTERNS["random"], lambda m: F.when(random(m), F.lit(PLACEHOLDER)).otherwise(m)),
+             (PATTERNS["access"], lambda m: F.lit(PLACEHOLDER)), (PATTERNS["hex"], lambda m: F.lit(PLACEHOLDER))]
+    for pattern, new in steps:
+        found = docs.withColumn("_motionloom_matches", matches(F.col("text"), pattern))
+        docs = found.withColumn("text", rebuilt(F.col("text"), pattern, F.col("_motionloom_matches"), new)).drop("_motionloom_matches")
     return docs

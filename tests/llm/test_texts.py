@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 import random
 import re
 import string
@@ -207,6 +208,73 @@ def test_redaction(spark):
             assert secrets.PLACEHOLDER in r.text and not base_spans(r.text)
 
 
+def plain_evidence(t: str) -> float:
+    """The battery of tests in plain Python."""
+    n = len(t)
+    alphabets = [(r"[0-9]+", 10), (r"[0-9a-f]+", 16), (r"[0-9A-F]+", 16), (r"[A-Z]+", 26), (r"[a-z]+", 26), (r"[A-Z2-7]+=*", 32), (r"[a-z0-9]+", 36), (r"[A-Z0-9]+", 36),
+                 (r"[A-Za-z0-9]+", 62), (r"[A-Za-z0-9+/=]+", 64), (r"[A-Za-z0-9_=-]+", 64)]
+    size = next((k for pattern, k in alphabets if re.fullmatch(pattern, t)), 65)
+    chi = sum((t.count(c) - n / size) ** 2 / (n / size) for c in set(t)) + (size - len(set(t))) * n / size
+    excess = n * size * secrets.EXCESS
+    uniformity = (size - 1 + excess - chi) / math.sqrt(2 * (size - 1 + 2 * excess))
+    classes = ["l" if c.islower() else "u" if c.isupper() else "d" for c in t if c.isalnum()]
+    changes = sum(x != y for x, y in zip(classes, classes[1:]))
+    share = secrets.CLASS_CHANGES
+    runs = (changes - (n - 1) * share) / math.sqrt((n - 1) * share * (1 - share))
+    codes = [secrets.SYMBOLS.index(c) + 1 for c in t]
+    away = [c - sum(codes) / n for c in codes]
+    variance = sum(x * x for x in away)
+    serial = (secrets.CORRELATION - abs(sum(x * y for x, y in zip(away, away[1:])) / variance if variance else 1.0)) * math.sqrt(n)
+    if chi > size - 1 + 4 * math.sqrt(2 * (size - 1)):
+        return 0.0
+    z = (uniformity + runs + serial) / math.sqrt(3)
+    upper = math.exp(-z * z / 2) / (1.64 * abs(z) + math.sqrt(0.76 * z * z + 4))
+    return -math.log10(max(upper if z > 0 else 1 - upper, 1e-300))
+
+
+def test_evidence_against_plain_python(spark):
+    rng = random.Random(8)
+    alphabets = [string.digits, string.hexdigits.lower(), "0123456789ABCDEF", string.ascii_lowercase, string.ascii_uppercase, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", string.ascii_lowercase + string.digits,
+                 string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "_-", secrets.SYMBOLS, "ab"]
+    texts = ["".join(rng.choice(a) for _ in range(rng.randrange(20, 90))) for a in alphabets for _ in range(6)] + ["=" * 30, "getUserNameFromDatabaseConnectionPool"]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {r.k: r.e for r in rows.select("k", secrets.evidence(F.col("t")).alias("e")).collect()}
+    assert all(math.isclose(got[k], plain_evidence(t), rel_tol=1e-9, abs_tol=1e-9) for k, t in enumerate(texts))
+
+
+def test_discoveries_against_sorting(spark):
+    """The histogram's threshold lets through what the step-up rule over sorted p values, put on its grid, lets through."""
+    rng = random.Random(9)
+    rows = [(rng.randrange(20, 80), rng.choice([0.0, rng.random() * 3, rng.random() * 20])) for _ in range(400)]
+    threshold, mean = secrets.discoveries(spark.createDataFrame(rows, "length int, evidence double"))
+    strength = sorted((math.floor(max(e + math.log10(n / mean), 0) * secrets.BINS_PER_DECADE) / secrets.BINS_PER_DECADE for n, e in rows), reverse=True)
+    assert math.isclose(mean, sum(n for n, _ in rows) / 400)
+    assert math.isclose(threshold, min(s for k, s in enumerate(strength, 1) if 400 * 10**-s <= 0.01 * sum(x >= s for x in strength)))
+
+
+def test_candidates_beyond_base_spans(spark):
+    """A random text around a hexadecimal run, around an access key, before an assignment, and one that an assignment holds."""
+    rng = random.Random(6)
+    def key(n):
+        return "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    around = key(22) + "Z0123456789abcdefZ" + key(14)
+    access = key(20) + "q/AKIA" + "7Q2W9E4R6T1Y8U3I" + "/q" + key(16)
+    led = key(30) + "/token=" + key(24) + ".tail5"
+    rows = [(0, f"see {around} there"), (1, f"😀{access} x"), (2, f"a {led} b"), (3, f"token={key(30)}.{key(30)}"), (4, "plain_words_token=abcdefghijkl next"), (5, f"see {around} there")]
+    docs = cases.frame(spark, rows)
+    got = {r.doc_id: [tuple(s) for s in r.found] for r in secrets.find(docs).collect()}
+    assert (4, 3, 4 + len(around)) in got[0] and any(k == 2 for _, k, _ in got[0]) and got[5] == got[0]
+    assert (1, 3, 1 + len(access)) in got[1] and any(k == 1 for _, k, _ in got[1])
+    assert [s for s in got[2] if s[1] == 0] and (2, 3, 2 + led.index(".")) in got[2]
+    assert [s[1] for s in got[3]] == [0]
+    text = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    mark = secrets.PLACEHOLDER
+    assert text[0] == text[5] == f"see {mark} there" and text[1] == f"😀{mark} x" and text[2] == f"a {mark} b" and text[3] == mark and text[4] == f"plain_words_{mark} next"
+    for k, before in rows:  # the union of the spans and nothing else
+        covered = {i for start, _, end in got[k] for i in range(start, end)}
+        assert text[k].replace(mark, "") == "".join(c for i, c in enumerate(before) if i not in covered)
+
+
 # --- pseudonyms ---------------------------------------------------------------------------------
 
 def swap(spark, texts, key="k"):
