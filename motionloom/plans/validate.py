@@ -456,13 +456,13 @@ def contract_problems(columns: list[str], expected: list[str] | tuple[str, ...],
 
 
 def differing_values(stored: DataFrame, computed: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
-    """(keys, column, stored, computed) wherever two tables disagree; NULL equals NULL."""
+    """(keys, field, stored, computed) wherever two tables disagree; NULL equals NULL, and a row that one of them lacks is NULL there."""
     left = stored.select(*on, F.struct(*columns).alias("_s"))
     right = computed.select(*on, F.struct(*columns).alias("_c"))
     entries = F.array(*[F.when(~F.col(f"_s.{c}").eqNullSafe(F.col(f"_c.{c}")), F.struct(
         F.lit(c).alias("field"), F.col(f"_s.{c}").cast("string").alias("stored"),
         F.col(f"_c.{c}").cast("string").alias("computed"))) for c in columns])
-    return left.join(right, on).select(*on, F.inline(F.array_compact(entries)))
+    return left.join(right, on, "full_outer").select(*on, F.inline(F.array_compact(entries)))
 
 
 def manifest_drift(manifest: DataFrame, tables: dict[str, DataFrame],
@@ -484,7 +484,8 @@ def descriptor_problems(channels: DataFrame, tables: dict[str, DataFrame], manif
     # Clocks are declared facts, so the stored ones stand in for them here.
     clocks = channels.select(*by, "time_domain")
     expected = channel_rows(columns, rounded_rates(rates if rates is not None else table_rates(tables)), clocks)
-    wrong = differing_values(channels, expected, by, ["quantity", "unit", "semantics", "frame", "sample_rate_hz"])
+    both = channels.join(expected, by, "left_semi")  # rows that one side lacks are problems of their own, above
+    wrong = differing_values(both, expected.join(channels, by, "left_semi"), by, ["quantity", "unit", "semantics", "frame", "sample_rate_hz"])
     wrong = wrong.select(*by, F.concat(F.lit("wrong "), "field").alias("problem"))
     factor = F.col("unit_conversion_factor")
     invalid = channels.where(factor.isNull() | F.isnan(factor) | (F.abs(factor) == float("inf"))).select(

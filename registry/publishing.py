@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
 from motionloom.operators import privacy
@@ -9,6 +12,9 @@ from motionloom.operators.layout import union_all
 from motionloom.operators.motion import column_presence, partial_vectors
 from motionloom.plans import manifest as M
 from motionloom.plans import validate as V
+from motionloom.sources import sinks
+from motionloom.sources.bundle import scan_channels, scan_manifest, scan_modality
+from motionloom.sources.publish import audit, latest_report, publish, published
 from motionloom.vocabulary import (CAPABILITY_FLAGS, MODALITY_FLAGS,
                                    TIME_ORIGINS, VECTORS)
 
@@ -590,15 +596,16 @@ def duplicate_ids(spark, sf):
 
 @query("""SELECT recording_id, field FROM (SELECT recording_id, 'n_samples_watch' AS field FROM spans
     WHERE modality = 'watch' AND n_samples % 3 = 0 UNION ALL SELECT recording_id, 'has_pen' FROM (SELECT DISTINCT recording_id
-    FROM spans) WHERE substr(recording_id, 2)::INT % 5 = 0)""", *ALL_TABLES)
+    FROM spans) WHERE substr(recording_id, 2)::INT % 5 = 0 UNION ALL SELECT 'gone' || c_custkey, 'has_watch' FROM customer WHERE c_custkey % 7 = 0)""", *ALL_TABLES)
 def manifest_drift(spark, sf):
-    """A stored manifest with two kinds of tampering against the tables."""
+    """A stored manifest with two kinds of tampering and with recordings that have no table."""
     held = tables(spark, sf)
     stored = M.derived_values(held).withColumns({
         "n_samples_watch": F.when((F.col("n_samples_watch") % 3 == 0) & (F.col("n_samples_watch") > 0),
                                   F.col("n_samples_watch") + 1).otherwise(F.col("n_samples_watch")),
         "has_pen": F.when(F.expr("substring(recording_id, 2) % 5 = 0"), ~F.col("has_pen")).otherwise(F.col("has_pen"))})
-    return V.manifest_drift(stored, held).select("recording_id", "field")
+    gone = read(spark, sf, "customer").where("c_custkey % 7 = 0").select(F.concat(F.lit("gone"), F.col("c_custkey").cast("string")).alias("recording_id"), F.lit(True).alias("has_watch"))
+    return V.manifest_drift(stored.unionByName(gone, allowMissingColumns=True), held).select("recording_id", "field")
 
 
 @query("""SELECT recording_id, modality, "column", problem FROM (
@@ -672,3 +679,59 @@ def report_summary(spark, sf):
     return V.summary(found)
 
 
+# --- publishing -----------------------------------------------------------------------------------------
+
+def _pen_collection(spark, sf, dots):
+    """The pen recordings as a collection that can be published: tables, manifest and channels."""
+    held = {"pen": dots}
+    ids = dots.select("recording_id").distinct()
+    declared = ids.withColumns({"participant_id": F.concat(F.lit("P"), "recording_id"), "cohort": F.lit("X"), "pipeline": F.lit("p"), "time_alignment": F.lit("shared_clock"),
+                                "pen_model": F.lit("unknown"), "session_start_ns": F.lit(None).cast("bigint")})
+    domains = ids.select("recording_id", F.lit("pen").alias("modality"), F.lit(None).cast("string").alias("column"), F.lit("wall").alias("time_domain"))
+    return held, M.build_manifest(held, declared, domains), M.build_channels(held, domains)
+
+
+def _dots(spark, sf):
+    return pen(spark, sf).select("recording_id", "seq", *_PEN_COLUMNS)
+
+
+def _root(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-")
+    return f"{shared}/{uuid.uuid4().hex}"
+
+
+@query("""SELECT p.recording_id, p.seq, p.t_ns, p.dot_type, n.n AS n_samples_pen, 6 AS described FROM pen p
+    JOIN (SELECT recording_id, count(*) AS n FROM pen GROUP BY recording_id) n USING (recording_id)""", "pen")
+def published_collection(spark, sf):
+    """Staged, checked, published and read again through the manifest and channels of the release."""
+    root = _root(spark)
+    publish(*_pen_collection(spark, sf, _dots(spark, sf)), root)
+    release = published(spark, root)
+    listed, described = scan_manifest(spark, release, strict=True), scan_channels(spark, release, strict=True)
+    counted = described.groupBy("recording_id").agg(F.count("*").cast("int").alias("described"))
+    return scan_modality(spark, release, "pen").join(listed.select("recording_id", "n_samples_pen"), "recording_id").join(counted, "recording_id").select(
+        "recording_id", "seq", "t_ns", "dot_type", "n_samples_pen", "described")
+
+
+@query("""SELECT 'dot_type_vocabulary' AS "check", recording_id, 'PEN_ODD' AS observed, 0 AS published FROM (SELECT DISTINCT recording_id FROM pen WHERE seq % 50 = 0)""", "pen")
+def refused_collection(spark, sf):
+    """A collection with strange dot types: the failed findings of its report, and whether anything was published."""
+    root = _root(spark)
+    odd = _dots(spark, sf).withColumn("dot_type", F.when(F.col("seq") % 50 == 0, "PEN_ODD").otherwise(F.col("dot_type")))
+    try:
+        publish(*_pen_collection(spark, sf, odd), root)
+    except ValueError:
+        pass
+    return V.failed(latest_report(spark, root)).select("check", "recording_id", "observed", F.lit(int(published(spark, root) is not None)).alias("published"))
+
+
+@query("""WITH held AS (SELECT DISTINCT recording_id, recording_id IN (SELECT recording_id FROM pen WHERE seq % 50 = 0) AS odd FROM pen)
+    SELECT "check", count(*) AS findings, count(*) FILTER (bad) AS failed FROM (SELECT 'dot_type_vocabulary' AS "check", odd AS bad FROM held
+    UNION ALL SELECT 'time_magnitude', FALSE FROM held UNION ALL SELECT 'time_alignment_vocabulary', FALSE FROM held) GROUP BY "check" """, "pen")
+def archive_summary(spark, sf):
+    """Findings and failures by check of an audit over the files of a staged collection."""
+    folder = _root(spark)
+    odd = _dots(spark, sf).withColumn("dot_type", F.when(F.col("seq") % 50 == 0, "PEN_ODD").otherwise(F.col("dot_type")))
+    sinks.write_collection(*_pen_collection(spark, sf, odd), folder)
+    sinks.checksum_inventory(spark, folder).select(F.concat("sha256", F.lit("  "), "path").alias("value")).write.text(f"{folder}_sha256")
+    return V.summary(audit(spark, folder))

@@ -16,6 +16,7 @@ from motionloom.plans import validate as V
 from motionloom.plans.label import label_recordings
 from motionloom.plans.manifest import build_channels, build_manifest
 from motionloom.sources import bundle, sinks, zones
+from motionloom.sources import publish as P
 from motionloom.sources.files import lines
 from motionloom.vocabulary import MODALITIES
 
@@ -220,3 +221,31 @@ def test_only_the_files_of_asked_recordings_are_opened(spark, tmp_path):
     assert len(stored.files_of(asked, t_from_ns=2000)) < len(stored.files_of(asked)) and stored.files_of(asked, t_to_ns=600) == []
     shutil.rmtree(tmp_path / "pen" / "_zones")
     assert sorted(stored.files_of(asked)) == sorted(str(tmp_path / "pen" / n) for n in holding)
+
+
+def test_a_refused_release_leaves_its_report_alone(spark, tmp_path):
+    root, (tables, manifest, channels) = str(tmp_path / "home"), collection(spark)
+    assert P.published(spark, root) is None
+    first = P.publish(tables, manifest, channels, root)
+    assert P.published(spark, root) == first and V.failed(P.latest_report(spark, root)).isEmpty()
+    odd = tables | {"pen": tables["pen"].withColumn("dot_type", F.when(F.col("seq") == 3, "PEN_ODD").otherwise(F.col("dot_type")))}
+    with pytest.raises(ValueError, match="nothing was published.*PEN_ODD"):
+        P.publish(odd, manifest, channels, root)
+    assert P.published(spark, root) == first and len(list((tmp_path / "home" / "releases").iterdir())) == 2  # the release and its list
+    assert {(r.check, r.recording_id) for r in V.failed(P.latest_report(spark, root)).collect()} == {("dot_type_vocabulary", "A"), ("dot_type_vocabulary", "B")}
+    with pytest.raises(ValueError, match="structure"):
+        P.publish(tables, manifest.withColumn("n_samples_pen", F.lit(1).cast("bigint")), channels, root)
+    second = P.publish(tables, manifest, channels, root)
+    assert P.published(spark, root) == second > first and len(list((tmp_path / "home" / "reports").iterdir())) == 4
+    damaged = next((tmp_path / "home" / "releases" / pathlib.Path(second).name / "pen").glob("*.parquet"))
+    listed = pathlib.Path(f"{second}_sha256")
+    for part in listed.glob("part-*"):
+        part.write_text(part.read_text().replace(damaged.name, "other.parquet"))
+        (listed / f".{part.name}.crc").unlink(missing_ok=True)
+    assert {r.check for r in V.failed(P.audit(spark, second)).collect()} == {"checksum"}
+
+
+def test_rows_without_tables_drift(spark):
+    left = spark.createDataFrame([("a", 1), ("b", None), ("c", 2)], "k string, v int")
+    right = spark.createDataFrame([("a", 1), ("b", 3), ("d", 4)], "k string, v int")
+    assert {(r.k, r.stored, r.computed) for r in V.differing_values(left, right, ["k"], ["v"]).collect()} == {("b", None, "3"), ("c", "2", None), ("d", None, "4")}

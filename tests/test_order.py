@@ -60,6 +60,26 @@ def test_cut_groups_are_of_similar_size_even_with_one_hot_time(spark):
         spark.conf.unset("spark.motionloom.rowsPerTask")
 
 
+def test_only_a_hot_recording_is_cut_and_written(spark):
+    spark.conf.set("spark.motionloom.rowsPerTask", "100")
+    try:
+        df = spark.range(1500).select(F.when(F.col("id") < 900, F.lit("hot")).otherwise(F.concat(F.lit("r"), F.col("id") % 20)).alias("recording_id"),
+                                      (F.col("id") % 13).alias("t_ns"), F.col("id").alias("seq"))
+        layout = L.ordered(df)
+        counted = {(r["recording_id"], r[L.CHUNK] == L.WHOLE): r["count"] for r in layout.rows.groupBy("recording_id", L.CHUNK).count().collect()}
+        assert layout.split and {k for k, whole in counted if not whole} == {"hot"} and ("hot", True) not in counted and len(counted) == 21
+        written = [line for line in layout.rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LogicalRDD" in line]
+        assert layout.rows.where(F.col(L.CHUNK) != L.WHOLE).count() == 900 and written
+        rows = L.numbered(L.along(layout, before=L.previous(F.col("seq")), most=L.running_max(F.col("seq"))), "i").frame.collect()
+        for name in {r.recording_id for r in rows}:
+            mine = sorted((r for r in rows if r.recording_id == name), key=lambda r: (r.t_ns, r.seq))
+            assert [r.i for r in mine] == list(range(len(mine)))
+            assert [r.before for r in mine] == [None, *(r.seq for r in mine[:-1])]
+            assert [r.most for r in mine] == [max(x.seq for x in mine[:k + 1]) for k in range(len(mine))]
+    finally:
+        spark.conf.unset("spark.motionloom.rowsPerTask")
+
+
 @pytest.mark.parametrize("limit", [None, 1, 20])
 def test_quantiles_equal_numpy(spark, limit):
     rng = np.random.default_rng(3)
