@@ -102,22 +102,34 @@ def inside_any(points: DataFrame, spans: DataFrame, name: str,
         *points.columns, F.coalesce(F.col("_reach") >= F.col("t_ns"), F.lit(False)).alias(name))
 
 
-def contained(points: DataFrame, windows: DataFrame, key: list[str], at: str) -> DataFrame:
-    """All (point, window) pairs with ``lo <= point <= hi``; windows may overlap and repeat.
+def swept(points: DataFrame, windows: DataFrame, key: list[str], at: str) -> tuple[DataFrame, DataFrame]:
+    """``points`` and ``windows`` with a common column ``_segment``: they meet in it exactly if ``lo <= point <= hi``.
 
-    Windows are grouped by length, rounded up to a power of two, and a bucket of that length is
-    part of the join key: a window meets at most three buckets and a point one per length in use,
-    so candidates stay within a small factor of true matches.
+    Points and window ends are sorted on one axis.  Points with no end between them share a segment, and segments without points do
+    not exist, so a window covers the segments from the one after its first end to the one before its last, all of which
+    hold points.  Windows are repeated for each of these, which are never more than its pairs; points are not repeated.
     """
-    length = F.greatest(F.col("hi") - F.col("lo"), F.lit(1))
-    sized = (windows.where(F.col("lo") <= F.col("hi"))
-             .withColumn("_size", F.ceil(F.log2(length.cast("double"))).cast("int")))
-    sizes = [r[0] for r in sized.select("_size").distinct().collect()]  # at most 64 numbers
-    if not sizes:
-        return points.join(windows, key, "inner").limit(0)
-    shift = lambda v: F.call_function("shiftright", F.col(v), F.col("_size"))
-    left = sized.withColumn("_bucket", F.explode(F.sequence(shift("lo"), shift("hi"))))
-    right = (points.withColumn("_size", F.explode(F.array(*[F.lit(s) for s in sizes])))
-             .withColumn("_bucket", shift(at)))
-    pairs = attach(right, left, [*key, "_size", "_bucket"], "inner")
-    return pairs.where(F.col(at).between(F.col("lo"), F.col("hi"))).drop("_size", "_bucket")
+    numbered_windows = durable(windows.where(F.col("lo") <= F.col("hi")).withColumn("_window", F.monotonically_increasing_id()))
+    ends = F.inline(F.array(F.struct(F.col("lo").cast("bigint").alias("_t"), F.lit(0).alias("_kind")), F.struct(F.col("hi").cast("bigint").alias("_t"), F.lit(2).alias("_kind"))))
+    bounds = numbered_windows.select(*key, ends, F.col("_window"))
+    dots = points.select(*key, F.col(at).cast("bigint").alias("_t"), F.lit(1).alias("_kind"), F.struct(*points.columns).alias("_point")).where("_t IS NOT NULL")
+    axis = union_all([dots, bounds])
+    order = ("_t", "_kind")  # ties of one kind are all alike
+    layout = along(ordered(axis.withColumn("_tie", F.monotonically_increasing_id()), tuple(key), (*order, "_tie")), _before=previous(F.col("_kind")))
+    starts = ((F.col("_kind") == 1) & ~F.coalesce(F.col("_before") == 1, F.lit(False))).cast("bigint")
+    placed = along(layout, _segment=running_sum(starts)).frame
+    reach = (placed.where("_kind <> 1").groupBy("_window").agg(F.max(F.when(F.col("_kind") == 0, F.col("_segment") + 1)).alias("_from"), F.max(F.when(F.col("_kind") == 2, F.col("_segment"))).alias("_to"))
+             .where("_from <= _to").select("_window", F.explode(F.sequence("_from", "_to")).alias("_segment")))
+    return placed.where("_kind = 1").select("_point.*", "_segment"), numbered_windows.join(reach, "_window").drop("_window")
+
+
+def contained(points: DataFrame, windows: DataFrame, key: list[str], at: str) -> DataFrame:
+    """All (point, window) pairs with ``lo <= point <= hi`` in whole numbers; windows may overlap and repeat."""
+    dots, spread = swept(points, windows, key, at)
+    return attach(dots, durable(spread), [*key, "_segment"], "inner").drop("_segment")
+
+
+def contained_values(points: DataFrame, windows: DataFrame, key: list[str], at: str, values: list[str]) -> DataFrame:
+    """The distinct ``values`` of the points inside each window, with the window's columns, before any pair is built."""
+    dots, spread = swept(points, windows, key, at)
+    return dots.select(*key, "_segment", *values).distinct().join(spread, [*key, "_segment"]).drop("_segment").distinct()

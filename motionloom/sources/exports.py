@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import ceil_div, floor_div, iso_to_unix_ns, to_unix_ns
 from ..functions.payload import allowed_payload
 from ..functions.text import listed_rate_hz, lookup, present, session_key
-from ..operators.containment import contained
+from ..operators.containment import contained, contained_values
 from ..operators.labels import (anchored_intervals, block_disagreements, expansion_agreement,
                                 inverted_intervals, protocol_tail)
 from ..operators.layout import attach, durable, union_all
@@ -525,22 +525,32 @@ def head_study_export(spark: SparkSession, root: str, cohort: str, *, pipeline:
 
 # --- wrist log paired with a notebook backup ----------------------------------------------------------
 
+def _paged(points: DataFrame, strokes: DataFrame, key: list[str]) -> DataFrame:
+    return attach(points, strokes, [*key, "stroke_id"], "inner")
+
+
+def _bounds_ms(windows: DataFrame, key: list[str]) -> DataFrame:
+    return windows.select(*key, "recording_id", ceil_div(F.col("t_start_ns"), 1_000_000).alias("lo"), floor_div(F.col("t_end_ns"), 1_000_000).alias("hi"))
+
+
 def points_in_windows(points: DataFrame, strokes: DataFrame, windows: DataFrame, key: list[str]) -> DataFrame:
     """Points of strokes inside each recording's window; bounds in ns are rounded inward to ms.
 
     ``points``: key, stroke_id, date_ms, ...; ``strokes``: key, stroke_id, page_id; ``windows``: key,
     recording_id, t_start_ns, t_end_ns.
     """
-    paged = attach(points, strokes, [*key, "stroke_id"], "inner")
-    bounds = windows.select(*key, "recording_id", ceil_div(F.col("t_start_ns"), 1_000_000).alias("lo"),
-                            floor_div(F.col("t_end_ns"), 1_000_000).alias("hi"))
-    return contained(paged, bounds, key, "date_ms").drop("lo", "hi")
+    return contained(_paged(points, strokes, key), _bounds_ms(windows, key), key, "date_ms").drop("lo", "hi")
+
+
+def pages_in_windows(points: DataFrame, strokes: DataFrame, windows: DataFrame, key: list[str]) -> DataFrame:
+    """(recording_id, page_id) of the pages with points in a recording's window, without pairing points and windows."""
+    return contained_values(_paged(points, strokes, key), _bounds_ms(windows, key), key, "date_ms", ["page_id"]).select("recording_id", "page_id").distinct()
 
 
-def page_problems(inside: DataFrame, windows: DataFrame) -> DataFrame:
-    """Violations: recordings whose window holds points of no page or of several."""
-    pages = inside.groupBy("recording_id").agg(F.count_distinct("page_id").alias("pages"))
-    return windows.select("recording_id").join(pages, "recording_id", "left").select(
+def page_problems(pages: DataFrame, windows: DataFrame) -> DataFrame:
+    """Violations: recordings whose window holds points of no page or of several, from (recording_id, page_id)."""
+    counted = pages.groupBy("recording_id").agg(F.count_distinct("page_id").alias("pages"))
+    return windows.select("recording_id").join(counted, "recording_id", "left").select(
         "recording_id", F.coalesce("pages", F.lit(0)).alias("pages")).where("pages <> 1")
 
 
@@ -569,9 +579,9 @@ def notebook_export(spark: SparkSession, root: str, strokes: DataFrame, points:
     watch = mapped(rows, F.col("t_ns"), vectors, {
         "accelerometer_timestamp_s": number(uptime.replace("(", "_").replace(")", ""))})
     windows = durable(table_span(watch).withColumn("source", F.lit(root)))
-    inside = durable(points_in_windows(points.withColumn("source", F.lit(root)),
-                                       strokes.withColumn("source", F.lit(root)), windows, ["source"]))
-    refuse(page_problems(inside, windows), "watch range must overlap exactly one notebook page")
+    notebook = (points.withColumn("source", F.lit(root)), strokes.withColumn("source", F.lit(root)), windows, ["source"])
+    refuse(page_problems(pages_in_windows(*notebook), windows), "watch range must overlap exactly one notebook page")
+    inside = durable(points_in_windows(*notebook))
     named = inside.withColumns({"dot_type": lookup(F.col("draw_type").cast("int"), NOTEBOOK_DRAW_TYPES),
                                 "seq": F.col("point_id").cast("bigint")})
     refuse(named.where("dot_type IS NULL").select("draw_type").distinct(), "unknown draw type")

@@ -229,7 +229,7 @@ def points_in_windows(spark, sf):
     WHERE coalesce(pages, 0) <> 1""", "points", "windows")
 def ambiguous_pages(spark, sf):
     points, strokes, windows = _notebook(spark, sf)
-    return X.page_problems(X.points_in_windows(points, strokes, windows, ["source"]), windows)
+    return X.page_problems(X.pages_in_windows(points, strokes, windows, ["source"]), windows)
 
 
 # --- discovery and lookups ----------------------------------------------------------------------------
