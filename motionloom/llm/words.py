@@ -87,6 +87,14 @@ def sequence_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mixed((running[n:] - running[:count]) * down[:count] + np.uint64(n))
 
 
+def span_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the words from each start to each end; a span has the same value as ``sequence_hashes`` gives it."""
+    up, down = powers(_WORD_BASE, len(hashes) + 1)
+    running = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * up[:len(hashes)], out=running[1:])
+    return mixed((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def range_hash(hashes: np.ndarray) -> int:
     """Hash of one whole sequence; the same value as ``sequence_hashes`` gives it."""
     return int(sequence_hashes(hashes, len(hashes))[0]) if len(hashes) else 0
