@@ -37,6 +37,20 @@ def to_unix_ns(value: Column, unit: str, *, whole: bool) -> Column:
         (value - units) * F.lit(float(factor))).cast("bigint")
 
 
+def text_to_unix_ns(text: Column, unit: str) -> Column:
+    """Clock text to nanoseconds: whole numbers stay integers, readings with a fraction are scaled in two parts.
+
+    Text that is no number fails the job, NULL stays NULL.
+    """
+    return F.coalesce(text.try_cast("bigint") * F.lit(NS_PER_UNIT[unit]).cast("bigint"),
+                      to_unix_ns(text.cast("double"), unit, whole=False))
+
+
+def cut_to_whole(text: Column) -> Column:
+    """Number text as BIGINT; a fraction is cut off toward zero."""
+    return F.coalesce(text.try_cast("bigint"), text.cast("double").cast("bigint"))
+
+
 def iso_to_unix_ns(text: Column) -> Column:
     """ISO-8601 text to nanoseconds, at microsecond resolution.  Needs a UTC session."""
     return F.unix_micros(F.to_timestamp(text)) * F.lit(1000).cast("bigint")

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clock import ceil_div, floor_div, iso_to_unix_ns, to_unix_ns
+from ..functions.clock import ceil_div, cut_to_whole, floor_div, iso_to_unix_ns, text_to_unix_ns, to_unix_ns
 from ..functions.payload import allowed_payload
 from ..functions.text import listed_rate_hz, lookup, present, session_key
 from ..operators.containment import contained, contained_values
@@ -181,17 +181,17 @@ def server_export(spark: SparkSession, root: str, cohort: str, pipeline: str = "
                           "gravity": ("gx", "gy", "gz"), "quat": ("qx", "qy", "qz", "qw")})
     provenance = ("local_ts_ms", "sequence", "server_received_ms", "phone_received_at")
     raw = of("watch", ["ts", *vectors, *provenance])
-    watch = mapped(raw, to_unix_ns(F.col("ts"), "ms", whole=True), vectors,
+    watch = mapped(raw, text_to_unix_ns(F.col("ts"), "ms"), vectors,
                    {c: F.col(c).cast("bigint") for c in provenance})
     raw = of("pen", ["local_ts_ms", "timestamp", "x", "y", "pressure", "dot_type", "tilt_x", "tilt_y"])
-    pen = pen_rows(raw, to_unix_ns(F.col("local_ts_ms"), "ms", whole=True),
+    pen = pen_rows(raw, text_to_unix_ns(F.col("local_ts_ms"), "ms"),
                    {**{c: F.col(c) for c in ("x", "y", "pressure", "tilt_x", "tilt_y")},
                     "src_timestamp": F.col("timestamp")})
     raw = of("markers", ["timestamp_ms", "event", "task_id", "task_name", "task_index", "task_category", "protocol_id"])
     ids, titles = ({k: v[i] for k, v in TASK_NAMES.items()} for i in (0, 1))
     refuse(untranslated(raw, "task_id", ids), "task id without a published name")
     markers = raw.select(
-        "recording_id", "seq", to_unix_ns(F.col("timestamp_ms"), "ms", whole=True).alias("t_ns"), "event",
+        "recording_id", "seq", text_to_unix_ns(F.col("timestamp_ms"), "ms").alias("t_ns"), "event",
         lookup(F.col("task_id"), ids).alias("task_id"),
         F.coalesce(lookup(F.col("task_id"), titles), "task_name").alias("task_name"),
         number("task_index").alias("task_index"), "task_category", "protocol_id", F.lit("").alias("src_payload"),
@@ -244,7 +244,7 @@ def watch_app_export(spark: SparkSession, root: str, cohort: str, codes: DataFra
 
     def motion(name):
         raw = of(name, ["t_ms", "t_session_ms", *vectors])
-        return mapped(raw, to_unix_ns(F.col("t_ms"), "ms", whole=True), vectors,
+        return mapped(raw, text_to_unix_ns(F.col("t_ms"), "ms"), vectors,
                       {"t_session_ms": number("t_session_ms")})
 
     watch, head = motion("imu_samples_rows"), motion("head_motion_samples_rows")
@@ -258,7 +258,7 @@ def watch_app_export(spark: SparkSession, root: str, cohort: str, codes: DataFra
     raw = of("pen_events", ["t_ms", "t_session_ms", "type", "x", "y", "force"])
     strokes, rest = route_events(raw, "type", PEN_EVENTS_FLAT)
     refuse(rest.where(~F.col("type").isin(*PEN_NON_STROKE_EVENTS)).select("type").distinct(), "unmapped pen event types")
-    at = to_unix_ns(F.col("t_ms"), "ms", whole=True)
+    at = text_to_unix_ns(F.col("t_ms"), "ms")
     pen = pen_rows(strokes, at, {"x": F.col("x"), "y": F.col("y"), "pressure": F.col("force"),
                                  "src_t_session_ms": F.col("t_session_ms")})
     events = of("events", ["t_ms", "t_session_ms", "event_type", "payload"]).withColumn(
@@ -271,7 +271,7 @@ def watch_app_export(spark: SparkSession, root: str, cohort: str, codes: DataFra
     facts = session_facts(events.where("event_type = 'session_start' AND trim(payload) <> ''"))
     dropped = events.groupBy("recording_id").agg(F.sum("_p.dropped").alias("src_payload_dropped_key_count"))
     started = of("sensor_session", ["started_at_ms"]).groupBy("recording_id").agg(
-        to_unix_ns(F.min_by("started_at_ms", "seq"), "ms", whole=True).alias("session_start_ns"))
+        text_to_unix_ns(F.min_by("started_at_ms", "seq"), "ms").alias("session_start_ns"))
     bias = still_bias(watch, median_rate_hz(watch))
     meta = sessions.select("recording_id", "participant_id")
     for part in (facts, dropped, started, bias):
@@ -290,7 +290,7 @@ def watch_app_export(spark: SparkSession, root: str, cohort: str, codes: DataFra
 
 # --- phone logger export ------------------------------------------------------------------------------
 
-SESSION_JSON = ("events array<struct<t_ms: bigint, t_session_ms: double, event: string, payload: string>>, "
+SESSION_JSON = ("events array<struct<t_ms: string, t_session_ms: double, event: string, payload: string>>, "
                 "pen_events array<string>")
 
 
@@ -304,19 +304,21 @@ def session_events(files: DataFrame) -> DataFrame:
     """Events of session files in one shape: path, seq, generation, t_ms, t_session_ms, event, payload, flat.
 
     One generation of the export keeps pen events in a flat list of their own, the other among the
-    session events.  A flat entry without time or type is refused.
+    session events.  An entry of either kind without time or type is refused; a fraction of t_ms is cut off.
     """
     generation = F.when(F.col("pen_events").isNotNull(), "flat").otherwise("nested").alias("generation")
     session = files.select("path", generation, F.posexplode("events").alias("seq", "e")).select(
-        "path", F.col("seq").cast("bigint").alias("seq"), "generation", "e.*", F.lit(False).alias("flat"))
+        "path", F.col("seq").cast("bigint").alias("seq"), "generation", cut_to_whole(F.col("e.t_ms")).alias("t_ms"),
+        "e.t_session_ms", "e.event", "e.payload", F.lit(False).alias("flat"))
     flat = files.select("path", generation, F.posexplode("pen_events").alias("seq", "j"))
     flat = flat.select("path", (F.col("seq") + F.lit(1 << 40)).alias("seq"), "generation",
-                       F.get_json_object("j", "$.t_ms").cast("bigint").alias("t_ms"),
+                       cut_to_whole(F.get_json_object("j", "$.t_ms")).alias("t_ms"),
                        F.get_json_object("j", "$.t_session_ms").cast("double").alias("t_session_ms"),
                        F.get_json_object("j", "$.type").alias("event"), F.col("j").alias("payload"),
                        F.lit(True).alias("flat"))
-    refuse(incomplete_events(flat), "pen_events entry without t_ms or type")
-    return session.unionByName(flat)
+    events = session.unionByName(flat)
+    refuse(incomplete_events(events), "session event without t_ms or type")
+    return events
 
 
 def incomplete_events(events: DataFrame) -> DataFrame:
@@ -357,7 +359,7 @@ def phone_logger_export(spark: SparkSession, root: str, cohort: str, codes: Data
 
     def motion(name):
         raw = named(csv_rows(spark, f"{root}/*/{name}.csv", ["time", *vectors]))
-        rows = mapped(raw, to_unix_ns(F.col("time"), "ns", whole=True), vectors)
+        rows = mapped(raw, text_to_unix_ns(F.col("time"), "ns"), vectors)
         return scale_acceleration(harmonise_gravity(rows), flags, "accel_user")
 
     watch, head = motion("WristMotion"), motion("Headphone")
@@ -367,7 +369,7 @@ def phone_logger_export(spark: SparkSession, root: str, cohort: str, codes: Data
     head = attach(head, hidden.select("recording_id", F.lit(True).alias("_hidden")), ["recording_id"]).where(
         "_hidden IS NULL").drop("_hidden")
     raw = named(csv_rows(spark, f"{root}/*/WatchAccelerometerUncalibrated.csv", ["time", "x", "y", "z"]))
-    rawaccel = scale_acceleration(mapped(raw, to_unix_ns(F.col("time"), "ns", whole=True),
+    rawaccel = scale_acceleration(mapped(raw, text_to_unix_ns(F.col("time"), "ns"),
                                          vector_map({"accel_total": ("x", "y", "z")})), flags, "accel_total")
     factors = []
     for modality, table in (("watch", watch), ("headimu", head), ("watch_rawaccel", rawaccel)):
@@ -413,7 +415,7 @@ def phone_logger_export(spark: SparkSession, root: str, cohort: str, codes: Data
         F.when(nested_kind, "sl_webapp_raw").otherwise("webapp_raw").alias("pen_xy_unit"),
         F.when(nested_kind, "sl_webapp_force").otherwise("webapp_force").alias("pen_pressure_scale"),
         (F.lower(F.trim("standardisation")) == "true").alias("src_standardisation"),
-        to_unix_ns(F.col("recording epoch time"), "ms", whole=True).alias("session_start_ns"))
+        text_to_unix_ns(F.col("recording epoch time"), "ms").alias("session_start_ns"))
     meta = _if_table(meta, pen, "pen_model", F.coalesce("pen_model", F.lit(PEN_MODELS[-1])))
     meta = _if_table(meta, head, "head_model", F.lit(HEAD_MODELS[0]))
     clocks = declared_clocks(meta.select("recording_id"), dict.fromkeys(

@@ -37,14 +37,15 @@ def _case(column: str, mapping: dict, default: str = "NULL") -> str:
 @query("""SELECT 'U' || user_id AS recording_id, event_id AS seq, epoch_us(ts) * 1000 AS t_ns, value AS accel_user_x,
     value * 2 AS accel_user_y, value * 3 AS accel_user_z, event_id AS src_sequence FROM events""")
 def mapped_columns(spark, sf):
-    """Text columns of an export cast and renamed, with provenance kept."""
+    """Text columns of an export cast and renamed, with provenance kept; every third clock reading has a fraction."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("string")
     raw = _events(spark, sf).select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("recording_id"), F.col("event_id").alias("seq"),
-        F.unix_micros(F.col("ts").cast("timestamp")).cast("string").alias("ts"), F.col("value").cast("string").alias("ax"),
+        F.when(F.col("event_id") % 3 == 0, F.concat(micros, F.lit(".0"))).otherwise(micros).alias("ts"), F.col("value").cast("string").alias("ax"),
         (F.col("value") * 2).cast("string").alias("ay"), (F.col("value") * 3).cast("string").alias("az"),
         F.col("event_id").cast("string").alias("sequence"))
-    from motionloom.functions.clock import to_unix_ns
-    return X.mapped(raw, to_unix_ns(F.col("ts"), "us", whole=True), X.vector_map({"accel_user": ("ax", "ay", "az")}),
+    from motionloom.functions.clock import text_to_unix_ns
+    return X.mapped(raw, text_to_unix_ns(F.col("ts"), "us"), X.vector_map({"accel_user": ("ax", "ay", "az")}),
                     {"sequence": F.col("sequence").cast("bigint")})
 
 

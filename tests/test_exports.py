@@ -51,6 +51,37 @@ def test_csv_files_are_matched_to_their_own_headers(spark, tmp_path):
     assert csv_rows(spark, f"{tmp_path}/none/*.csv", ["x"]).count() == 0
 
 
+def test_quoted_values_run_over_line_ends(spark, tmp_path):
+    write(tmp_path / "a.csv", 'x,note\r\n1,"one\r\n\r\n""two"", 2"\r\n2,plain\r\n"3","\r\n"\r\n')
+    write(tmp_path / "b.csv", 'note,x\n5 o\\clock,4\n"a, b",5\n\n')
+    rows = collect(csv_rows(spark, f"{tmp_path}/*.csv", ["x", "note"]), "path", "seq")
+    assert [(r.x, r.note) for r in rows] == [("1", 'one\n\n"two", 2'), ("2", "plain"), ("3", "\n"), ("4", "5 o\\clock"), ("5", "a, b")]
+    write(tmp_path / "c.csv", 'x,note\n1,"open\n2,b\n')
+    with pytest.raises(ValueError, match="do not pair"):
+        csv_rows(spark, f"{tmp_path}/*.csv", ["x"])
+
+
+def test_long_files_with_quoted_line_ends_use_many_tasks(spark, tmp_path):
+    write(tmp_path / "long.csv", "x,note\n" + "".join(f'{i},"a\nb {i}"\n' if i % 3 else f"{i},c\n" for i in range(400)))
+    old = spark.conf.get("spark.motionloom.rowsPerTask", None)
+    spark.conf.set("spark.motionloom.rowsPerTask", "50")
+    try:
+        rows = collect(csv_rows(spark, f"{tmp_path}/*.csv", ["x", "note"]), "seq")
+    finally:
+        spark.conf.unset("spark.motionloom.rowsPerTask") if old is None else spark.conf.set("spark.motionloom.rowsPerTask", old)
+    assert [(r.x, r.note) for r in rows] == [(str(i), f"a\nb {i}" if i % 3 else "c") for i in range(400)]
+
+
+def test_session_events_are_complete(spark, tmp_path):
+    write(tmp_path / "ok.json", json.dumps({"events": [{"t_ms": 1700000000000.75, "event": "phase", "payload": {"a": 1}}]}))
+    got = X.session_events(X.session_files(spark, f"{tmp_path}/ok.json")).collect()
+    assert [(r.t_ms, r.event, r.payload) for r in got] == [(1700000000000, "phase", '{"a": 1}')]
+    for name, entry in (("time", {"event": "phase"}), ("type", {"t_ms": 5}), ("null", {"t_ms": None, "event": "phase"})):
+        write(tmp_path / f"{name}.json", json.dumps({"events": [entry]}))
+        with pytest.raises(ValueError, match="without t_ms or type"):
+            X.session_events(X.session_files(spark, f"{tmp_path}/{name}.json"))
+
+
 def test_line_numbers_follow_the_file_across_splits(spark, tmp_path):
     write(tmp_path / "long.txt", "\n".join(f"line {i:06d}" for i in range(5000)) + "\n")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")

@@ -219,3 +219,11 @@ def test_every_recording_needs_a_decimation_factor(spark):
     for factors in ([("A", 2)], [("A", 2), ("B", None)]):
         with pytest.raises(ValueError, match="no decimation factor for B"):
             R.downsample(rows, spark.createDataFrame(factors, "recording_id string, factor int"))
+
+
+def test_clock_text_keeps_whole_numbers_and_fractions(spark):
+    df = spark.createDataFrame([("1700000000000000001",), ("1700000000000.5",), (" 12 ",), (None,), ("-0.25",)], "t string")
+    got = [tuple(r) for r in df.select(C.text_to_unix_ns(F.col("t"), "ns").alias("ns"), C.cut_to_whole(F.col("t")).alias("w")).collect()]
+    assert got == [(1700000000000000001, 1700000000000000001), (1700000000000, 1700000000000), (12, 12), (None, None), (0, 0)]
+    ms = df.where("t like '%.%'").select(C.text_to_unix_ns(F.col("t"), "ms").alias("ms")).collect()
+    assert [r.ms for r in ms] == [1700000000000500000, -250000]
