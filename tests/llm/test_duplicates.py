@@ -94,3 +94,10 @@ def test_words_and_sequences_do_not_depend_on_neighbours():
     alone = [split_words([t]).hashes() for t in texts]
     assert together.counts().tolist() == [3, 0, 2, 5] and np.array_equal(hashes, np.concatenate(alone))
     assert sequence_hashes(alone[0], 2)[1] == sequence_hashes(alone[3], 2)[0] and len(sequence_hashes(alone[2], 3)) == 0
+
+
+def test_periodic_texts_and_shifted_passages_against_brute_force(spark):
+    shared = " ".join(f"s{i}" for i in range(70))
+    rows = [(9, "a b " * 700), (4, "x a b " + "a b " * 400 + "y"), (5, f"p q {shared} r"), (7, f"{shared} t u v"), (7, f"{shared} t u v"),
+            (8, " ".join(f"k{i}" for i in range(30)) + f" {shared[:-4]} other end"), (None, shared), (3, "a b a b")]
+    assert removed(spark, rows) == cases.without_repeats(rows, 50)
