@@ -89,9 +89,11 @@ def templates(judged: DataFrame) -> DataFrame:
 def tree(placed: DataFrame) -> DataFrame:
     """One row for each host and template: pages, labelled and blocked of it, and m1 to m{DEPTH}, the template after merging."""
     names = [f"t{k}" for k in range(1, DEPTH + 1)]
-    rows = placed.groupBy("host", *names, "tail").agg(F.count("*").alias("pages"), F.count("said").alias("labelled"), F.count_if(F.col("said") == "block").alias("blocked"))
+    # A path that ends before a level and one with an empty segment there are one template.
+    rows = placed.withColumns({t: F.coalesce(F.col(t), F.lit("")) for t in names})
+    rows = rows.groupBy("host", *names, "tail").agg(F.count("*").alias("pages"), F.count("said").alias("labelled"), F.count_if(F.col("said") == "block").alias("blocked"))
     for k, t in enumerate(names, 1):
-        rows = rows.withColumn(f"m{k}", F.coalesce(F.col(t), F.lit("")))
+        rows = rows.withColumn(f"m{k}", F.col(t))
     for level in range(DEPTH, 0, -1):
         above = ["host", *(f"m{k}" for k in range(1, level))]
         branch, rest = f"m{level}", [*(f"m{k}" for k in range(level + 1, DEPTH + 1)), "tail"]
@@ -134,7 +136,7 @@ def judged_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """
     placed = templates(_judged(pages, rules))
     names = [f"t{k}" for k in range(1, DEPTH + 1)]
-    found = stored(rejected(tree(placed)), "tree").filter("rejected").select("host", *(F.coalesce(F.col(t), F.lit("")).alias(f"_{t}") for t in names), "tail", "rejected")
+    found = stored(rejected(tree(placed)), "tree").filter("rejected").select("host", *(F.col(t).alias(f"_{t}") for t in names), "tail", "rejected")
     keyed = placed.withColumns({f"_{t}": F.coalesce(F.col(t), F.lit("")) for t in names})
     told = attach(keyed, found, ["host", *(f"_{t}" for t in names), "tail"], costly=True)
     template = F.concat_ws("/", *names, F.nullif("tail", F.lit("")))

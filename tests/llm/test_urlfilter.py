@@ -135,6 +135,13 @@ def test_templates_decide(spark):
     assert verdicts["few.example.com", "en"] == {"allow"} and verdicts["o.example.org", "de"] == {"allow"}
 
 
+def test_path_ends_are_one_template(spark):
+    """A rejected template with and without a last slash, at every level: each page gives one row."""
+    pages = list(enumerate(f"http://x.net{end}" for end in ("", "/", "/a", "/a/", "/a/b", "/a/b/", "//", "///") for _ in range(40)))
+    rows = got(spark, pages)
+    assert len(rows) == len(pages) and rows == by_force(pages)
+
+
 @pytest.mark.parametrize("rows_per_task", ["4"])
 def test_salted_lookups(tiny_tasks, rows_per_task):
     pages = [p for p in grown() if p[0] % 3 == 0] + AWKWARD
