@@ -2,9 +2,10 @@
 
 Items and windows of documents are TF-IDF vectors over the benchmark's words; document frequencies come from all
 documents.  The latent space is spanned by the leading right singular vectors of the TF-IDF matrix of passages (all items
-and the passages of a bounded sample of documents, ``FIT_DOCUMENTS`` by hash), found by a randomised SVD whose passes over
-the matrix are Spark jobs that add up matrices of fixed size.  Coordinates are divided by the singular values, so that strong
-directions do not drown the others; the squares are raised by their median first, so that weak ones are not blown up.
+and all passages of all documents), found by a randomised SVD whose passes over the matrix are Spark jobs that add up matrices of
+fixed size: texts are split once, what is kept of them are the numbers of the benchmark's words in each passage.  Coordinates are
+divided by the singular values, so that strong directions do not drown the others; the squares are raised by their median first,
+so that weak ones are not blown up.
 
 Every window of every document is searched: windows of the size class next to an item's length, at strides of a third,
 come from differences of one running sum of word vectors, and one matrix product gives their cosines with the items of that
@@ -33,13 +34,13 @@ from .tables import groups, small_batches, stored
 from .words import Words, split_words
 
 ITEMS_PER_BLOCK = 1_000
-FIT_DOCUMENTS, FIT_PARTS, PASSAGE = 4_000, 16, 40
+PASSAGE, PASSAGES_PER_STEP, DENSE_TERMS, WORDS_PER_SLAB = 40, 2_048, 256, 128
 RANK, OVERSAMPLING, POWER_ITERATIONS = 64, 8, 2
 SMALLEST_WINDOW, WINDOW_RATIO, STRIDES = 12, 1.5, 3
 CANDIDATE_COSINE, WEIGHT_SHARE = 0.45, 0.35
 ITEM_SHARE, ANSWER_SHARE = 0.6, 0.5
 RARE_SURPLUS, ITEMS_PER_PASS, STARTS_PER_PASS = 0.15, 128, 1 << 15
-GROUP_BYTES = 1 << 18
+GROUP_BYTES, PASSAGE_BYTES = 1 << 18, 1 << 16
 _SEPARATOR = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 MATCHES = "array<struct<item_id:long,item_share:double,answer_share:double,cosine:double,word:long>>"
 _MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("item_share", pa.float64()), ("answer_share", pa.float64()), ("cosine", pa.float64()), ("word", pa.int64())]))
@@ -113,98 +114,120 @@ def _texts(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(first, last - first), texts[first:last]
 
 
-def document_frequencies(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
-    """Documents that hold each word of the vocabulary, and documents in all."""
+def _distinct(passage: np.ndarray, terms: np.ndarray, size: int, passages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct known terms of each passage in order, how often they occur, and how many each passage has."""
+    known = np.flatnonzero(terms >= 0)
+    keys, times = np.unique(passage[known] * size + terms[known], return_counts=True)
+    owner, term = np.divmod(keys, max(size, 1))
+    return term.astype(np.int32), times.astype(np.int32), np.bincount(owner, minlength=passages).astype(np.int32)
+
+
+def counted_passages(docs: DataFrame, items: Items) -> DataFrame:
+    """The sparse matrix of all passages of ``docs``, written once: for each group of texts the distinct vocabulary words of their
+    passages, how often they occur and how many each passage has (``terms``, ``times``, ``sizes``: 32-bit numbers).  Each task
+    adds a row with the number of its ``documents`` and how many of them hold each word (``held``)."""
+    size = len(items.vocabulary)
+    entry = pa.list_(pa.struct([("term", pa.int32()), ("n", pa.int64())]))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, documents, size = np.zeros(len(items.vocabulary), np.int64), 0, len(items.vocabulary)
-        for _, texts in _texts(batches):
+        def row(blobs: list, held: list | None, documents: int | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*(pa.array([b], pa.binary()) for b in blobs), pa.array([held], entry), pa.array([documents], pa.int64())], names=["terms", "times", "sizes", "held", "documents"])
+
+        total, documents = np.zeros(size, np.int64), 0
+        for _, texts in _texts(batches, limit=PASSAGE_BYTES):
             words, hashes = words_of(texts)
-            terms = items.terms(hashes)
-            owner = np.repeat(np.arange(len(texts)), words.counts())
+            counts = words.counts()
+            parts = np.concatenate([[0], np.cumsum(-(-counts // PASSAGE))])
+            place = np.arange(len(hashes)) - np.repeat(words.offsets[:-1], counts)
+            terms, times, sizes = _distinct(np.repeat(parts[:-1], counts) + place // PASSAGE, items.terms(hashes), size, parts[-1])
+            ends = np.concatenate([[0], np.cumsum(sizes)])[parts]
             seen = np.zeros(len(texts) * size, bool)
-            known = terms >= 0
-            seen[owner[known] * size + terms[known]] = True
+            seen[np.repeat(np.arange(len(texts)), np.diff(ends)) * size + terms] = True
             total += seen.reshape(len(texts), size).sum(axis=0)
             documents += len(texts)
+            yield row([terms.tobytes(), times.tobytes(), sizes.tobytes()], None, None)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *at], pa.int64()), pa.array([documents, *total[at]], pa.int64())], names=["term", "n"])
-
-    found, documents = np.zeros(len(items.vocabulary), np.int64), 0
-    for term, n in small_batches(docs.select("text")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n")).collect():
-        if term < 0:
-            documents = n
-        else:
-            found[term] = n
-    return found, documents
-
-
-def _passages(docs: DataFrame, items: Items) -> DataFrame:
-    """Term indices of the passages of a bounded sample of ``docs``: the sparse rows of the matrix."""
-    place = F.xxhash64("text")
-    sample = docs.select("text").filter("text is not null")
-    limit = sample.select(place.alias("place")).distinct().orderBy("place").limit(FIT_DOCUMENTS).agg(F.max("place")).first()[0]
-    chosen = sample.filter(place <= (limit if limit is not None else 0)).dropDuplicates(["text"])
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in _texts(batches):
-            words, hashes = words_of(texts)
-            terms = items.terms(hashes)
-            rows = [terms[k:min(k + PASSAGE, last)] for first, last in zip(words.offsets[:-1], words.offsets[1:], strict=True) for k in range(first, last, PASSAGE)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[r >= 0].astype(np.int32) for r in rows], pa.list_(pa.int32()))], names=["terms"])
-
-    rows = small_batches(chosen).mapInArrow(cut, "terms array<int>").filter(F.size("terms") > 0)
-    return stored(rows.repartition(FIT_PARTS), "passages")
-
+        yield row([None] * 3, [{"term": t, "n": n} for t, n in zip(at.tolist(), total[at].tolist(), strict=True)], documents)
 
-def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row number and term of every entry, batch by batch."""
-    for batch in batches:
-        column = batch.column("terms")
-        counts = np.diff(column.offsets.to_numpy())
-        yield np.repeat(np.arange(len(column)), counts), column.flatten().to_numpy()
+    schema = "terms binary, times binary, sizes binary, held array<struct<term:int,n:long>>, documents long"
+    return stored(small_batches(docs.select("text")).mapInArrow(count, schema), "passages")
 
 
-def _times(rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """A times ``basis`` for the sparse rows A with TF-IDF entries scaled to unit length."""
-    n = int(rows[-1]) + 1 if len(rows) else 0
-    keys, counts = np.unique(rows.astype(np.int64) * len(weights) + terms, return_counts=True)
-    owner, term = np.divmod(keys, len(weights))
-    value = counts * weights[term]
-    value = value / np.maximum(np.sqrt(np.bincount(owner, value * value, n))[owner], 1e-12)
-    out = np.zeros((n, basis.shape[1]))
-    np.add.at(out, owner, value[:, None] * basis[term])
-    return out, owner, term, value
+def document_frequencies(passages: DataFrame, items: Items) -> tuple[np.ndarray, int]:
+    """Documents that hold each word of the vocabulary, and documents in all."""
+    totals = passages.filter("documents is not null").select("held", "documents")
+    found = np.zeros(len(items.vocabulary), np.int64)
+    for term, n in totals.select(F.inline("held")).groupBy("term").agg(F.sum("n")).collect():
+        found[term] = n
+    return found, totals.agg(F.sum("documents")).first()[0] or 0
+
+
+class _Matrix:
+    """Products with sparse rows, their TF-IDF entries scaled to unit length.  Words are numbered by rising weight: the most frequent
+    ones, which make up most entries, are multiplied as a dense block, the others entry by entry.  Products of a step are in single
+    precision, sums of them in double: a product that should vanish has a square of some 1e-14, far below what counts as a direction."""
+
+    def __init__(self, weights: np.ndarray):
+        self.order = np.argsort(weights, kind="stable")
+        self.place = np.argsort(self.order, kind="stable").astype(np.int32)
+        self.weights, self.dense = weights, min(DENSE_TERMS, len(weights))
+
+    def add(self, total: np.ndarray, basis: np.ndarray, gram: bool, terms: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> None:
+        """Add A'A ``basis``, or ``basis``' A'A ``basis``, of these rows to ``total``; both matrices are in the order of ``order``."""
+        basis = basis.astype(np.float32, copy=False)
+        sizes = sizes[sizes > 0]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        for first in range(0, len(sizes), PASSAGES_PER_STEP):
+            n = sizes[first:first + PASSAGES_PER_STEP]
+            low, high = ends[first], ends[first + len(n)]
+            term = terms[low:high]
+            value, column, owner = times[low:high] * self.weights[term], self.place[term], np.repeat(np.arange(len(n)), n)
+            value = (value / np.sqrt(np.bincount(owner, value * value))[owner]).astype(np.float32)
+            often, seldom = np.flatnonzero(column < self.dense), np.flatnonzero(column >= self.dense)
+            block = np.zeros((len(n), self.dense), np.float32)
+            block[owner[often], column[often]] = value[often]
+            product = block @ basis[:self.dense]
+            owner, column, value = owner[seldom], column[seldom], value[seldom, None]
+            if len(seldom):
+                starts = np.flatnonzero(np.diff(owner, prepend=-1))
+                product[owner[starts]] += np.add.reduceat(value * basis[column], starts)
+            if gram:
+                total += product.T @ product
+                continue
+            total[:self.dense] += block.T @ product
+            if len(seldom):
+                by = np.argsort(column, kind="stable")
+                starts = np.flatnonzero(np.diff(column[by], prepend=-1))
+                total[column[by[starts]]] += np.add.reduceat(value[by] * product[owner[by]], starts)
 
 
 def latent_basis(passages: DataFrame, items: Items, weights: np.ndarray, rank: int = RANK) -> np.ndarray:
     """Right singular vectors (vocabulary by rank) of the passages' TF-IDF matrix, divided by their damped singular values."""
     size = len(weights)
     width = min(rank + OVERSAMPLING, size)
-    known = [np.array(items.terms(np.array(h, np.uint64))) for h in items.hashes]
-    item_rows = np.repeat(np.arange(len(known)), [len(k) for k in known]), np.concatenate(known)
+    matrix, passages = _Matrix(weights), passages.filter("documents is null").select("terms", "times", "sizes")
+    known = [items.terms(np.array(h, np.uint64)) for h in items.hashes]
+    of_items = _distinct(np.repeat(np.arange(len(known)), [len(k) for k in known]), np.concatenate(known), size, len(known))
 
     def summed(basis: np.ndarray, gram: bool) -> np.ndarray:
-        """A'A basis, or basis' A'A basis, over items and passages; each part of the matrix gives one matrix of fixed size."""
-        shared = passages.sparkSession.sparkContext.broadcast(basis)
-
-        def part_of(rows: np.ndarray, terms: np.ndarray) -> np.ndarray:
-            product, owner, term, value = _times(rows, terms, weights, shared.value)
-            if gram:
-                return product.T @ product
-            out = np.zeros((size, shared.value.shape[1]))
-            np.add.at(out, term, value[:, None] * product[owner])
-            return out
+        """A'A basis, or basis' A'A basis, over items and passages: each task sums its rows, slabs of these sums are added by key."""
+        shared = passages.sparkSession.sparkContext.broadcast(basis[matrix.order].astype(np.float32))
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((basis.shape[1] if gram else size, basis.shape[1]))
-            for rows, terms in _sparse(batches):
-                total += part_of(rows, terms)
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
-
-        total = part_of(*item_rows)
-        for row in passages.mapInArrow(add, "part binary").toLocalIterator():  # FIT_PARTS of them at most
-            total += np.frombuffer(row.part).reshape(total.shape)
-        return total
+            total = np.zeros((width if gram else size, width))
+            for batch in batches:
+                matrix.add(total, shared.value, gram, *(np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32) for c in ("terms", "times", "sizes")))
+            slabs = [total[k:k + WORDS_PER_SLAB].tobytes() for k in range(0, len(total), WORDS_PER_SLAB)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(slabs)), pa.int32()), pa.array(slabs, pa.binary())], names=["slab", "part"])
+
+        def merge(table: pa.Table) -> pa.Table:
+            return pa.table({"slab": table["slab"][:1], "part": pa.array([sum(np.frombuffer(p.as_buffer()) for p in table["part"]).tobytes()], pa.binary())})
+
+        total = np.zeros((width if gram else size, width))
+        matrix.add(total, basis[matrix.order], gram, *of_items)
+        for slab, part in passages.mapInArrow(add, "slab int, part binary").groupBy("slab").applyInArrow(merge, "slab int, part binary").collect():
+            total[slab * WORDS_PER_SLAB:(slab + 1) * WORDS_PER_SLAB] += np.frombuffer(part).reshape(-1, width)
+        return total if gram else total[matrix.place]
 
     basis = np.random.Generator(np.random.PCG64(1)).standard_normal((size, width))
     for _ in range(1 + POWER_ITERATIONS):
@@ -377,9 +400,10 @@ class Search:
 
 
 def search_for(docs: DataFrame, items: Items) -> Search:
-    frequency, documents = document_frequencies(docs, items)
+    passages = counted_passages(docs, items)
+    frequency, documents = document_frequencies(passages, items)
     weights = np.log((1 + documents) / (1 + frequency)) + 0.1
-    return Search.of(items, weights, latent_basis(_passages(docs, items), items, weights))
+    return Search.of(items, weights, latent_basis(passages, items, weights))
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

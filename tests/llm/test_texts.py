@@ -115,6 +115,32 @@ def test_blocks_of_items(spark, monkeypatch):
     assert sorted((r.doc_id, [m.item_id for m in r.matches]) for r in got.collect()) == [(k, [k]) for k in range(5)]
 
 
+@pytest.mark.parametrize("dense", [256, 7])
+def test_latent_space_of_all_documents(spark, monkeypatch, dense):
+    """Against the eigenvectors of the whole matrix; rare words come in few documents, more than 4000 others have none."""
+    monkeypatch.setattr(decontamination, "DENSE_TERMS", dense, raising=False)
+    monkeypatch.setattr(decontamination, "PASSAGES_PER_STEP", 50, raising=False)
+    items = [(k, " ".join(f"w{(7 * k + j * j) % 40}" for j in range(9 + k))) for k in range(6)]
+    rows = [(k, f"w{k % 9} other{k} w{k * k % 40}") for k in range(4_200)] + [(k, None) for k in range(3)]
+    rows += [(k, " ".join(f"w{(3 * j + k) % 40}" if j % 3 else f"w{j % 11}" for j in range(150 + k))) for k in range(40)]
+    docs = cases.frame(spark, rows).select("text").repartition(3)
+    block = decontamination.Items.of(items)
+    search = decontamination.search_for(docs, block)
+    held = [decontamination.words_of([t or ""])[1] for _, t in rows]
+    terms = [block.terms(h) for h in held]
+    frequency = sum(np.bincount(np.unique(t[t >= 0]), minlength=len(block.vocabulary)) for t in terms)
+    weights = np.log((1 + len(rows)) / (1 + frequency)) + 0.1
+    passages = [t[k:k + 40] for t in terms for k in range(0, len(t), 40)] + [block.terms(np.array(h, np.uint64)) for h in block.hashes]
+    matrix = np.array([np.bincount(p[p >= 0], minlength=len(weights)) * weights for p in passages])
+    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+    values, vectors = np.linalg.eigh(matrix.T @ matrix)
+    kept = values > values.max() * 1e-9
+    values, vectors = values[kept], vectors[:, kept]
+    want = vectors / (values + np.median(values)) @ vectors.T
+    got = search.word_vectors / weights[:, None]
+    assert np.allclose(search.weights, weights) and np.allclose(got @ got.T, want, rtol=1e-3, atol=1e-4 * np.abs(want).max())
+
+
 def lcs_matches(items: list[tuple[int, str]], rows: list[tuple[int, str]]) -> set[tuple[int, int]]:
     """Document and item of every window, from every start, whose common subsequence covers the shares of item and answer."""
     split = {i: decontamination.words_of([t])[1].tolist() for i, t in items}
