@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .layout import (Ordered, along, attach, durable, following, last_seen, ordered, previous, running_max,
-                     running_sum, union_all)
+                     running_sum, union_all, written)
 
 
 
@@ -117,7 +117,8 @@ def swept(points: DataFrame, windows: DataFrame, key: list[str], at: str) -> tup
     order = ("_t", "_kind")  # ties of one kind are all alike
     layout = along(ordered(axis.withColumn("_tie", F.monotonically_increasing_id()), tuple(key), (*order, "_tie")), _before=previous(F.col("_kind")))
     starts = ((F.col("_kind") == 1) & ~F.coalesce(F.col("_before") == 1, F.lit(False))).cast("bigint")
-    placed = along(layout, _segment=running_sum(starts)).frame
+    # Written once: ends and points are read from it separately, and joins count points before they read them.
+    placed = written(along(layout, _segment=running_sum(starts)).frame.select("_kind", "_window", "_segment", "_point"))
     reach = (placed.where("_kind <> 1").groupBy("_window").agg(F.max(F.when(F.col("_kind") == 0, F.col("_segment") + 1)).alias("_from"), F.max(F.when(F.col("_kind") == 2, F.col("_segment"))).alias("_to"))
              .where("_from <= _to").select("_window", F.explode(F.sequence("_from", "_to")).alias("_segment")))
     return placed.where("_kind = 1").select("_point.*", "_segment"), numbered_windows.join(reach, "_window").drop("_window")

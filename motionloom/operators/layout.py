@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
@@ -37,9 +38,7 @@ def broadcast_rows(spark: SparkSession) -> int:
     return _setting(spark, "broadcastRows", DEFAULT_BROADCAST_ROWS)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder, so that it survives lost executors."""
-    spark = df.sparkSession
+def _checkpoint_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -48,9 +47,25 @@ def durable(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="spark-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder, so that it survives lost executors."""
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as Parquet in the shared checkpoint folder: for tables as long as the input, which several steps read.
+
+    Compressed columns take a fraction of what ``durable`` writes, and a step reads only those it needs.
+    """
+    path = f"{_checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Ordered:
     """Rows with an order inside each key, and the chunk of that order every row belongs to.

@@ -166,3 +166,14 @@ def test_attach_gives_the_same_rows_broadcast_and_salted(spark):
         assert "Broadcast" not in salted._jdf.queryExecution().optimizedPlan().toString()
     finally:
         spark.conf.unset("spark.motionloom.broadcastRows")
+
+
+def test_swept_points_are_laid_out_once(spark):
+    """Pairs of points and windows are read from rows written once; no later step sorts all points again."""
+    from motionloom.operators.containment import contained
+    points = spark.createDataFrame([(k % 3, k, k * 7 % 50) for k in range(60)], "source long, point_id long, t long")
+    windows = spark.createDataFrame([(k % 3, k, k * 5, k * 5 + 9) for k in range(9)], "source long, w long, lo long, hi long")
+    found = contained(points, windows, ["source"], "t")
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = points.join(windows, "source").where("t BETWEEN lo AND hi")
+    assert sorted((r.point_id, r.w) for r in found.collect()) == sorted((r.point_id, r.w) for r in want.collect())
