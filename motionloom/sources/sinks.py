@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import groupby
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,14 +104,54 @@ def checksum_problems(listed: DataFrame, found: DataFrame) -> DataFrame:
 
 # --- exports ----------------------------------------------------------------------------------------
 
+def write_recording_texts(lines: DataFrame, path: str) -> None:
+    """Write (recording_id, value) as one text file per recording, ``path/recording_id=<id>/part.txt``.
+
+    The tasks write the files themselves, since Spark's writer stages, moves and sets the rights of every file on its own, which takes
+    far longer than the few lines a recording may have.  A recording is streamed into its file under a hidden name and renamed when
+    it is whole, so an attempt that was lost or ran twice leaves one file with the same lines.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        system, root = fs.FileSystem.from_uri(path)
+        rows = ((i, v) for b in batches for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        files = 0
+        for name, of_recording in groupby(rows, lambda r: r[0]):
+            folder = f"{root}/recording_id={'__HIVE_DEFAULT_PARTITION__' if name is None else quote(name, safe='')}"
+            system.create_dir(folder)
+            hidden = f"{folder}/.{uuid.uuid4().hex}"
+            with system.open_output_stream(hidden) as stream:
+                for _, value in of_recording:
+                    stream.write(f"{value or ''}\n".encode())
+            system.move(hidden, f"{folder}/part.txt")
+            files += 1
+        yield pa.RecordBatch.from_pydict({"files": [files]})
+
+    dealt = lines.select("recording_id", "value").repartition("recording_id").sortWithinPartitions("recording_id")
+    dealt.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
+@contextmanager
+def _listing_tasks(spark: SparkSession):
+    """For loads inside: folders are listed by a few tasks a core, which take many each, instead of by up to 10,000 tasks."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def recording_files(spark: SparkSession, root: str, modalities: list[str]) -> DataFrame:
     """(recording_id, modality, path, length) of files that each belong to one recording, from one listing.
 
     A file is named after its recording (``<modality>/<recording_id>.parquet``) or lies in a folder
     ``recording_id=<id>``.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .load([f"{root}/{m}" for m in modalities]).select("path", "length"))
+    with _listing_tasks(spark):
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .load([f"{root}/{m}" for m in modalities]).select("path", "length"))
     own = F.coalesce(path_part(F.col("path"), r"/recording_id=([^/]+)/[^/]+$"), path_part(F.col("path"), r"/([^/]+)\.parquet$"))
     modality = path_part(F.col("path"), rf"/({'|'.join(MODALITIES)})/[^/]+(?:/[^/]+)?$")
     return files.select(own.alias("recording_id"), modality.alias("modality"), "path", "length").where("recording_id IS NOT NULL")

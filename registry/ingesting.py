@@ -454,7 +454,7 @@ def export_preview(spark, sf):
     """Files and bytes a selection would take along, from a collection with a text file per recording."""
     folder, dots = _scratch(spark), pen(spark, sf)
     lines = dots.select("recording_id", F.concat_ws(":", "recording_id", F.col("seq").cast("string"), "dot_type").alias("value"))
-    lines.repartition("recording_id").write.partitionBy("recording_id").text(f"{folder}/pen")
+    sinks.write_recording_texts(lines, f"{folder}/pen")
     selected = dots.where("substring(recording_id, 2) % 2 = 0").select("recording_id").distinct()
     return sinks.export_preview(sinks.recording_files(spark, folder, ["pen"]), selected)
 

@@ -186,6 +186,29 @@ def test_bundles_of_one_file_per_recording_are_converted(spark, stored, tmp_path
     assert preview == {m: (n, sum(p.stat().st_size for p in pathlib.Path(source, m).glob("*.parquet"))) for m, n in (("watch", 3), ("pen", 2))}
 
 
+def test_text_bundles_are_written_and_listed_by_few_tasks(spark, tmp_path):
+    """One file per recording, also where its lines come in several batches; folders are not listed by a task each."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(f"U{k}", f"{k}:{j}") for k in range(99) for j in range(1 + k % 20)] + [("a/b=c", "x"), (None, "y"), ("U0", None)]
+        sinks.write_recording_texts(spark.createDataFrame(rows, "recording_id string, value string"), str(tmp_path / "pen"))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    files = sorted(p for p in (tmp_path / "pen").rglob("*") if p.is_file())
+    assert len(files) == 101 and {p.name for p in files} == {"part.txt"}
+    assert sorted((tmp_path / "pen" / "recording_id=U39" / "part.txt").read_text().split()) == sorted(f"39:{j}" for j in range(20))
+    spark.sparkContext.setJobGroup("listing", "listing")
+    listed = sinks.recording_files(spark, str(tmp_path), ["pen"])
+    spark.sparkContext.setJobGroup("after", "after")
+    status = spark.sparkContext.statusTracker()
+    tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("listing") for s in status.getJobInfo(j).stageIds]
+    assert tasks and max(tasks) <= 4 * spark.sparkContext.defaultParallelism
+    assert listed.where("recording_id LIKE 'U%'").count() == 99
+    found = {r.recording_id: r.length for r in listed.collect()}
+    assert found["U39"] == 20 * 3 + sum(len(str(j)) for j in range(20)) + 20 and found["U0"] == 4 + 1
+
+
 @pytest.mark.parametrize("ids", [["007", "7", "2024"], ["2024-01-01", "1e3", "x"], [f"R{k}" for k in range(60)]])
 def test_ids_are_stored_as_they_are(spark, tmp_path, ids):
     rows = spark.createDataFrame([(i, k, k) for k, i in enumerate(ids)], "recording_id string, t_ns long, seq long")
