@@ -40,6 +40,7 @@ SMALLEST_WINDOW, WINDOW_RATIO, STRIDES = 12, 1.5, 3
 CANDIDATE_COSINE, WEIGHT_SHARE = 0.45, 0.35
 ITEM_SHARE, ANSWER_SHARE = 0.6, 0.5
 RARE_SURPLUS, ITEMS_PER_PASS, STARTS_PER_PASS = 0.15, 128, 1 << 15
+WORDS_PER_SUM = 32
 GROUP_BYTES, PASSAGE_BYTES = 1 << 18, 1 << 16
 _SEPARATOR = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 MATCHES = "array<struct<item_id:long,item_share:double,answer_share:double,cosine:double,word:long>>"
@@ -88,6 +89,7 @@ class Items:
     hashes: list[list[int]]
     answers: list[list[int]]
     vocabulary: np.ndarray
+    slots: np.ndarray  # where the words of each leading 16 bits begin in the vocabulary, which is sorted
 
     @staticmethod
     def of(rows: list[tuple[int | None, str]]) -> Items:
@@ -95,16 +97,26 @@ class Items:
         split = [hashes[a:b] for a, b in zip(words.offsets[:-1], words.offsets[1:], strict=True)]
         kept = [i for i, h in enumerate(split) if len(h)]
         answer_words, answer_hashes = words_of([answer_of(rows[i][1]) for i in kept])
+        vocabulary = np.unique(hashes)
+        slots = np.searchsorted(vocabulary >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64)).astype(np.int32)
         return Items([rows[i][0] for i in kept], np.array([len(split[i]) for i in kept], int), [split[i].tolist() for i in kept],
                      [answer_hashes[a:b].tolist() for a, b in zip(answer_words.offsets[:-1], answer_words.offsets[1:], strict=True)],
-                     np.unique(hashes))
+                     vocabulary, slots)
 
     def terms(self, hashes: np.ndarray) -> np.ndarray:
         """Index of each hash in the vocabulary, -1 where it is not in it."""
         if not len(self.vocabulary):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[at] == hashes, at, -1)
+        slot = (hashes >> np.uint64(48)).astype(np.int32)
+        first, n = self.slots[slot], self.slots[slot + 1] - self.slots[slot]
+        found, left = np.full(len(hashes), -1), np.flatnonzero(n)
+        at = first[left]
+        while len(left):
+            same = self.vocabulary[at] == hashes[left]
+            found[left[same]] = at[same]
+            more = np.flatnonzero(~same & (at + 1 < first[left] + n[left]))
+            left, at = left[more], at[more] + 1
+        return found
 
 
 def _texts(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = GROUP_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -169,7 +181,7 @@ class _Matrix:
 
     def __init__(self, weights: np.ndarray):
         self.order = np.argsort(weights, kind="stable")
-        self.place = np.argsort(self.order, kind="stable").astype(np.int32)
+        self.place = np.argsort(self.order, kind="stable").astype(np.uint16 if len(weights) < 1 << 16 else np.int32)  # 16 bits are sorted by radix
         self.weights, self.dense = weights, min(DENSE_TERMS, len(weights))
 
     def add(self, total: np.ndarray, basis: np.ndarray, gram: bool, terms: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> None:
@@ -299,16 +311,20 @@ class Search:
         terms = self.items.terms(hashes)
         known = np.flatnonzero(terms >= 0)
         running = np.zeros((len(known) + 1, self.word_vectors.shape[1]), np.float32)
-        np.cumsum(self.word_vectors[terms[known]], axis=0, out=running[1:])
+        self._sum_up(terms[known], running[1:])
         place = np.concatenate([[0], np.cumsum(terms >= 0)])  # known words before each word
-        before = self._before(terms)
+        numbers = terms[known]
+        before = self._before(numbers)
         # Latent candidates go first, so that the path by rare words only adds what they miss.
         for text, first, item, cosine in itertools.chain([self._candidates(words, terms, running, place)], self._by_rare_words(words, terms)):
             lengths = self.items.lengths[item]
             low, high = words.offsets[text], words.offsets[text + 1]
             start, end = np.maximum(low, first - lengths // 2), np.minimum(high, first + lengths + lengths // 2 + lengths // 4)
-            possible = np.flatnonzero(self._covered(terms, before, start, end, item) / lengths >= ITEM_SHARE)
-            for i in possible.tolist():
+            a, b = place[start], place[end]
+            # Each word of a common subsequence is a known word here, so too few of them are no match.
+            possible = np.flatnonzero((b - a) / lengths >= ITEM_SHARE)
+            covered = self._covered(numbers, before, a[possible], b[possible], item[possible])
+            for i in possible[covered / lengths[possible] >= ITEM_SHARE].tolist():
                 t, m = int(text[i]), int(item[i])
                 if m in found[t]:
                     continue
@@ -356,24 +372,36 @@ class Search:
                 run = np.repeat(np.arange(x, y), m)
                 yield text[run], low[run] + np.arange(len(run)) - np.repeat(np.cumsum(m) - m, m), item[run], None
 
+    def _sum_up(self, numbers: np.ndarray, out: np.ndarray) -> None:
+        """Running sums of the vectors of known words: within blocks by a product with a triangle of ones, then over the blocks."""
+        vectors, width = self.word_vectors[numbers], self.word_vectors.shape[1]
+        whole = len(vectors) // WORDS_PER_SUM * WORDS_PER_SUM
+        blocks = np.tri(WORDS_PER_SUM, dtype=np.float32) @ vectors[:whole].reshape(-1, WORDS_PER_SUM, width)
+        blocks[1:] += np.cumsum(blocks[:-1, -1], axis=0)[:, None]
+        out[:whole] = blocks.reshape(whole, width)
+        np.cumsum(vectors[whole:], axis=0, out=out[whole:])
+        if whole:
+            out[whole:] += out[whole - 1]
+
     @staticmethod
     def _before(terms: np.ndarray) -> np.ndarray:
         """Where the same word stood last."""
-        order = np.argsort(terms, kind="stable")
+        order = np.argsort(terms.astype(np.uint16) if terms.max(initial=0) < 1 << 16 else terms, kind="stable")  # 16 bits are sorted by radix
         again = np.flatnonzero(terms[order][1:] == terms[order][:-1])
         before = np.full(len(terms), -1)
         before[order[again + 1]] = order[again]
         return before
 
-    def _covered(self, terms: np.ndarray, before: np.ndarray, start: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Words of each item that occur between start and end: no common subsequence is longer."""
+    def _covered(self, numbers: np.ndarray, before: np.ndarray, start: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Words of each item that occur between start and end of the known words: no common subsequence is longer."""
         total = np.zeros(len(start), np.int64)
         for part in range(0, len(start), 4096):
             a, n = start[part:part + 4096], (end - start)[part:part + 4096]
             which = np.repeat(np.arange(len(a)), n)
             at = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + a[which]
-            counted = (terms[at] >= 0) & (before[at] < a[which])
-            total[part:part + 4096] = np.bincount(which[counted], self.item_counts[terms[at[counted]], item[part + which[counted]]], len(a))
+            counted = np.flatnonzero(before[at] < a[which])
+            which = which[counted]
+            total[part:part + 4096] = np.bincount(which, self.item_counts[numbers[at[counted]], item[part + which]], len(a))
         return total
 
     def _candidates(self, words: Words, terms: np.ndarray, running: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -394,8 +422,9 @@ class Search:
                 vectors = running[b[rows]] - running[a[rows]]
                 vectors /= np.maximum(np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), 1e-9)[:, None]
                 cosines = vectors @ self.item_vectors[members].T
-                r, m = np.nonzero(cosines >= CANDIDATE_COSINE)
-                out.append((text[rows[r]], first[rows[r]], members[m], cosines[r, m]))
+                near = np.flatnonzero(cosines >= CANDIDATE_COSINE)
+                r, m = np.divmod(near, len(members))
+                out.append((text[rows[r]], first[rows[r]], members[m], cosines.ravel()[near]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 

@@ -187,6 +187,30 @@ def test_a_full_block_loses_no_item_outside_the_latent_space():
     assert {(k, m["item_id"]) for k, found in enumerate(got) for m in found} == want
 
 
+def test_words_are_found_by_their_leading_bits():
+    """Against a dictionary, with words that share their leading 16 bits, hold none of them or come after all others."""
+    top = np.array([0, 0, 0, 5, 5, 65_535, 65_535, 9], np.uint64) << np.uint64(48)
+    vocabulary = np.unique(top + np.array([0, 1, 7, 3, 4, 8, (1 << 48) - 1, 2], np.uint64))
+    slots = np.searchsorted(vocabulary >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64)).astype(np.int32)
+    block = decontamination.Items([], np.zeros(0, int), [], [], vocabulary, slots)
+    asked = np.concatenate([vocabulary, vocabulary + np.uint64(1), vocabulary ^ np.uint64(1 << 50), np.zeros(0, np.uint64)])
+    number = {h: k for k, h in enumerate(vocabulary.tolist())}
+    assert block.terms(asked).tolist() == [number.get(h, -1) for h in asked.tolist()]
+    assert block.terms(asked[:0]).tolist() == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 100_000])
+def test_running_sums_of_word_vectors(n):
+    """Windows far into a long text are sums of a few words, so the rounding of all words before them must stay small."""
+    block = decontamination.Items.of([(1, " ".join(f"w{k}" for k in range(50)))])
+    search = decontamination.Search.of(block, np.ones(50), np.random.default_rng(3).random((50, 8)))
+    numbers = np.random.default_rng(4).integers(0, 50, n)
+    got = np.zeros((n, 8), np.float32)
+    search._sum_up(numbers, got)
+    want = np.cumsum(search.word_vectors[numbers].astype(np.float64), axis=0)
+    assert np.allclose(got, want, rtol=3e-6)
+
+
 # --- secrets ------------------------------------------------------------------------------------
 
 BASE = {"assign": re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), "access": re.compile("AKIA[A-Z0-9]+"), "hex": re.compile("[0-9a-f]+")}
