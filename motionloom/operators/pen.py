@@ -58,14 +58,22 @@ def dot_rate(pen: DataFrame, split: bool | None = None) -> DataFrame:
     The pen's own clock decides wherever any dot carries it.  Otherwise ``t_ns`` is used only if few
     in-stroke steps are zero; dots stamped in batches on arrival would overstate the rate.
     """
-    dots = _segmented(pen, split)
-    facts = dots.groupBy("recording_id").agg(
-        F.count(PEN_CLOCK).alias("logged"),
-        F.avg((F.col("gap_ns") == 0).cast("double")).alias("batched"))
-    on_pen = _rate(dots.where(F.col(PEN_CLOCK).isNotNull()), "logged_stroke", PEN_CLOCK, 1e3, "pen_hz")
-    on_time = _rate(dots, "stroke", "t_ns", 1e9, "time_hz")
+    # A stroke lies in one stroke of the pen clock, so one pass over the dots tells both: by stroke, by pen-clock stroke, by recording.
+    by_stroke = _segmented(pen, split).groupBy("recording_id", "logged_stroke", "stroke").agg(
+        ((F.max("t_ns") - F.min("t_ns")) / F.lit(1e9)).alias("_s"), (F.count("*") - 1).alias("_steps"),
+        F.min(PEN_CLOCK).alias("_lo"), F.max(PEN_CLOCK).alias("_hi"), F.count(PEN_CLOCK).alias("_logged"),
+        F.count("gap_ns").alias("_gaps"), F.count_if(F.col("gap_ns") == 0).alias("_zero"))
+    timed = F.col("_s") > 0
+    logged = by_stroke.groupBy("recording_id", "logged_stroke").agg(
+        F.sum(F.when(timed, F.col("_s"))).alias("_s"), F.sum(F.when(timed, F.col("_steps"))).alias("_steps"),
+        ((F.max("_hi") - F.min("_lo")) / F.lit(1e3)).alias("_pen_s"), F.sum("_logged").alias("_logged"),
+        F.sum("_gaps").alias("_gaps"), F.sum("_zero").alias("_zero"))
+    on_pen = F.col("_pen_s") > 0
+    facts = logged.groupBy("recording_id").agg(
+        F.sum("_logged").alias("logged"), F.try_divide(F.sum("_zero"), F.sum("_gaps")).alias("batched"),
+        F.bround(F.sum(F.when(on_pen, F.col("_logged") - 1)) / F.sum(F.when(on_pen, F.col("_pen_s"))), 3).alias("pen_hz"),
+        F.bround(F.sum("_steps") / F.sum("_s"), 3).alias("time_hz"))
     rate = F.when(F.col("logged") > 0, F.col("pen_hz")).when(
         F.col("batched") <= MAX_BATCHED_SHARE, F.col("time_hz"))
     clock = F.when(rate.isNull(), "").when(F.col("logged") > 0, PEN_CLOCK).otherwise("t_ns")
-    return (facts.join(on_pen, "recording_id", "left").join(on_time, "recording_id", "left")
-            .select("recording_id", rate.alias("pen_hz_measured"), clock.alias("pen_hz_clock")))
+    return facts.select("recording_id", rate.alias("pen_hz_measured"), clock.alias("pen_hz_clock"))

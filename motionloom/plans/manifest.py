@@ -110,7 +110,7 @@ def oversized(span: DataFrame) -> bool:
 
 
 def table_rates(tables: dict[str, DataFrame], split: bool | None = None) -> DataFrame:
-    """(recording_id, modality, sample_rate_hz), unrounded: median rates, and the dot rate for pens."""
+    """(recording_id, modality, sample_rate_hz), unrounded: median rates, and the dot rate for pens, with its clock as ``rate_clock``."""
     timed = [tables[m].select("recording_id", F.lit(m).alias("modality"), "t_ns", "seq")
              for m in (*MOTION_MODALITIES, "markers") if m in tables]
     found = []
@@ -119,7 +119,7 @@ def table_rates(tables: dict[str, DataFrame], split: bool | None = None) -> Data
     if "pen" in tables:
         found.append(dot_rate(tables["pen"], split).select(
             "recording_id", F.lit("pen").alias("modality"),
-            F.col("pen_hz_measured").alias("sample_rate_hz")))
+            F.col("pen_hz_measured").alias("sample_rate_hz"), F.col("pen_hz_clock").alias("rate_clock")))
     return union_all(found)
 
 
@@ -152,7 +152,9 @@ def derived_values(tables: dict[str, DataFrame], withdrawn: DataFrame | None = N
             *[F.max(F.when(F.col("modality") == m, F.col("sample_rate_hz"))).alias(name)
               for m, name in (("watch", "watch_hz_measured"), ("headimu", "head_hz_measured"))]))
     if "pen" in tables:
-        parts.append(dot_rate(tables["pen"], split))
+        known = rates is not None and "rate_clock" in rates.columns
+        parts.append(rates.where("modality = 'pen'").select("recording_id", F.col("sample_rate_hz").alias("pen_hz_measured"), F.col("rate_clock").alias("pen_hz_clock"))
+                     if known else dot_rate(tables["pen"], split))
     if "markers" in tables:
         parts.append(task_counts(tables["markers"]))
     if "watch" in tables or "headimu" in tables:
@@ -275,12 +277,12 @@ def assemble_manifest(meta: DataFrame, derived: DataFrame, clocks: DataFrame) ->
 
 
 def build_manifest(tables: dict[str, DataFrame], meta: DataFrame, clocks: DataFrame,
-                   withdrawn: DataFrame | None = None) -> DataFrame:
-    """The manifest of all recordings, after refusing malformed tables and declarations."""
+                   withdrawn: DataFrame | None = None, rates: DataFrame | None = None) -> DataFrame:
+    """The manifest of all recordings, after refusing malformed tables and declarations.  ``rates``: those of ``table_rates``, if known."""
     require_complete_vectors(tables)
     if withdrawn is not None:
         refuse(withdrawn_with_table(withdrawn, spans(tables)), "withdrawn stream still has a table")
-    manifest = assemble_manifest(meta, derived_values(tables, withdrawn), clocks)
+    manifest = assemble_manifest(meta, derived_values(tables, withdrawn, rates), clocks)
     refuse(device_model_problems(manifest), "device model does not match the tables")
     return manifest
 
@@ -328,11 +330,11 @@ def tables_without_clock(columns: DataFrame, clocks: DataFrame) -> DataFrame:
 
 
 def build_channels(tables: dict[str, DataFrame], clocks: DataFrame,
-                   factors: DataFrame | None = None) -> DataFrame:
-    """One descriptor row per stored column; declared clocks and factors override the defaults."""
+                   factors: DataFrame | None = None, rates: DataFrame | None = None) -> DataFrame:
+    """One descriptor row per stored column; declared clocks and factors override the defaults.  ``rates``: those of ``table_rates``, if known."""
     columns = stored_columns(tables)
     refuse(tables_without_clock(columns, clocks), "no clock declared for the table")
-    return channel_rows(columns, rounded_rates(table_rates(tables)), clocks, factors)
+    return channel_rows(columns, rounded_rates(table_rates(tables) if rates is None else rates), clocks, factors)
 
 
 def channel_rows(columns: DataFrame, rates: DataFrame, clocks: DataFrame,

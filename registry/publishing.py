@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from motionloom.operators import privacy
-from motionloom.operators.layout import union_all
+from motionloom.operators.layout import durable, union_all
 from motionloom.operators.motion import column_presence, partial_vectors
 from motionloom.plans import manifest as M
 from motionloom.plans import validate as V
@@ -688,7 +688,8 @@ def _pen_collection(spark, sf, dots):
     declared = ids.withColumns({"participant_id": F.concat(F.lit("P"), "recording_id"), "cohort": F.lit("X"), "pipeline": F.lit("p"), "time_alignment": F.lit("shared_clock"),
                                 "pen_model": F.lit("unknown"), "session_start_ns": F.lit(None).cast("bigint")})
     domains = ids.select("recording_id", F.lit("pen").alias("modality"), F.lit(None).cast("string").alias("column"), F.lit("wall").alias("time_domain"))
-    return held, M.build_manifest(held, declared, domains), M.build_channels(held, domains)
+    rates = durable(M.table_rates(held))
+    return held, M.build_manifest(held, declared, domains, rates=rates), M.build_channels(held, domains, rates=rates)
 
 
 def _dots(spark, sf):

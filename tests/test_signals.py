@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pytest
@@ -227,3 +228,41 @@ def test_clock_text_keeps_whole_numbers_and_fractions(spark):
     assert got == [(1700000000000000001, 1700000000000000001), (1700000000000, 1700000000000), (12, 12), (None, None), (0, 0)]
     ms = df.where("t like '%.%'").select(C.text_to_unix_ns(F.col("t"), "ms").alias("ms")).collect()
     assert [r.ms for r in ms] == [1700000000000500000, -250000]
+
+
+def test_dot_rate_orders_the_dots_once(spark):
+    """Facts, pen-clock strokes and wall-clock strokes come from one layout; against the strokes counted one by one."""
+    rng, rows = random.Random(5), []
+    for k in range(12):
+        t = 0
+        for j in range(60):
+            t += rng.choice((0, 5, 10)) if k % 3 else 10
+            kind = "PEN_DOWN" if rng.random() < 0.15 else rng.choice(("PEN_MOVE", "PEN_UP"))
+            rows.append((f"U{k}", t * 1_000_000, j, kind, float(t) * 1.5 if k % 2 and rng.random() < 0.8 else None))
+    rows += [("one", 5, 0, "PEN_MOVE", None), ("flat", 5, 0, "PEN_DOWN", 7.0), ("flat", 6, 1, "PEN_MOVE", 7.0)]
+    frame = spark.createDataFrame(rows, "recording_id string, t_ns bigint, seq bigint, dot_type string, src_timestamp double")
+    found = P.dot_rate(frame)
+    want = {}
+    for name in dict.fromkeys(r[0] for r in rows):
+        dots = sorted((r[1:] for r in rows if r[0] == name), key=lambda r: r[:2])
+        logged = [d for d in dots if d[3] is not None]
+
+        def rate(part, at, ticks):
+            steps = seconds = 0
+            for number in {n for n, _ in part}:
+                times = [d[at] for n, d in part if n == number]
+                if max(times) > min(times):
+                    steps, seconds = steps + len(times) - 1, seconds + (max(times) - min(times)) / ticks
+            return round(steps / seconds, 3) if seconds else None
+
+        def numbered_strokes(part):
+            return [(sum(x[2] == "PEN_DOWN" for x in part[:i + 1]), d) for i, d in enumerate(part)]
+        gaps = [b[0] - a[0] for a, b in zip(dots, dots[1:]) if b[2] != "PEN_DOWN"]
+        few = bool(gaps) and gaps.count(0) / len(gaps) <= 0.2
+        hz = rate(numbered_strokes(logged), 3, 1e3) if logged else rate(numbered_strokes(dots), 0, 1e9) if few else None
+        want[name] = (hz, "" if hz is None else "src_timestamp" if logged else "t_ns")
+    got = {r.recording_id: (r.pen_hz_measured, r.pen_hz_clock) for r in found.collect()}
+    assert got.keys() == want.keys() and len({c for _, c in want.values()}) == 3
+    for name, (hz, clock) in want.items():
+        assert got[name][1] == clock and (got[name][0] == hz or abs(got[name][0] - hz) <= 0.001), name
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
