@@ -37,9 +37,13 @@ def refuse(problems: DataFrame, message: str, error: type[Exception] = ValueErro
 
 
 def spans(tables: dict[str, DataFrame]) -> DataFrame:
-    """(recording_id, modality, t_start_ns, t_end_ns, n_samples) of every stored table."""
-    return union_all([table_span(table).withColumn("modality", F.lit(name))
-                      for name, table in tables.items()])
+    """(recording_id, modality, t_start_ns, t_end_ns, n_samples) of every stored table.
+
+    Written out: it is a row per recording and table, and those who ask join it with itself, which would put the counting of every
+    table several times into one task.
+    """
+    return durable(union_all([table_span(table).withColumn("modality", F.lit(name))
+                              for name, table in tables.items()]))
 
 
 def dropouts(span: DataFrame) -> DataFrame:

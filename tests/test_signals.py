@@ -266,3 +266,13 @@ def test_dot_rate_orders_the_dots_once(spark):
     for name, (hz, clock) in want.items():
         assert got[name][1] == clock and (got[name][0] == hz or abs(got[name][0] - hz) <= 0.001), name
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+
+
+def test_spans_are_counted_once_however_often_they_are_joined(spark):
+    from motionloom.plans.manifest import dropouts, spans
+    from motionloom.plans.validate import streams_overlap
+    rows = spark.range(100).selectExpr("concat('R', id % 2) AS recording_id", "id AS t_ns", "id AS seq")
+    span = spans({m: rows for m in ("watch", "headimu")})
+    overlap = streams_overlap(span, dropouts(span))
+    assert "Range" not in overlap._jdf.queryExecution().optimizedPlan().toString()  # the tables themselves are not read again
+    assert {r.recording_id: (r.modality, r.observed_num, r.passed) for r in overlap.collect()} == {f"R{k}": ("headimu+watch", 0.0, True) for k in range(2)}
